@@ -123,7 +123,7 @@ def running_indicators(df: DataFrame) -> DataFrame:
             "_nvi": F.coalesce(F.when(V < F.col("_pv"), F.log1p(change)), F.lit(0.0)),
         }
     )
-    d = drop_halo(d).drop("_pc", "_pv")
+    d = drop_halo(d, keep_chunk=True).drop("_pc", "_pv")
     d = running(
         d,
         {
@@ -136,7 +136,7 @@ def running_indicators(df: DataFrame) -> DataFrame:
     )
     return d.withColumns(
         {"volume_nvi": F.exp("_nvi_log") * 1000, "others_cr": (_div(C, F.col("_c0")) - 1) * 100}
-    ).drop("_adi", "_obv", "_vpt", "_nvi", "_nvi_log", "_c0")
+    ).drop("_adi", "_obv", "_vpt", "_nvi", "_nvi_log", "_c0", "_chunk")
 
 
 def _volume(d: DataFrame) -> DataFrame:

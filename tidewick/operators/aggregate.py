@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewick.schema import PK, SERIES
+from tidewick.session import materialise
 
 
 def resample(df: DataFrame, period: int) -> DataFrame:
@@ -59,50 +60,46 @@ def ranked_values(
     sampled: the rounds only narrow where the exact value lies.
     """
     keys = list(keys)
+    target = [*keys, "name"]
     d = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    bounds = d.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    d = materialise(d, "ranked")
+    bounds = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    wanted = F.array(*[F.struct(F.lit(k).alias("name"), r.cast("long").alias("rank")) for k, r in ranks.items()])
+    goal = bounds.withColumn("_t", F.explode(wanted)).select(
+        *keys, "_t.name", F.col("_t.rank").alias("_rank"), "_lo", "_hi"
     )
-    names = F.array(*[F.struct(F.lit(k).alias("name"), r.cast("long").alias("rank")) for k, r in ranks.items()])
-    goal = bounds.withColumn("_t", F.explode(names)).select(*keys, "_lo", "_hi", "_t.name", F.col("_t.rank").alias("_rank"))
-    target = [*keys, "name"]
-    rest = None
     for _ in range(rounds):
-        source = d if rest is None else rest
-        on = keys if rest is None else target
-        width = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * bins
-        bin_of = F.least(F.lit(bins - 1), F.coalesce(F.floor(width), F.lit(0)).cast("int"))
-        binned = _spread_join(source, goal, on).withColumn("_bin", bin_of)
-        counts = binned.groupBy(*target, "_rank", "_bin").agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi")
+        share = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+        bin_of = F.least(F.lit(bins - 1), F.coalesce(F.floor(share * bins), F.lit(0)).cast("int"))
+        counts = (
+            _within(d, goal, keys)
+            .groupBy(*target, "_rank", bin_of.alias("_bin"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         )
-        before = Window.partitionBy(*target).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        inside = (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n"))
-        chosen = counts.where(inside)
-        rest = _spread_join(
-            binned.select(*target, "_v", "_bin"), chosen.select(*target, "_bin"), [*target, "_bin"], "left_semi"
-        ).select(*target, "_v")
-        goal = chosen.select(
-            *target,
-            (F.col("_rank") - F.col("_before")).alias("_rank"),
-            F.col("_blo").alias("_lo"),
-            F.col("_bhi").alias("_hi"),
+        # a bin's least and greatest values bound the next round: bins are ordered like the values
+        goal = _holding(counts, target, "_bin").select(
+            *target, (F.col("_rank") - F.col("_before")).alias("_rank"), "_lo", "_hi"
         )
-    distinct = rest.groupBy(*target, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*target).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = distinct.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    hit = placed.join(goal.select(*target, "_rank"), target).where(
-        (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n"))
-    )
+    distinct = _within(d, goal, keys).groupBy(*target, "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    hit = _holding(distinct, target, "_v")
     return hit.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == k, F.col("_v"))).alias(k) for k in ranks])
 
 
-def _spread_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 32) -> DataFrame:
-    """Join a few rows per key to all rows of the key, spread over salts of the value."""
-    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = big.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(salts)).cast("int"))
-    return spread.join(salted, [*on, "_salt"], how).drop("_salt")
+def _holding(counts: DataFrame, target: Sequence[str], order: str) -> DataFrame:
+    """The row of each target whose running count reaches its rank."""
+    before = Window.partitionBy(*target).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    d = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return d.where((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
+
+
+def _within(values: DataFrame, goal: DataFrame, keys: Sequence[str], salts: int = 32) -> DataFrame:
+    """Values inside the range of each goal of their key.
+
+    The few goals are repeated per salt and a key's values spread over the salts.
+    """
+    salted = goal.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = values.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(salts)).cast("int"))
+    return spread.join(salted, [*keys, "_salt"]).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
 
 
 def exact_median(df: DataFrame, value: str, keys: Sequence[str], alias: str = "median") -> DataFrame:

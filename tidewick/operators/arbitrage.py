@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewick.functions import scalar
-from tidewick.operators.chunks import attach, drop_halo, halo_window, neighbour, running, with_halo
+from tidewick.operators.chunks import attach, drop_halo, halo_window, running, with_halo
 from tidewick.schema import PAIR
 
 C1, C2 = "close_exchange_1", "close_exchange_2"
@@ -35,10 +35,11 @@ def window_length(
     span any number of chunks without being gathered.  Rows must be gap-free.
     ``wrap_first`` counts one period more on the first run when the series ends in its state.
     """
-    d = neighbour(df, {"_prev": state}, -1, keys)
+    prev = F.lag(state).over(halo_window(keys))
     changed = F.col("_prev").isNull() | (F.col("_prev") != F.col(state))
-    d = d.withColumn("_change_at", F.when(changed, F.col("timestamp"))).drop("_prev")
-    d = running(d, {"_start": ("max", "_change_at")}, keys).drop("_change_at")
+    d = with_halo(df, back=1).withColumn("_prev", prev)
+    d = drop_halo(d.withColumn("_change_at", F.when(changed, F.col("timestamp"))), keep_chunk=True).drop("_prev")
+    d = running(d, {"_start": ("max", "_change_at")}, keys).drop("_change_at", "_chunk")
     lasted = F.col("timestamp") - F.col("_start") + F.col("period")
     if wrap_first:
         ends = df.groupBy(*keys).agg(

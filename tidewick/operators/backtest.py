@@ -14,13 +14,16 @@ ACCOUNT = 10_000.0
 
 
 def _positions(df: DataFrame, prediction: str, keys: Sequence[str]) -> DataFrame:
-    """``pos`` and ``binary`` (in the market) per row, ``trig`` where that changes (null on rows 0, 1)."""
+    """``pos``, ``binary_y_preds`` (in the market) and ``trade_trig`` where that changes (null on rows 0, 1).
+
+    Keeps ``_chunk`` for the running values that follow.
+    """
     w = halo_window(keys)
     d = with_halo(row_positions(df, keys).drop("n_rows"), 2, 0, F.col("pos"))
     held = lambda k: F.when(F.lag(prediction, k).over(w), 1).otherwise(0)
     d = d.withColumns({"binary_y_preds": held(1), "_before": held(2)})
     d = d.withColumn("trade_trig", F.when(F.col("pos") >= 2, F.col("binary_y_preds") - F.col("_before")))
-    return drop_halo(d).drop("_before")
+    return drop_halo(d, keep_chunk=True).drop("_before")
 
 
 def trade_triggers(df: DataFrame, prediction: str = "y_pred", keys: Sequence[str] = SERIES) -> DataFrame:
@@ -28,7 +31,7 @@ def trade_triggers(df: DataFrame, prediction: str = "y_pred", keys: Sequence[str
     d = _positions(df, prediction, keys)
     d = running(d, {"preds_count": ("sum", "binary_y_preds")}, keys)
     increase = F.when(F.col("pos") >= 1, F.col("binary_y_preds"))
-    return d.withColumn("increase_count", increase).drop("pos")
+    return d.withColumn("increase_count", increase).drop("pos", "_chunk")
 
 
 def backtest_summary(
@@ -78,7 +81,7 @@ def equity_curve(
             "buy": F.when(side == 2, F.col("my_money")).otherwise(0.0),
             "sell": F.when(side == -2, F.col("my_money")).otherwise(0.0),
         }
-    ).drop("_move", "_growth", "_side", "_held", "pos")
+    ).drop("_move", "_growth", "_side", "_held", "pos", "_chunk")
 
 
 def buy_and_hold(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:

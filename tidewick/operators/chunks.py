@@ -34,6 +34,17 @@ def time_chunk(rows: int | None = None) -> Column:
     return F.expr(f"timestamp div (period * {rows or CHUNK_ROWS}L)")
 
 
+def _chunked(df: DataFrame, rows: int | None) -> tuple[DataFrame, list[str]]:
+    """``df`` with ``_chunk``, and the columns to drop at the end.
+
+    Chunks that are there already (kept by :func:`drop_halo`) are used again: the rows are
+    partitioned by them, and no further shuffle is needed.
+    """
+    if "_chunk" in df.columns:
+        return df, []
+    return df.withColumn("_chunk", time_chunk(rows)), ["_chunk"]
+
+
 def _chunk_window(keys: Sequence[str], reverse: bool = False) -> WindowSpec:
     order = F.col("_chunk").desc() if reverse else F.col("_chunk").asc()
     return Window.partitionBy(*keys).orderBy(order)
@@ -54,7 +65,7 @@ def neighbour(
     """Add ``{new: source}`` taken from the previous (-1) or next (+1) row of the series."""
     reverse = offset > 0
     pick = F.min_by if reverse else F.max_by
-    d = df.withColumn("_chunk", time_chunk(rows))
+    d, extra = _chunked(df, rows)
     edges = d.groupBy(*keys, "_chunk").agg(
         *[pick(F.col(src), F.col("timestamp")).alias(f"_edge_{new}") for new, src in columns.items()]
     )
@@ -67,7 +78,7 @@ def neighbour(
     d = d.join(edges, [*keys, "_chunk"], "left")
     return d.withColumns(
         {new: F.when(first, F.col(f"_edge_{new}")).otherwise(F.lag(src).over(w)) for new, src in columns.items()}
-    ).drop("_chunk", *[f"_edge_{new}" for new in columns])
+    ).drop(*extra, *[f"_edge_{new}" for new in columns])
 
 
 def running(
@@ -82,7 +93,7 @@ def running(
     ``last`` and ``first`` skip nulls; with ``reverse`` rows are taken newest first, so a
     reversed ``last`` is a backward fill.
     """
-    d = df.withColumn("_chunk", time_chunk(rows))
+    d, extra = _chunked(df, rows)
     ts = F.col("timestamp")
     summary, carry, merged = [], [], {}
     before = _chunk_window(keys, reverse).rowsBetween(Window.unboundedPreceding, -1)
@@ -112,12 +123,12 @@ def running(
             raise ValueError(f"unknown running kind {kind!r}")
     totals = d.groupBy(*keys, "_chunk").agg(*summary).select(*keys, "_chunk", *carry)
     out = d.join(totals, [*keys, "_chunk"], "left").withColumns(merged)
-    return out.drop("_chunk", *[f"_prior_{new}" for new in columns])
+    return out.drop(*extra, *[f"_prior_{new}" for new in columns])
 
 
 def row_positions(df: DataFrame, keys: Sequence[str] = SERIES, rows: int | None = None) -> DataFrame:
     """Add ``pos`` (0-based row number in the series) and ``n_rows`` (series length)."""
-    d = df.withColumn("_chunk", time_chunk(rows))
+    d, extra = _chunked(df, rows)
     counts = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = _chunk_window(keys).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(
@@ -128,7 +139,7 @@ def row_positions(df: DataFrame, keys: Sequence[str] = SERIES, rows: int | None
     )
     out = d.join(counts, [*keys, "_chunk"])
     pos = F.col("_before") + F.row_number().over(_row_window(keys)) - 1
-    return out.withColumn("pos", pos).drop("_chunk", "_before")
+    return out.withColumn("pos", pos).drop(*extra, "_before")
 
 
 def with_halo(
@@ -170,8 +181,9 @@ def halo_window(keys: Sequence[str] = SERIES) -> WindowSpec:
     return Window.partitionBy(*keys, "_chunk").orderBy("_block", "_pos")
 
 
-def drop_halo(df: DataFrame) -> DataFrame:
-    return df.where("_core").drop("_chunk", "_core", "_block", "_head", "_pos")
+def drop_halo(df: DataFrame, keep_chunk: bool = False) -> DataFrame:
+    """The chunks' own rows; ``keep_chunk`` when a running value over the same rows follows."""
+    return df.where("_core").drop(*([] if keep_chunk else ["_chunk"]), "_core", "_block", "_head", "_pos")
 
 
 def edge_rows(
@@ -182,7 +194,7 @@ def edge_rows(
     Chunk counts tell which chunks can hold these rows; only those are kept and ranked, so the
     final window sees at most ``k`` rows plus one chunk per series.
     """
-    d = df.withColumn("_chunk", time_chunk(rows))
+    d, _ = _chunked(df, rows)
     counts = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     nearer = _chunk_window(keys, reverse=newest).rowsBetween(Window.unboundedPreceding, -1)
     wanted = (

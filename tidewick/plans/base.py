@@ -8,6 +8,7 @@ from tidewick.operators import arbitrage, ordered
 from tidewick.operators.gaps import gap_fill
 from tidewick.operators.joins import cross_exchange_join
 from tidewick.schema import OHLC, OHLCV, SERIES
+from tidewick.session import materialise
 from tidewick.sources.ticks import read_candles
 
 HOUR = 3600
@@ -45,7 +46,7 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def states(spark: SparkSession, sf: str) -> DataFrame:
-    return arbitrage.with_state(cross_exchange_join(grid(spark, sf), ["close"]))
+    return arbitrage.with_state(cross_exchange_join(materialise(grid(spark, sf)), ["close"]))
 
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:
