@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewick.operators import scan
-from tidewick.operators.chunks import drop_halo, halo_window, running, with_halo
-from tidewick.schema import SERIES
+from tidewick.operators.chunks import drop_halo, running, with_halo
 
 HALO = 1024
 
@@ -42,24 +41,32 @@ ALL = [*VOLUME, *VOLATILITY, *TREND, *MOMENTUM, *OTHERS]
 H, L, C, V = (F.col(c) for c in ("high", "low", "close", "volume"))
 
 
-def _w(n: int):
-    return halo_window().rowsBetween(-(n - 1), 0)
+_OVER = "over (partition by exchange, trading_pair, period, _chunk order by _block, _pos"
 
 
-def sma(c: Column | str, n: int) -> Column:
-    return F.avg(c).over(_w(n))
+def _over(call: str, n: int) -> Column:
+    """An aggregate over the last ``n`` rows of the series."""
+    return F.expr(f"{call} {_OVER} rows between {n - 1} preceding and current row)")
 
 
-def _sum(c: Column | str, n: int) -> Column:
-    return F.sum(c).over(_w(n))
+def _lag(name: str, n: int = 1) -> Column:
+    return F.expr(f"lag({name}, {n}) {_OVER})")
 
 
-def _max(c: Column | str, n: int) -> Column:
-    return F.max(c).over(_w(n))
+def sma(expression: str, n: int) -> Column:
+    return _over(f"avg({expression})", n)
 
 
-def _min(c: Column | str, n: int) -> Column:
-    return F.min(c).over(_w(n))
+def _sum(expression: str, n: int) -> Column:
+    return _over(f"sum({expression})", n)
+
+
+def _max(expression: str, n: int) -> Column:
+    return _over(f"max({expression})", n)
+
+
+def _min(expression: str, n: int) -> Column:
+    return _over(f"min({expression})", n)
 
 
 def _flag(cond: Column) -> Column:
@@ -72,7 +79,7 @@ def _div(a: Column, b: Column) -> Column:
 
 def _roc(n: int) -> Column:
     """Relative change over n rows."""
-    past = F.lag("close", n).over(halo_window())
+    past = _lag("close", n)
     return _div(C - past, past)
 
 
@@ -87,12 +94,11 @@ def typical() -> Column:
 
 def indicator_frame(df: DataFrame) -> DataFrame:
     """Candles spread over chunks, with the previous row's values and the true range."""
-    w = halo_window()
     d = with_halo(df, back=HALO)
     d = d.withColumns(
         {
             "_first": scan.is_first(),
-            **{f"_p{n}": F.lag(c).over(w) for n, c in (("c", "close"), ("h", "high"), ("l", "low"), ("v", "volume"))},
+            **{f"_p{n}": _lag(c) for n, c in (("c", "close"), ("h", "high"), ("l", "low"), ("v", "volume"))},
         }
     )
     pc = F.col("_pc")
@@ -110,10 +116,8 @@ def running_indicators(df: DataFrame) -> DataFrame:
 
     Steps are computed per chunk, running totals carried between chunks.
     """
-    w = halo_window()
     d = with_halo(df, back=1)
-    pc, pv = F.lag("close").over(w), F.lag("volume").over(w)
-    d = d.withColumns({"_pc": pc, "_pv": pv})
+    d = d.withColumns({"_pc": _lag("close"), "_pv": _lag("volume")})
     change = _div(C, F.col("_pc")) - 1
     d = d.withColumns(
         {
@@ -152,14 +156,13 @@ def _volume(d: DataFrame) -> DataFrame:
 
 
 def _volatility(d: DataFrame) -> DataFrame:
-    mid, dev = sma("close", 20), F.stddev_pop("close").over(_w(20))
     d = d.withColumns(
         {
-            "volatility_bbm": mid,
-            "_sd": dev,
-            "volatility_kcc": sma(F.col("_tp"), 10),
-            "volatility_kch": sma((4 * H - 2 * L + C) / 3, 10),
-            "volatility_kcl": sma((-2 * H + 4 * L + C) / 3, 10),
+            "volatility_bbm": sma("close", 20),
+            "_sd": _over("stddev_pop(close)", 20),
+            "volatility_kcc": sma("_tp", 10),
+            "volatility_kch": sma("(4 * high - 2 * low + close) / 3", 10),
+            "volatility_kcl": sma("(-2 * high + 4 * low + close) / 3", 10),
             "volatility_dch": _max("close", 20),
             "volatility_dcl": _min("close", 20),
         }
@@ -188,7 +191,6 @@ def _rows_since(extreme: Column) -> Column:
 
 
 def _trend(d: DataFrame) -> DataFrame:
-    w = halo_window()
     up, down = H - F.col("_ph"), F.col("_pl") - L
     d = d.withColumns(
         {
@@ -198,16 +200,16 @@ def _trend(d: DataFrame) -> DataFrame:
             "_vmn": F.abs(L - F.col("_ph")),
             "_range": H - L,
             **{f"_roc{n}": _roc(n) for n in (10, 15, 20, 30)},
-            "_tps": F.collect_list("_tp").over(_w(20)),
-            "_tpm": sma(F.col("_tp"), 20),
+            "_tps": _over("collect_list(_tp)", 20),
+            "_tpm": sma("_tp", 20),
             "_conv": (_max("high", 9) + _min("low", 9)) / 2,
             "_base": (_max("high", 26) + _min("low", 26)) / 2,
             "trend_ichimoku_b": (_max("high", 52) + _min("low", 52)) / 2,
             # the earliest row holding the extreme
-            "_top": -F.max(F.struct(C, (-F.col("_pos")).alias("at"))).over(_w(25))["at"],
-            "_low": F.min(F.struct(C, F.col("_pos").alias("at"))).over(_w(25))["at"],
+            "_top": -_over("max(struct(close, -_pos as at))", 25)["at"],
+            "_low": _over("min(struct(close, _pos as at))", 25)["at"],
             "_sma20": sma("close", 20),
-            "_c11": F.lag("close", 11).over(w),
+            "_c11": _lag("close", 11),
         }
     )
     # level 1
@@ -245,8 +247,8 @@ def _trend(d: DataFrame) -> DataFrame:
         {
             "_dx": F.coalesce(100 * _div(F.abs(pos - neg), pos + neg), F.lit(0.0)),
             "trend_vortex_diff": F.col("trend_vortex_ind_pos") - F.col("trend_vortex_ind_neg"),
-            "trend_visual_ichimoku_a": F.lag("trend_ichimoku_a", 26).over(w),
-            "trend_visual_ichimoku_b": F.lag("trend_ichimoku_b", 26).over(w),
+            "trend_visual_ichimoku_a": _lag("trend_ichimoku_a", 26),
+            "trend_visual_ichimoku_b": _lag("trend_ichimoku_b", 26),
             "trend_aroon_ind": F.col("trend_aroon_up") - F.col("trend_aroon_down"),
             "trend_kst_sig": sma("trend_kst", 9),
         }
@@ -270,22 +272,22 @@ def _trend(d: DataFrame) -> DataFrame:
     )
     # level 3
     d = scan.ema(d, {"_eee15": ("_ee15", scan.span(15))})
-    d = d.withColumns({"_pe": F.lag("_eee15").over(w), "trend_mass_index": _sum("_mass", 25)})
+    d = d.withColumns({"_pe": _lag("_eee15"), "trend_mass_index": _sum("_mass", 25)})
     return d.withColumn("trend_trix", 100 * _div(F.col("_eee15") - F.col("_pe"), F.col("_pe")))
 
 
 def _momentum(d: DataFrame) -> DataFrame:
-    dc, ptp = F.col("_dc"), F.lag("_tp").over(halo_window())
+    dc = F.col("_dc")
     d = d.withColumns(
         {
             "_gain": F.greatest(dc, F.lit(0.0)),
             "_loss": F.greatest(-dc, F.lit(0.0)),
             "_adc": F.abs(dc),
-            "_ptp": ptp,
+            "_ptp": _lag("_tp"),
             "_bp": C - F.least(L, F.col("_pc")),
             "_h14": _max("high", 14),
             "_l14": _min("low", 14),
-            "momentum_ao": sma((H + L) / 2, 5) - sma((H + L) / 2, 34),
+            "momentum_ao": sma("(high + low) / 2", 5) - sma("(high + low) / 2", 34),
         }
     )
     tp, flow = F.col("_tp"), F.col("_tp") * V

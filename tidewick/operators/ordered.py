@@ -121,7 +121,7 @@ def denoise(df: DataFrame, column: str, repeat: int, keys: Sequence[str] = SERIE
     for _ in range(repeat):
         ahead = F.lead("denoised").over(halo_window(keys))
         d = d.withColumn("_ahead", F.coalesce(ahead, F.col("denoised")))
-        b = F.when(F.col("pos") == 0, F.col("denoised")).otherwise(F.col("_ahead") * half)
+        b = f"case when pos = 0 then denoised else _ahead * {half}D end"
         d = scan.affine_scan(d, {"_smooth": (b, half)}, keys)
         d = d.withColumn("denoised", F.when(ends_here, F.col("denoised")).otherwise(F.col("_smooth")))
         d = d.drop("_smooth", "_ahead")

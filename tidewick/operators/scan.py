@@ -10,7 +10,7 @@ than ``q^256m < 1e-16`` no longer change a double.  All of it runs inside the ch
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewick.operators.chunks import BLOCK_ROWS, halo_window
@@ -35,32 +35,26 @@ def is_first(keys: Sequence[str] = SERIES) -> Column:
     return (F.row_number().over(halo_window(keys)) == 1) & F.col("_head")
 
 
-def affine_scan(
-    df: DataFrame, columns: Mapping[str, tuple[Column, float]], keys: Sequence[str] = SERIES
-) -> DataFrame:
-    """Add ``{new: (b, q)}`` solved over each chunk; ``b`` must not be null and 1/3 <= q < 1."""
-    in_block = Window.partitionBy(*keys, "_chunk", "_block").orderBy("_pos")
-    over_blocks = Window.partitionBy(*keys, "_chunk").orderBy("_block")
-    j = F.expr(f"_pos % {BLOCK_ROWS}L")
-    d = df.withColumns({f"_b_{new}": b * F.pow(F.lit(q), -j) for new, (b, q) in columns.items()})
-    upto = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumns(
-        {f"_l_{new}": F.pow(F.lit(q), j) * F.sum(f"_b_{new}").over(upto) for new, (_, q) in columns.items()}
-    )
-    ends = {}
-    for new, (_, q) in columns.items():
-        end = F.when(j == BLOCK_ROWS - 1, F.col(f"_l_{new}"))
+def affine_scan(df: DataFrame, columns: Mapping[str, tuple[str, float]], keys: Sequence[str] = SERIES) -> DataFrame:
+    """Add ``{new: (b, q)}`` solved over each chunk; ``b``, an SQL expression, must not be null; 1/3 <= q < 1."""
+    by = ", ".join(keys)
+    in_block = f"(partition by {by}, _chunk, _block order by _pos rows between unbounded preceding and current row)"
+    j, last = f"(_pos % {BLOCK_ROWS})", BLOCK_ROWS - 1
+    power = {q: f"_q{i}" for i, q in enumerate(dict.fromkeys(q for _, q in columns.values()))}
+    powers = {name: f"pow({q!r}D, {j})" for q, name in power.items()}
+    local, ends, solved = {}, {}, {}
+    for new, (b, q) in columns.items():
+        local[f"_l_{new}"] = f"{power[q]} * sum(({b}) / {power[q]}) over {in_block}"
+        carried = []
         for m in range(1, blocks_needed(q) + 1):
-            ends[f"_e{m}_{new}"] = F.max(end).over(over_blocks.rangeBetween(-m, -m))
-    d = d.withColumns(ends)
-    solved = {}
-    for new, (_, q) in columns.items():
-        carried = F.lit(0.0)
-        for m in range(1, blocks_needed(q) + 1):
-            carried = carried + F.coalesce(F.col(f"_e{m}_{new}"), F.lit(0.0)) * (q ** (BLOCK_ROWS * (m - 1)))
-        solved[new] = F.col(f"_l_{new}") + F.pow(F.lit(q), j + 1) * carried
-    helpers = [f"_b_{new}" for new in columns] + [f"_l_{new}" for new in columns] + list(ends)
-    return d.withColumns(solved).drop(*helpers)
+            at = f"(partition by {by}, _chunk order by _block range between {m} preceding and {m} preceding)"
+            ends[f"_e{m}_{new}"] = f"max(case when {j} = {last} then _l_{new} end) over {at}"
+            carried.append(f"coalesce(_e{m}_{new}, 0D) * {q ** (BLOCK_ROWS * (m - 1))!r}D")
+        solved[new] = f"_l_{new} + {power[q]} * {q!r}D * ({' + '.join(carried)})"
+    d = df
+    for step in (powers, local, ends, solved):
+        d = d.selectExpr("*", *[f"{e} as {name}" for name, e in step.items()])
+    return d.drop(*powers, *local, *ends)
 
 
 def ema(df: DataFrame, columns: Mapping[str, tuple[str, float]], keys: Sequence[str] = SERIES) -> DataFrame:
@@ -69,7 +63,7 @@ def ema(df: DataFrame, columns: Mapping[str, tuple[str, float]], keys: Sequence[
     Needs the boolean ``_first`` (see :func:`is_first`).
     """
     seeded = {
-        new: (F.when(F.col("_first"), F.col(src)).otherwise(F.col(src) * alpha), 1.0 - alpha)
+        new: (f"case when _first then {src} else {src} * {alpha!r}D end", 1.0 - alpha)
         for new, (src, alpha) in columns.items()
     }
     return affine_scan(df, seeded, keys)

@@ -13,6 +13,7 @@ from tidewick.operators.chunks import attach, edge_rows
 from tidewick.operators.gaps import gap_fill, impute_candles
 from tidewick.operators.joins import arb_info, cross_exchange_join
 from tidewick.schema import OHLCV, PAIR, PK, SERIES
+from tidewick.session import materialise
 
 # fixed names: features of one exchange in an arbitrage model
 ARB_SERIES = [
@@ -76,7 +77,8 @@ def fill_features(df: DataFrame, columns: Sequence[str], limit: float = 0.2) ->
 def _trade_frame(candles: DataFrame, period: int, families: Sequence[str] | None) -> DataFrame:
     grid = series_grid(candles, period)
     d = indicators.add_indicators(grid, families) if families is not None else indicators.add_indicators(grid)
-    d = d.withColumns(date_parts(F.col("timestamp")))
+    # several passes follow (series means, their join, the newest rows): compute the indicators once
+    d = materialise(d.withColumns(date_parts(F.col("timestamp"))), "indicators")
     d = fill_features(d, [c for c in d.columns if c in TRADE_INDICATORS])
     return ordered.close_diff(d, gap_free=True)
 
@@ -106,14 +108,16 @@ def live_features(df: DataFrame, families: Sequence[str] | None = None) -> DataF
         d = indicators.add_indicators(d, families, fill=0.0)
     numeric = [c for c in clean.numeric_projection(d).columns if c != "timestamp"]
     d = ordered.diff_features(d, numeric, gap_free=True)
-    d = ordered.close_diff(d, gap_free=True).withColumnRenamed("close_diff", "diff_percent")
-    d = d.withColumn("diff_percent", F.coalesce("diff_percent", F.lit(0.0))).drop("volume_adi")
+    change = F.try_divide(F.col("close_diff"), F.col("close") - F.col("close_diff"))
+    first = F.col("close_diff") == F.col("close")
+    d = d.withColumn("diff_percent", F.when(first, 0.0).otherwise(F.coalesce(change, F.lit(0.0)))).drop("volume_adi")
     return ordered.arb_signal_class(ordered.price_direction(d, gap_free=True), gap_free=True)
 
 
 def normalised(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     """The model matrix: signed-log z-scores per series, 0 where undefined; PLAIN columns as they are."""
     columns = [c for c in clean.numeric_projection(df).columns if c not in (*PLAIN, "timestamp")]
+    df = materialise(df, "live")
     d = ordered.signed_log_zscore(df, columns, keys)
     d = clean.zero_fill(d, [f"{c}_z" for c in columns])
     plain = [c for c in PLAIN if c in df.columns]
