@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewick.functions import indicators
-from tidewick.functions.scalar import date_parts
+from tidewick.functions.scalar import date_parts, three_way
 from tidewick.operators import arbitrage, clean, ordered
 from tidewick.operators.aggregate import resample
-from tidewick.operators.chunks import attach, edge_rows
+from tidewick.operators.chunks import attach, drop_halo, edge_rows, halo_window, with_halo
 from tidewick.operators.gaps import gap_fill, impute_candles
 from tidewick.operators.joins import arb_info, cross_exchange_join
 from tidewick.schema import OHLCV, PAIR, PK, SERIES
@@ -107,11 +107,19 @@ def live_features(df: DataFrame, families: Sequence[str] | None = None) -> DataF
     elif families:
         d = indicators.add_indicators(d, families, fill=0.0)
     numeric = [c for c in clean.numeric_projection(d).columns if c != "timestamp"]
-    d = ordered.diff_features(d, numeric, gap_free=True)
-    change = F.try_divide(F.col("close_diff"), F.col("close") - F.col("close_diff"))
-    first = F.col("close_diff") == F.col("close")
-    d = d.withColumn("diff_percent", F.when(first, 0.0).otherwise(F.coalesce(change, F.lit(0.0)))).drop("volume_adi")
-    return ordered.arb_signal_class(ordered.price_direction(d, gap_free=True), gap_free=True)
+    # every look back of the differences and classes in one pass
+    w = halo_window()
+    before = {c: F.lag(c).over(w) for c in numeric}
+    past, signal = F.lag("close", 12).over(w), before["arb_signal"]
+    d = with_halo(d, back=12).withColumns(
+        {
+            **{f"{c}_diff": F.col(c) - F.coalesce(before[c], F.lit(0)) for c in numeric},
+            "diff_percent": F.coalesce(F.try_divide(F.col("close") - before["close"], before["close"]), F.lit(0.0)),
+            "price_increased": F.when(past > F.col("close"), 1).when(past < F.col("close"), -1).otherwise(0),
+            "arb_signal_class": three_way(signal, F.lit(0.01), F.lit(0.01)),
+        }
+    )
+    return drop_halo(d).drop("volume_adi")
 
 
 def normalised(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
@@ -135,7 +143,7 @@ def get_data(
     d = candles.where((F.col("period") == period) & (F.col("timestamp") >= start))
     if end is not None:
         d = d.where(F.col("timestamp") <= end)
-    return live_features(arb_info(impute_candles(d)), families)
+    return live_features(materialise(arb_info(impute_candles(d)), "imputed"), families)
 
 
 def get_latest_data(

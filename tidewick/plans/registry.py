@@ -5,7 +5,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-SECTIONS = ["market", "series", "technical"]
+SECTIONS = ["tables", "market", "series", "technical"]
 
 
 def _sections():

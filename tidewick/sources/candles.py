@@ -75,7 +75,7 @@ def read_csv_candles(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     The series comes from the name; ``timestamp`` is the opening time again.
     """
     d = spark.read.schema(CANDLE_CSV).option("header", True).csv(paths)
-    stem = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+_\d+)(?:\.csv)?(?:/[^/]*)?$", 1)
+    stem = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+_\d+)(?:\.csv)?(?:/[^/]*)?$", 1)
     d = d.select("*", stem.alias("_stem"))
     name = parse_series_name(F.col("_stem"))
     d = d.withColumns({k: name[k] for k in SERIES})
