@@ -5,7 +5,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-SECTIONS = ["tables", "market", "series", "technical", "models"]
+SECTIONS = ["tables", "market", "series", "technical", "models", "streams"]
 
 
 def _sections():

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewick.operators.chunks import edge_rows
 from tidewick.operators.gaps import dedupe_candles
 from tidewick.operators.joins import new_rows
-from tidewick.schema import CANDLE, OHLC, PK, SERIES
+from tidewick.schema import CANDLE, OHLC, PK
 
 LAYOUT = ["period", "exchange"]
 
@@ -27,6 +27,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def is_directory(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
+
+
 def create_table(spark: SparkSession, path: str, schema=CANDLE, partition_by: Sequence[str] = LAYOUT) -> DataFrame:
     """An empty table in the given layout, if there is none yet."""
     if not exists(spark, path):
@@ -111,18 +116,3 @@ def write_predictions(new: DataFrame, path: str, keys: Sequence[str]) -> None:
     rest = [c for c in new.columns if c not in keys]
     insert_if_absent(new, path, keys, rest, partition_by=[])
 
-
-__all__ = [
-    "SERIES",
-    "create_table",
-    "drop_column",
-    "exists",
-    "export_snapshot",
-    "file_stem",
-    "flatten_batches",
-    "insert_if_absent",
-    "next_version",
-    "write_candles",
-    "write_csv_archive",
-    "write_predictions",
-]
