@@ -38,9 +38,6 @@ MOMENTUM = [
 OTHERS = ["others_dr", "others_dlr", "others_cr"]
 ALL = [*VOLUME, *VOLATILITY, *TREND, *MOMENTUM, *OTHERS]
 
-H, L, C, V = (F.col(c) for c in ("high", "low", "close", "volume"))
-
-
 _OVER = "over (partition by exchange, trading_pair, period, _chunk order by _block, _pos"
 
 
@@ -80,16 +77,16 @@ def _div(a: Column, b: Column) -> Column:
 def _roc(n: int) -> Column:
     """Relative change over n rows."""
     past = _lag("close", n)
-    return _div(C - past, past)
+    return _div(F.col("close") - past, past)
 
 
 def clv() -> Column:
     """Where the close lies within the range: -1 at the low, 1 at the high, 0 on a flat candle."""
-    return F.coalesce(_div((C - L) - (H - C), H - L), F.lit(0.0))
+    return F.coalesce(_div((F.col("close") - F.col("low")) - (F.col("high") - F.col("close")), F.col("high") - F.col("low")), F.lit(0.0))
 
 
 def typical() -> Column:
-    return (H + L + C) / 3
+    return (F.col("high") + F.col("low") + F.col("close")) / 3
 
 
 def indicator_frame(df: DataFrame) -> DataFrame:
@@ -104,9 +101,9 @@ def indicator_frame(df: DataFrame) -> DataFrame:
     pc = F.col("_pc")
     return d.withColumns(
         {
-            "_tr": F.greatest(H - L, F.abs(H - pc), F.abs(L - pc)),
+            "_tr": F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - pc), F.abs(F.col("low") - pc)),
             "_tp": typical(),
-            "_dc": F.coalesce(C - pc, F.lit(0.0)),
+            "_dc": F.coalesce(F.col("close") - pc, F.lit(0.0)),
         }
     )
 
@@ -118,13 +115,13 @@ def running_indicators(df: DataFrame) -> DataFrame:
     """
     d = with_halo(df, back=1)
     d = d.withColumns({"_pc": _lag("close"), "_pv": _lag("volume")})
-    change = _div(C, F.col("_pc")) - 1
+    change = _div(F.col("close"), F.col("_pc")) - 1
     d = d.withColumns(
         {
-            "_adi": clv() * V,
-            "_obv": F.coalesce(F.signum(C - F.col("_pc")) * V, F.lit(0.0)),
-            "_vpt": F.coalesce(V * change, F.lit(0.0)),
-            "_nvi": F.coalesce(F.when(V < F.col("_pv"), F.log1p(change)), F.lit(0.0)),
+            "_adi": clv() * F.col("volume"),
+            "_obv": F.coalesce(F.signum(F.col("close") - F.col("_pc")) * F.col("volume"), F.lit(0.0)),
+            "_vpt": F.coalesce(F.col("volume") * change, F.lit(0.0)),
+            "_nvi": F.coalesce(F.when(F.col("volume") < F.col("_pv"), F.log1p(change)), F.lit(0.0)),
         }
     )
     d = drop_halo(d, keep_chunk=True).drop("_pc", "_pv")
@@ -139,16 +136,16 @@ def running_indicators(df: DataFrame) -> DataFrame:
         },
     )
     return d.withColumns(
-        {"volume_nvi": F.exp("_nvi_log") * 1000, "others_cr": (_div(C, F.col("_c0")) - 1) * 100}
+        {"volume_nvi": F.exp("_nvi_log") * 1000, "others_cr": (_div(F.col("close"), F.col("_c0")) - 1) * 100}
     ).drop("_adi", "_obv", "_vpt", "_nvi", "_nvi_log", "_c0", "_chunk")
 
 
 def _volume(d: DataFrame) -> DataFrame:
     d = d.withColumns(
         {
-            "_clvv": clv() * V,
-            "_fi": F.col("_dc") * V,
-            "_em": _div(((H - F.col("_ph")) + (L - F.col("_pl"))) / 2 * (H - L), V),
+            "_clvv": clv() * F.col("volume"),
+            "_fi": F.col("_dc") * F.col("volume"),
+            "_em": _div(((F.col("high") - F.col("_ph")) + (F.col("low") - F.col("_pl"))) / 2 * (F.col("high") - F.col("low")), F.col("volume")),
         }
     )
     d = d.withColumns({"volume_cmf": _div(_sum("_clvv", 20), _sum("volume", 20)), "volume_em": sma("_em", 20)})
@@ -175,12 +172,12 @@ def _volatility(d: DataFrame) -> DataFrame:
     )
     d = d.withColumns(
         {
-            "volatility_bbhi": _flag(C > F.col("volatility_bbh")),
-            "volatility_bbli": _flag(C < F.col("volatility_bbl")),
-            "volatility_kchi": _flag(C > F.col("volatility_kch")),
-            "volatility_kcli": _flag(C < F.col("volatility_kcl")),
-            "volatility_dchi": _flag(C >= F.col("volatility_dch")),
-            "volatility_dcli": _flag(C <= F.col("volatility_dcl")),
+            "volatility_bbhi": _flag(F.col("close") > F.col("volatility_bbh")),
+            "volatility_bbli": _flag(F.col("close") < F.col("volatility_bbl")),
+            "volatility_kchi": _flag(F.col("close") > F.col("volatility_kch")),
+            "volatility_kcli": _flag(F.col("close") < F.col("volatility_kcl")),
+            "volatility_dchi": _flag(F.col("close") >= F.col("volatility_dch")),
+            "volatility_dcli": _flag(F.col("close") <= F.col("volatility_dcl")),
         }
     )
     return scan.ema(d, {"volatility_atr": ("_tr", scan.wilder(14))})
@@ -191,14 +188,14 @@ def _rows_since(extreme: Column) -> Column:
 
 
 def _trend(d: DataFrame) -> DataFrame:
-    up, down = H - F.col("_ph"), F.col("_pl") - L
+    up, down = F.col("high") - F.col("_ph"), F.col("_pl") - F.col("low")
     d = d.withColumns(
         {
             "_dmp": F.when((up > down) & (up > 0), up).otherwise(0.0),
             "_dmn": F.when((down > up) & (down > 0), down).otherwise(0.0),
-            "_vmp": F.abs(H - F.col("_pl")),
-            "_vmn": F.abs(L - F.col("_ph")),
-            "_range": H - L,
+            "_vmp": F.abs(F.col("high") - F.col("_pl")),
+            "_vmn": F.abs(F.col("low") - F.col("_ph")),
+            "_range": F.col("high") - F.col("low"),
             **{f"_roc{n}": _roc(n) for n in (10, 15, 20, 30)},
             "_tps": _over("collect_list(_tp)", 20),
             "_tpm": sma("_tp", 20),
@@ -284,19 +281,19 @@ def _momentum(d: DataFrame) -> DataFrame:
             "_loss": F.greatest(-dc, F.lit(0.0)),
             "_adc": F.abs(dc),
             "_ptp": _lag("_tp"),
-            "_bp": C - F.least(L, F.col("_pc")),
+            "_bp": F.col("close") - F.least(F.col("low"), F.col("_pc")),
             "_h14": _max("high", 14),
             "_l14": _min("low", 14),
             "momentum_ao": sma("(high + low) / 2", 5) - sma("(high + low) / 2", 34),
         }
     )
-    tp, flow = F.col("_tp"), F.col("_tp") * V
+    tp, flow = F.col("_tp"), F.col("_tp") * F.col("volume")
     d = d.withColumns(
         {
             "_mfp": F.when(tp > F.col("_ptp"), flow).otherwise(0.0),
             "_mfn": F.when(tp < F.col("_ptp"), flow).otherwise(0.0),
-            "momentum_stoch": _div(100 * (C - F.col("_l14")), F.col("_h14") - F.col("_l14")),
-            "momentum_wr": _div(-100 * (F.col("_h14") - C), F.col("_h14") - F.col("_l14")),
+            "momentum_stoch": _div(100 * (F.col("close") - F.col("_l14")), F.col("_h14") - F.col("_l14")),
+            "momentum_wr": _div(-100 * (F.col("_h14") - F.col("close")), F.col("_h14") - F.col("_l14")),
             "momentum_uo": 100
             * (
                 4 * _div(_sum("_bp", 7), _sum("_tr", 7))
@@ -331,7 +328,7 @@ def _momentum(d: DataFrame) -> DataFrame:
 
 
 def _others(d: DataFrame) -> DataFrame:
-    change = _div(C, F.col("_pc"))
+    change = _div(F.col("close"), F.col("_pc"))
     return d.withColumns({"others_dr": (change - 1) * 100, "others_dlr": 100 * F.log(change)})
 
 
