@@ -8,8 +8,7 @@ are.  A lag before the start is null.  Input: gap-free candles.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tidewick.operators import scan
 from tidewick.operators.chunks import drop_halo, running, with_halo
@@ -41,321 +40,252 @@ ALL = [*VOLUME, *VOLATILITY, *TREND, *MOMENTUM, *OTHERS]
 _OVER = "over (partition by exchange, trading_pair, period, _chunk order by _block, _pos"
 
 
-def _over(call: str, n: int) -> Column:
+def _last(call: str, n: int) -> str:
     """An aggregate over the last ``n`` rows of the series."""
-    return F.expr(f"{call} {_OVER} rows between {n - 1} preceding and current row)")
+    return f"{call} {_OVER} rows between {n - 1} preceding and current row)"
 
 
-def _lag(name: str, n: int = 1) -> Column:
-    return F.expr(f"lag({name}, {n}) {_OVER})")
+def _lag(x: str, n: int = 1) -> str:
+    return f"lag({x}, {n}) {_OVER})"
 
 
-def sma(expression: str, n: int) -> Column:
-    return _over(f"avg({expression})", n)
+def _sma(x: str, n: int) -> str:
+    return _last(f"avg({x})", n)
 
 
-def _sum(expression: str, n: int) -> Column:
-    return _over(f"sum({expression})", n)
+def _sum(x: str, n: int) -> str:
+    return _last(f"sum({x})", n)
 
 
-def _max(expression: str, n: int) -> Column:
-    return _over(f"max({expression})", n)
+def _mid(n: int) -> str:
+    return f"({_last('max(high)', n)} + {_last('min(low)', n)}) / 2"
 
 
-def _min(expression: str, n: int) -> Column:
-    return _over(f"min({expression})", n)
+def _flag(condition: str) -> str:
+    return f"case when {condition} then 1D else 0D end"
 
 
-def _flag(cond: Column) -> Column:
-    return F.when(cond, 1.0).otherwise(0.0)
+def _ratio(a: str, b: str) -> str:
+    return f"try_divide({a}, {b})"
 
 
-def _div(a: Column, b: Column) -> Column:
-    return F.try_divide(a, b)
+def _index(up: str, down: str) -> str:
+    """100 - 100 / (1 + up/down); without any ``down`` the index is 100."""
+    return f"coalesce(100 - try_divide(100D, 1 + try_divide({up}, {down})), 100D)"
 
 
-def _roc(n: int) -> Column:
-    """Relative change over n rows."""
-    past = _lag("close", n)
-    return _div(F.col("close") - past, past)
+# where the close lies within the range: -1 at the low, 1 at the high, 0 on a flat candle
+_CLV = "coalesce(try_divide((close - low) - (high - close), high - low), 0D)"
 
+# Each family lists its columns by stage; the stages of all requested families run together, so that
+# one window serves them all.  Stages named ema hold (source, smoothing factor).
+STAGES = ["scalar_0", "rolling_1", "ema_1", "scalar_1", "rolling_2", "ema_2", "scalar_2", "rolling_3", "ema_3", "rolling_4", "scalar_4"]
 
-def clv() -> Column:
-    """Where the close lies within the range: -1 at the low, 1 at the high, 0 on a flat candle."""
-    return F.coalesce(_div((F.col("close") - F.col("low")) - (F.col("high") - F.col("close")), F.col("high") - F.col("low")), F.lit(0.0))
-
-
-def typical() -> Column:
-    return (F.col("high") + F.col("low") + F.col("close")) / 3
-
-
-def indicator_frame(df: DataFrame) -> DataFrame:
-    """Candles spread over chunks, with the previous row's values and the true range."""
-    d = with_halo(df, back=HALO)
-    d = d.withColumns(
-        {
-            "_first": scan.is_first(),
-            **{f"_p{n}": _lag(c) for n, c in (("c", "close"), ("h", "high"), ("l", "low"), ("v", "volume"))},
-        }
-    )
-    pc = F.col("_pc")
-    return d.withColumns(
-        {
-            "_tr": F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - pc), F.abs(F.col("low") - pc)),
-            "_tp": typical(),
-            "_dc": F.coalesce(F.col("close") - pc, F.lit(0.0)),
-        }
-    )
-
-
-def running_indicators(df: DataFrame) -> DataFrame:
-    """The five indicators that accumulate from the start of the series.
-
-    Steps are computed per chunk, running totals carried between chunks.
-    """
-    d = with_halo(df, back=1)
-    d = d.withColumns({"_pc": _lag("close"), "_pv": _lag("volume")})
-    change = _div(F.col("close"), F.col("_pc")) - 1
-    d = d.withColumns(
-        {
-            "_adi": clv() * F.col("volume"),
-            "_obv": F.coalesce(F.signum(F.col("close") - F.col("_pc")) * F.col("volume"), F.lit(0.0)),
-            "_vpt": F.coalesce(F.col("volume") * change, F.lit(0.0)),
-            "_nvi": F.coalesce(F.when(F.col("volume") < F.col("_pv"), F.log1p(change)), F.lit(0.0)),
-        }
-    )
-    d = drop_halo(d, keep_chunk=True).drop("_pc", "_pv")
-    d = running(
-        d,
-        {
-            "volume_adi": ("sum", "_adi"),
-            "volume_obv": ("sum", "_obv"),
-            "volume_vpt": ("sum", "_vpt"),
-            "_nvi_log": ("sum", "_nvi"),
-            "_c0": ("first", "close"),
+_FAMILIES = {
+    "volume": {
+        "scalar_0": {
+            "_clvv": f"{_CLV} * volume",
+            "_fi": "_dc * volume",
+            "_em": _ratio("((high - _ph) + (low - _pl)) / 2 * (high - low)", "volume"),
         },
-    )
-    return d.withColumns(
-        {"volume_nvi": F.exp("_nvi_log") * 1000, "others_cr": (_div(F.col("close"), F.col("_c0")) - 1) * 100}
-    ).drop("_adi", "_obv", "_vpt", "_nvi", "_nvi_log", "_c0", "_chunk")
-
-
-def _volume(d: DataFrame) -> DataFrame:
-    d = d.withColumns(
-        {
-            "_clvv": clv() * F.col("volume"),
-            "_fi": F.col("_dc") * F.col("volume"),
-            "_em": _div(((F.col("high") - F.col("_ph")) + (F.col("low") - F.col("_pl"))) / 2 * (F.col("high") - F.col("low")), F.col("volume")),
-        }
-    )
-    d = d.withColumns({"volume_cmf": _div(_sum("_clvv", 20), _sum("volume", 20)), "volume_em": sma("_em", 20)})
-    return scan.ema(d, {"volume_fi": ("_fi", scan.span(13))})
-
-
-def _volatility(d: DataFrame) -> DataFrame:
-    d = d.withColumns(
-        {
-            "volatility_bbm": sma("close", 20),
-            "_sd": _over("stddev_pop(close)", 20),
-            "volatility_kcc": sma("_tp", 10),
-            "volatility_kch": sma("(4 * high - 2 * low + close) / 3", 10),
-            "volatility_kcl": sma("(-2 * high + 4 * low + close) / 3", 10),
-            "volatility_dch": _max("close", 20),
-            "volatility_dcl": _min("close", 20),
-        }
-    )
-    d = d.withColumns(
-        {
-            "volatility_bbh": F.col("volatility_bbm") + 2 * F.col("_sd"),
-            "volatility_bbl": F.col("volatility_bbm") - 2 * F.col("_sd"),
-        }
-    )
-    d = d.withColumns(
-        {
-            "volatility_bbhi": _flag(F.col("close") > F.col("volatility_bbh")),
-            "volatility_bbli": _flag(F.col("close") < F.col("volatility_bbl")),
-            "volatility_kchi": _flag(F.col("close") > F.col("volatility_kch")),
-            "volatility_kcli": _flag(F.col("close") < F.col("volatility_kcl")),
-            "volatility_dchi": _flag(F.col("close") >= F.col("volatility_dch")),
-            "volatility_dcli": _flag(F.col("close") <= F.col("volatility_dcl")),
-        }
-    )
-    return scan.ema(d, {"volatility_atr": ("_tr", scan.wilder(14))})
-
-
-def _rows_since(extreme: Column) -> Column:
-    return F.col("_pos") - extreme
-
-
-def _trend(d: DataFrame) -> DataFrame:
-    up, down = F.col("high") - F.col("_ph"), F.col("_pl") - F.col("low")
-    d = d.withColumns(
-        {
-            "_dmp": F.when((up > down) & (up > 0), up).otherwise(0.0),
-            "_dmn": F.when((down > up) & (down > 0), down).otherwise(0.0),
-            "_vmp": F.abs(F.col("high") - F.col("_pl")),
-            "_vmn": F.abs(F.col("low") - F.col("_ph")),
-            "_range": F.col("high") - F.col("low"),
-            **{f"_roc{n}": _roc(n) for n in (10, 15, 20, 30)},
-            "_tps": _over("collect_list(_tp)", 20),
-            "_tpm": sma("_tp", 20),
-            "_conv": (_max("high", 9) + _min("low", 9)) / 2,
-            "_base": (_max("high", 26) + _min("low", 26)) / 2,
-            "trend_ichimoku_b": (_max("high", 52) + _min("low", 52)) / 2,
+        "rolling_1": {
+            "volume_cmf": _ratio(_sum("_clvv", 20), _sum("volume", 20)),
+            "volume_em": _sma("_em", 20),
+        },
+        "ema_1": {"volume_fi": ("_fi", scan.span(13))},
+    },
+    "volatility": {
+        "rolling_1": {
+            "volatility_bbm": _sma("close", 20),
+            "_sd": _last("stddev_pop(close)", 20),
+            "volatility_kcc": _sma("_tp", 10),
+            "volatility_kch": _sma("(4 * high - 2 * low + close) / 3", 10),
+            "volatility_kcl": _sma("(-2 * high + 4 * low + close) / 3", 10),
+            "volatility_dch": _last("max(close)", 20),
+            "volatility_dcl": _last("min(close)", 20),
+        },
+        "ema_1": {"_atr": ("_tr", scan.wilder(14))},
+        "scalar_1": {
+            "volatility_atr": "_atr",
+            "volatility_bbh": "volatility_bbm + 2 * _sd",
+            "volatility_bbl": "volatility_bbm - 2 * _sd",
+            "volatility_bbhi": _flag("close > volatility_bbm + 2 * _sd"),
+            "volatility_bbli": _flag("close < volatility_bbm - 2 * _sd"),
+            "volatility_kchi": _flag("close > volatility_kch"),
+            "volatility_kcli": _flag("close < volatility_kcl"),
+            "volatility_dchi": _flag("close >= volatility_dch"),
+            "volatility_dcli": _flag("close <= volatility_dcl"),
+        },
+    },
+    "trend": {
+        "scalar_0": {
+            "_dmp": "case when high - _ph > _pl - low and high - _ph > 0 then high - _ph else 0D end",
+            "_dmn": "case when _pl - low > high - _ph and _pl - low > 0 then _pl - low else 0D end",
+            "_range": "high - low",
+        },
+        "rolling_1": {
+            **{f"_p{n}": _lag("close", n) for n in (10, 11, 15, 20, 30)},
+            "_tps": _last("collect_list(_tp)", 20),
+            "_tpm": _sma("_tp", 20),
+            "_sma20": _sma("close", 20),
+            "_conv": _mid(9),
+            "_base": _mid(26),
+            "trend_ichimoku_b": _mid(52),
             # the earliest row holding the extreme
-            "_top": -_over("max(struct(close, -_pos as at))", 25)["at"],
-            "_low": _over("min(struct(close, _pos as at))", 25)["at"],
-            "_sma20": sma("close", 20),
-            "_c11": _lag("close", 11),
-        }
-    )
-    # level 1
-    d = scan.ema(
-        d,
-        {
+            "_top": f"-{_last('max(struct(close, -_pos as at))', 25)}.at",
+            "_low": f"{_last('min(struct(close, _pos as at))', 25)}.at",
+            "trend_vortex_ind_pos": _ratio(_sum("abs(high - _pl)", 14), _sum("_tr", 14)),
+            "trend_vortex_ind_neg": _ratio(_sum("abs(low - _ph)", 14), _sum("_tr", 14)),
+        },
+        "ema_1": {
             "trend_ema_fast": ("close", scan.span(12)),
             "trend_ema_slow": ("close", scan.span(26)),
             "_e15": ("close", scan.span(15)),
-            "_str": ("_tr", scan.wilder(14)),
+            "_atr": ("_tr", scan.wilder(14)),
             "_sdmp": ("_dmp", scan.wilder(14)),
             "_sdmn": ("_dmn", scan.wilder(14)),
             "_er": ("_range", scan.span(9)),
         },
-    )
-    mad = F.aggregate("_tps", F.lit(0.0), lambda acc, x: acc + F.abs(x - F.col("_tpm"))) / F.size("_tps")
-    d = d.withColumns(
-        {
-            "trend_macd": F.col("trend_ema_fast") - F.col("trend_ema_slow"),
-            "trend_adx_pos": F.coalesce(100 * _div(F.col("_sdmp"), F.col("_str")), F.lit(0.0)),
-            "trend_adx_neg": F.coalesce(100 * _div(F.col("_sdmn"), F.col("_str")), F.lit(0.0)),
-            "trend_vortex_ind_pos": _div(_sum("_vmp", 14), _sum("_tr", 14)),
-            "trend_vortex_ind_neg": _div(_sum("_vmn", 14), _sum("_tr", 14)),
-            "trend_cci": _div(F.col("_tp") - F.col("_tpm"), 0.015 * mad),
-            "trend_dpo": F.col("_c11") - F.col("_sma20"),
-            "trend_kst": 100
-            * (sma("_roc10", 10) + 2 * sma("_roc15", 10) + 3 * sma("_roc20", 10) + 4 * sma("_roc30", 15)),
-            "trend_ichimoku_a": (F.col("_conv") + F.col("_base")) / 2,
-            "trend_aroon_up": 100 * (25 - _rows_since(F.col("_top"))) / 25,
-            "trend_aroon_down": 100 * (25 - _rows_since(F.col("_low"))) / 25,
-        }
-    ).drop("_tps")
-    pos, neg = F.col("trend_adx_pos"), F.col("trend_adx_neg")
-    d = d.withColumns(
-        {
-            "_dx": F.coalesce(100 * _div(F.abs(pos - neg), pos + neg), F.lit(0.0)),
-            "trend_vortex_diff": F.col("trend_vortex_ind_pos") - F.col("trend_vortex_ind_neg"),
+        "scalar_1": {
+            "trend_macd": "trend_ema_fast - trend_ema_slow",
+            "trend_adx_pos": f"coalesce(100 * {_ratio('_sdmp', '_atr')}, 0D)",
+            "trend_adx_neg": f"coalesce(100 * {_ratio('_sdmn', '_atr')}, 0D)",
+            "_dx": f"coalesce(100 * {_ratio('abs(_sdmp - _sdmn)', '_sdmp + _sdmn')}, 0D)",
+            "trend_vortex_diff": "trend_vortex_ind_pos - trend_vortex_ind_neg",
+            "trend_cci": _ratio(
+                "_tp - _tpm", "0.015D * (aggregate(_tps, 0D, (a, x) -> a + abs(x - _tpm)) / size(_tps))"
+            ),
+            "trend_dpo": "_p11 - _sma20",
+            **{f"_roc{n}": _ratio(f"close - _p{n}", f"_p{n}") for n in (10, 15, 20, 30)},
+            "trend_ichimoku_a": "(_conv + _base) / 2",
+            "trend_aroon_up": "100 * (25 - (_pos - _top)) / 25",
+            "trend_aroon_down": "100 * (25 - (_pos - _low)) / 25",
+            "trend_aroon_ind": "100 * (_top - _low) / 25",
+        },
+        "rolling_2": {
+            "trend_kst": f"100 * ({_sma('_roc10', 10)} + 2 * {_sma('_roc15', 10)} + 3 * {_sma('_roc20', 10)}"
+            f" + 4 * {_sma('_roc30', 15)})",
             "trend_visual_ichimoku_a": _lag("trend_ichimoku_a", 26),
             "trend_visual_ichimoku_b": _lag("trend_ichimoku_b", 26),
-            "trend_aroon_ind": F.col("trend_aroon_up") - F.col("trend_aroon_down"),
-            "trend_kst_sig": sma("trend_kst", 9),
-        }
-    )
-    # level 2
-    d = scan.ema(
-        d,
-        {
+        },
+        "ema_2": {
             "trend_macd_signal": ("trend_macd", scan.span(9)),
             "_ee15": ("_e15", scan.span(15)),
             "trend_adx": ("_dx", scan.wilder(14)),
             "_eer": ("_er", scan.span(9)),
         },
-    )
-    d = d.withColumns(
-        {
-            "trend_macd_diff": F.col("trend_macd") - F.col("trend_macd_signal"),
-            "trend_kst_diff": F.col("trend_kst") - F.col("trend_kst_sig"),
-            "_mass": _div(F.col("_er"), F.col("_eer")),
-        }
-    )
-    # level 3
-    d = scan.ema(d, {"_eee15": ("_ee15", scan.span(15))})
-    d = d.withColumns({"_pe": _lag("_eee15"), "trend_mass_index": _sum("_mass", 25)})
-    return d.withColumn("trend_trix", 100 * _div(F.col("_eee15") - F.col("_pe"), F.col("_pe")))
-
-
-def _momentum(d: DataFrame) -> DataFrame:
-    dc = F.col("_dc")
-    d = d.withColumns(
-        {
-            "_gain": F.greatest(dc, F.lit(0.0)),
-            "_loss": F.greatest(-dc, F.lit(0.0)),
-            "_adc": F.abs(dc),
+        "scalar_2": {
+            "trend_macd_diff": "trend_macd - trend_macd_signal",
+            "_mass": _ratio("_er", "_eer"),
+        },
+        "rolling_3": {"trend_kst_sig": _sma("trend_kst", 9), "trend_mass_index": _sum("_mass", 25)},
+        "ema_3": {"_eee15": ("_ee15", scan.span(15))},
+        "rolling_4": {"_pe": _lag("_eee15")},
+        "scalar_4": {
+            "trend_trix": f"100 * {_ratio('_eee15 - _pe', '_pe')}",
+            "trend_kst_diff": "trend_kst - trend_kst_sig",
+        },
+    },
+    "momentum": {
+        "scalar_0": {
+            "_gain": "greatest(_dc, 0D)",
+            "_loss": "greatest(-_dc, 0D)",
+            "_adc": "abs(_dc)",
+            "_bp": "close - least(low, _pc)",
+        },
+        "rolling_1": {
             "_ptp": _lag("_tp"),
-            "_bp": F.col("close") - F.least(F.col("low"), F.col("_pc")),
-            "_h14": _max("high", 14),
-            "_l14": _min("low", 14),
-            "momentum_ao": sma("(high + low) / 2", 5) - sma("(high + low) / 2", 34),
-        }
-    )
-    tp, flow = F.col("_tp"), F.col("_tp") * F.col("volume")
-    d = d.withColumns(
-        {
-            "_mfp": F.when(tp > F.col("_ptp"), flow).otherwise(0.0),
-            "_mfn": F.when(tp < F.col("_ptp"), flow).otherwise(0.0),
-            "momentum_stoch": _div(100 * (F.col("close") - F.col("_l14")), F.col("_h14") - F.col("_l14")),
-            "momentum_wr": _div(-100 * (F.col("_h14") - F.col("close")), F.col("_h14") - F.col("_l14")),
-            "momentum_uo": 100
-            * (
-                4 * _div(_sum("_bp", 7), _sum("_tr", 7))
-                + 2 * _div(_sum("_bp", 14), _sum("_tr", 14))
-                + _div(_sum("_bp", 28), _sum("_tr", 28))
-            )
-            / 7,
-        }
-    )
-    d = d.withColumns(
-        {
-            "_smfp": _sum("_mfp", 14),
-            "_smfn": _sum("_mfn", 14),
-            "momentum_stoch_signal": sma("momentum_stoch", 3),
-        }
-    )
-    # without losses (or outflow) the ratio is unbounded and the index 100
-    d = d.withColumn("momentum_mfi", F.coalesce(100 - _div(F.lit(100.0), 1 + _div(F.col("_smfp"), F.col("_smfn"))), F.lit(100.0)))
-    d = scan.ema(
-        d,
-        {
+            "_h14": _last("max(high)", 14),
+            "_l14": _last("min(low)", 14),
+            "momentum_ao": f"{_sma('(high + low) / 2', 5)} - {_sma('(high + low) / 2', 34)}",
+            **{f"_avg{n}": _ratio(_sum("_bp", n), _sum("_tr", n)) for n in (7, 14, 28)},
+        },
+        "ema_1": {
             "_sgain": ("_gain", scan.wilder(14)),
             "_sloss": ("_loss", scan.wilder(14)),
             "_m1": ("_dc", scan.span(25)),
             "_a1": ("_adc", scan.span(25)),
         },
-    )
-    rs = _div(F.col("_sgain"), F.col("_sloss"))
-    d = d.withColumn("momentum_rsi", F.coalesce(100 - _div(F.lit(100.0), 1 + rs), F.lit(100.0)))
-    d = scan.ema(d, {"_m2": ("_m1", scan.span(13)), "_a2": ("_a1", scan.span(13))})
-    return d.withColumn("momentum_tsi", F.coalesce(100 * _div(F.col("_m2"), F.col("_a2")), F.lit(0.0)))
+        "scalar_1": {
+            "_mfp": "case when _tp > _ptp then _tp * volume else 0D end",
+            "_mfn": "case when _tp < _ptp then _tp * volume else 0D end",
+            "momentum_stoch": _ratio("100 * (close - _l14)", "_h14 - _l14"),
+            "momentum_wr": _ratio("-100 * (_h14 - close)", "_h14 - _l14"),
+            "momentum_uo": "100 * (4 * _avg7 + 2 * _avg14 + _avg28) / 7",
+            "momentum_rsi": _index("_sgain", "_sloss"),
+        },
+        "rolling_2": {
+            "momentum_mfi": _index(_sum("_mfp", 14), _sum("_mfn", 14)),
+            "momentum_stoch_signal": _sma("momentum_stoch", 3),
+        },
+        "ema_2": {"_m2": ("_m1", scan.span(13)), "_a2": ("_a1", scan.span(13))},
+        "scalar_2": {"momentum_tsi": f"coalesce(100 * {_ratio('_m2', '_a2')}, 0D)"},
+    },
+    "others": {
+        "scalar_0": {
+            "others_dr": f"({_ratio('close', '_pc')} - 1) * 100",
+            "others_dlr": f"100 * ln({_ratio('close', '_pc')})",
+        }
+    },
+}
+COLUMNS = {"volume": VOLUME, "volatility": VOLATILITY, "trend": TREND, "momentum": MOMENTUM, "others": OTHERS}
+# families with indicators that accumulate from the start of the series
+_RUNNING = {"volume", "others"}
 
 
-def _others(d: DataFrame) -> DataFrame:
-    change = _div(F.col("close"), F.col("_pc"))
-    return d.withColumns({"others_dr": (change - 1) * 100, "others_dlr": 100 * F.log(change)})
+def _with(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{e} as {name}" for name, e in columns.items()])
 
 
-_FAMILIES = {
-    "volume": (VOLUME, _volume),
-    "volatility": (VOLATILITY, _volatility),
-    "trend": (TREND, _trend),
-    "momentum": (MOMENTUM, _momentum),
-    "others": (OTHERS, _others),
-}
-_RUNNING = {"volume", "others"}
+def indicator_frame(df: DataFrame) -> DataFrame:
+    """Candles spread over chunks, with the previous row's values and the true range."""
+    d = with_halo(df, back=HALO).withColumn("_first", scan.is_first())
+    d = _with(d, {"_pc": _lag("close"), "_ph": _lag("high"), "_pl": _lag("low")})
+    return _with(
+        d,
+        {
+            "_tr": "greatest(high - low, abs(high - _pc), abs(low - _pc))",
+            "_tp": "(high + low + close) / 3",
+            "_dc": "coalesce(close - _pc, 0D)",
+        },
+    )
+
+
+def running_indicators(df: DataFrame) -> DataFrame:
+    """The five indicators that accumulate from the start of the series.
+
+    Steps are computed per chunk, running totals carried between chunks.
+    """
+    d = _with(with_halo(df, back=1), {"_pc": _lag("close"), "_pv": _lag("volume")})
+    d = _with(
+        d,
+        {
+            "_adi": f"{_CLV} * volume",
+            "_obv": "coalesce(signum(close - _pc) * volume, 0D)",
+            "_vpt": "coalesce(volume * (try_divide(close, _pc) - 1), 0D)",
+            "_nvi": "coalesce(case when volume < _pv then ln(try_divide(close, _pc)) end, 0D)",
+        },
+    )
+    totals = {
+        "volume_adi": ("sum", "_adi"),
+        "volume_obv": ("sum", "_obv"),
+        "volume_vpt": ("sum", "_vpt"),
+        "_nvi_log": ("sum", "_nvi"),
+        "_c0": ("first", "close"),
+    }
+    d = running(drop_halo(d, keep_chunk=True).drop("_pc", "_pv"), totals)
+    d = _with(d, {"volume_nvi": "exp(_nvi_log) * 1000", "others_cr": "(try_divide(close, _c0) - 1) * 100"})
+    return d.drop("_adi", "_obv", "_vpt", "_nvi", "_nvi_log", "_c0", "_chunk")
 
 
 def add_indicators(df: DataFrame, families: Sequence[str] = tuple(_FAMILIES), fill: float | None = None) -> DataFrame:
     """Add the indicator columns of the given families; ``fill`` replaces their nulls."""
     keep = df.columns
-    if _RUNNING & set(families):
-        df = running_indicators(df)
-    carried = [c for c in df.columns if c not in keep]
-    d = indicator_frame(df)
-    names = []
-    for family in families:
-        columns, build = _FAMILIES[family]
-        d = build(d)
-        names += columns
-        # helper columns of one family must not widen the rows of the next
-        helpers = {"_chunk", "_core", "_block", "_head", "_pos", "_first", "_pc", "_ph", "_pl", "_pv", "_tr", "_tp", "_dc"}
-        d = d.select(*[c for c in d.columns if c in helpers or c in keep or c in carried or c in names])
+    names = [c for f in families for c in COLUMNS[f]]
+    d = indicator_frame(running_indicators(df) if _RUNNING & set(families) else df)
+    for stage in STAGES:
+        columns = {k: v for f in families for k, v in _FAMILIES[f].get(stage, {}).items()}
+        if columns:
+            d = scan.ema(d, columns) if stage.startswith("ema") else _with(d, columns)
     d = drop_halo(d).select(*keep, *names)
     return d.fillna(fill, names) if fill is not None else d

@@ -156,7 +156,7 @@ ta as (
     ("close" / first_value("close") over ({W}) - 1) * 100 as others_cr
   from ta1)"""
 
-for _family, (_columns, _) in indicators._FAMILIES.items():
+for _family, _columns in indicators.COLUMNS.items():
     add(
         f"ta_{_family}",
         lambda s, d, f=_family, c=tuple(_columns): tidy(
