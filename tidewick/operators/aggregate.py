@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewick.schema import PK, SERIES
-from tidewick.session import materialise
+from tidewick.session import join_small, materialise
 
 
 def resample(df: DataFrame, period: int) -> DataFrame:
@@ -92,14 +92,10 @@ def _holding(counts: DataFrame, target: Sequence[str], order: str) -> DataFrame:
     return d.where((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
 
 
-def _within(values: DataFrame, goal: DataFrame, keys: Sequence[str], salts: int = 32) -> DataFrame:
-    """Values inside the range of each goal of their key.
-
-    The few goals are repeated per salt and a key's values spread over the salts.
-    """
-    salted = goal.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = values.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(salts)).cast("int"))
-    return spread.join(salted, [*keys, "_salt"]).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+def _within(values: DataFrame, goal: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values inside the range of each goal of their key."""
+    inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
+    return join_small(values, goal, keys, salt_by="_v").where(inside)
 
 
 def exact_median(df: DataFrame, value: str, keys: Sequence[str], alias: str = "median") -> DataFrame:

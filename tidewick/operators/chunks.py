@@ -23,10 +23,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidewick.schema import SERIES
+from tidewick.session import join_small
 
 CHUNK_ROWS = 8192
 BLOCK_ROWS = 256
-SALTS = 32
 
 
 def time_chunk(rows: int | None = None) -> Column:
@@ -204,20 +204,10 @@ def edge_rows(
     )
     order = F.col("timestamp").desc() if newest else F.col("timestamp").asc()
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    near = d.join(wanted, [*keys, "_chunk"], "left_semi").drop("_chunk")
+    near = join_small(d, wanted, [*keys, "_chunk"], "left_semi").drop("_chunk")
     return near.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def attach(
-    df: DataFrame, per_series: DataFrame, keys: Sequence[str] = SERIES, how: str = "inner", salts: int | None = None
-) -> DataFrame:
-    """Join a one-row-per-series table to the rows of each series.
-
-    The small side is repeated per salt and the rows of a series are spread over the salts by
-    time, so that a hot series does not meet its single row in one task.  Where the small side
-    turns out tiny, adaptive execution broadcasts it instead (its own size check).
-    """
-    n = salts or SALTS
-    salted = per_series.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    spread = F.pmod(F.xxhash64("timestamp"), F.lit(n)).cast("int")
-    return df.withColumn("_salt", spread).join(salted, [*keys, "_salt"], how).drop("_salt")
+def attach(df: DataFrame, per_series: DataFrame, keys: Sequence[str] = SERIES, how: str = "inner") -> DataFrame:
+    """Join a one-row-per-series table to the rows of each series (see :func:`join_small`)."""
+    return join_small(df, per_series, keys, how, salt_by="timestamp")

@@ -72,8 +72,8 @@ def clean_infinite(df: DataFrame) -> DataFrame:
 
 def zero_fill(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Null, NaN and infinite values become 0."""
-    bad = lambda c: F.col(c).isNull() | F.isnan(c) | is_infinite(F.col(c))
-    return df.withColumns({c: F.when(bad(c), 0.0).otherwise(F.col(c)) for c in (columns or _doubles(df))})
+    fill = "case when `{0}` is null or isnan(`{0}`) or abs(`{0}`) = double('inf') then 0D else `{0}` end"
+    return df.withColumns({c: F.expr(fill.format(c)) for c in (columns or _doubles(df))})
 
 
 def mean_impute(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = SERIES) -> DataFrame:

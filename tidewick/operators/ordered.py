@@ -139,28 +139,27 @@ def rebase_inverse(rebased: Column, first: Column) -> Column:
     return (1 + rebased) * first
 
 
-def signed_log(c: Column) -> Column:
-    return F.signum(c) * F.log1p(F.abs(c))
+def signed_log(name: str) -> str:
+    return f"signum(`{name}`) * log1p(abs(`{name}`))"
 
 
 def signed_exp(c: Column) -> Column:
-    """Inverse of :func:`signed_log`."""
+    """Inverse of the signed log."""
     return F.signum(c) * F.expm1(F.abs(c))
 
 
 def signed_log_stats(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = SERIES) -> DataFrame:
     """Mean and population deviation of the signed logs, one row per series."""
-    aggs = []
-    for c in columns:
-        aggs += [F.avg(signed_log(F.col(c))).alias(f"{c}_mu"), F.stddev_pop(signed_log(F.col(c))).alias(f"{c}_sigma")]
+    calls = {"mu": "avg", "sigma": "stddev_pop"}
+    aggs = [F.expr(f"{f}({signed_log(c)}) as `{c}_{name}`") for c in columns for name, f in calls.items()]
     return df.groupBy(*keys).agg(*aggs)
 
 
 def signed_log_zscore(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = SERIES) -> DataFrame:
     """``<x>_z``: z-score of the signed log within the series; null where a series is constant."""
     d = attach(df, signed_log_stats(df, columns, keys), keys)
-    z = {f"{c}_z": F.try_divide(signed_log(F.col(c)) - F.col(f"{c}_mu"), F.col(f"{c}_sigma")) for c in columns}
-    return d.withColumns(z)
+    z = [f"try_divide({signed_log(c)} - `{c}_mu`, `{c}_sigma`) as `{c}_z`" for c in columns]
+    return d.selectExpr("*", *z)
 
 
 def denormalize(z: Column, mu: Column, sigma: Column, signed: bool = True) -> Column:

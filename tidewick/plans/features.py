@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewick.functions import indicators
-from tidewick.functions.scalar import date_parts, three_way
+from tidewick.functions.scalar import date_parts
 from tidewick.operators import arbitrage, clean, ordered
 from tidewick.operators.aggregate import resample
-from tidewick.operators.chunks import attach, drop_halo, edge_rows, halo_window, with_halo
+from tidewick.operators.chunks import attach, drop_halo, edge_rows, with_halo
 from tidewick.operators.gaps import gap_fill, impute_candles
 from tidewick.operators.joins import arb_info, cross_exchange_join
 from tidewick.schema import OHLCV, PAIR, PK, SERIES
@@ -107,18 +107,23 @@ def live_features(df: DataFrame, families: Sequence[str] | None = None) -> DataF
     elif families:
         d = indicators.add_indicators(d, families, fill=0.0)
     numeric = [c for c in clean.numeric_projection(d).columns if c != "timestamp"]
+    # two indicators are themselves called <x>_diff: their namesake's difference is <x>_step
+    name = {c: f"{c}_step" if f"{c}_diff" in d.columns else f"{c}_diff" for c in numeric}
     # every look back of the differences and classes in one pass
-    w = halo_window()
-    before = {c: F.lag(c).over(w) for c in numeric}
-    past, signal = F.lag("close", 12).over(w), before["arb_signal"]
-    d = with_halo(d, back=12).withColumns(
-        {
-            **{f"{c}_diff": F.col(c) - F.coalesce(before[c], F.lit(0)) for c in numeric},
-            "diff_percent": F.coalesce(F.try_divide(F.col("close") - before["close"], before["close"]), F.lit(0.0)),
-            "price_increased": F.when(past > F.col("close"), 1).when(past < F.col("close"), -1).otherwise(0),
-            "arb_signal_class": three_way(signal, F.lit(0.01), F.lit(0.01)),
-        }
+    over = f"over (partition by {', '.join(SERIES)}, _chunk order by _block, _pos)"
+    d = with_halo(d, back=12).selectExpr(
+        "*",
+        *[f"`{c}` - coalesce(lag(`{c}`) {over}, 0) as `{name[c]}`" for c in numeric],
+        f"lag(close) {over} as _before",
+        f"lag(close, 12) {over} as _past",
+        f"lag(arb_signal) {over} as _signal",
     )
+    d = d.selectExpr(
+        "*",
+        "coalesce(try_divide(close - _before, _before), 0D) as diff_percent",
+        "case when _past > close then 1 when _past < close then -1 else 0 end as price_increased",
+        "case when _signal > 0.01 then 1 when _signal < 0.01 then -1 else 0 end as arb_signal_class",
+    ).drop("_before", "_past", "_signal")
     return drop_halo(d).drop("volume_adi")
 
 

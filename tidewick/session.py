@@ -2,8 +2,15 @@
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# a table up to this size is broadcast
+BROADCAST_BYTES = 64 << 20
+SALTS = 32
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,3 +43,27 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _row_bytes(schema: T.StructType) -> int:
+    """A generous estimate of a row in memory: 16 bytes per number, 64 per text."""
+    return 32 + sum(16 if isinstance(f.dataType, (T.NumericType, T.BooleanType)) else 64 for f in schema.fields)
+
+
+def join_small(
+    big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", salt_by: str | None = None
+) -> DataFrame:
+    """Join a table that is expected to be tiny, without shuffling the big one where that holds.
+
+    The small side is computed once, stored and counted.  Within ``BROADCAST_BYTES`` it is
+    broadcast.  Beyond, both sides shuffle; with ``salt_by`` a key's rows are spread over salts of that
+    column, and the small side is repeated per salt, so that a hot key fills many tasks.
+    """
+    stored = materialise(small, "small")
+    if stored.count() * _row_bytes(stored.schema) <= BROADCAST_BYTES:
+        return big.join(F.broadcast(stored), list(on), how)
+    if salt_by is None:
+        return big.join(stored, list(on), how)
+    salted = stored.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = big.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
+    return spread.join(salted, [*on, "_salt"], how).drop("_salt")
