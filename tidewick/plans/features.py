@@ -12,7 +12,7 @@ from tidewick.operators.aggregate import resample
 from tidewick.operators.chunks import attach, drop_halo, edge_rows, with_halo
 from tidewick.operators.gaps import gap_fill, impute_candles
 from tidewick.operators.joins import arb_info, cross_exchange_join
-from tidewick.schema import OHLCV, PAIR, PK, SERIES
+from tidewick.schema import OHLCV, PK, SERIES
 from tidewick.session import materialise
 
 # fixed names: features of one exchange in an arbitrage model
@@ -156,6 +156,3 @@ def get_latest_data(
 ) -> DataFrame:
     """:func:`get_data` of the last ``n`` periods before ``now``."""
     return get_data(candles, period, now - n * period, families=families)
-
-
-__all__ = ["ARB_FEATURES", "PAIR", "TRADE_FEATURES"]

@@ -7,8 +7,8 @@ from tidewick.operators import aggregate, arbitrage, clean, evaluate, joins
 from tidewick.operators.chunks import attach
 from tidewick.operators.gaps import _fill_slots
 from tidewick.plans import base
-from tidewick.plans.base import HOUR, K, OHLCV_SQL, PAIR_PK, PK, PRICES, W, candles, grid, restated, sql, states, tidy
-from tidewick.schema import OHLC, OHLCV, SERIES
+from tidewick.plans.base import K, OHLCV_SQL, PAIR_PK, PK, PRICES, W, candles, grid, sql, states, tidy
+from tidewick.schema import OHLCV, SERIES
 from tidewick.schema import PK as PK_COLS
 from tidewick.sources.candles import first_k
 
@@ -520,5 +520,3 @@ add(
         join predictions using ("timestamp", trading_pair, exchange)"""
     ),
 )
-
-__all__ = ["HOUR", "OHLC"]

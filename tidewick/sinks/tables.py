@@ -45,8 +45,13 @@ def write_candles(candles: DataFrame, path: str, mode: str = "append") -> None:
     Rows of one partition value spread over the writing tasks by time, so that neither one task
     writes a hot exchange alone nor every task a file per exchange.
     """
-    spread = candles.repartition(*LAYOUT, F.expr("timestamp div (period * 1048576L)"))
-    spread.write.mode(mode).partitionBy(*LAYOUT).parquet(path)
+    _spread(candles, LAYOUT).write.mode(mode).partitionBy(*LAYOUT).parquet(path)
+
+
+def _spread(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    if not partition_by or not {"timestamp", "period"} <= set(rows.columns):
+        return rows
+    return rows.repartition(*partition_by, F.expr("timestamp div (period * 1048576L)"))
 
 
 def insert_if_absent(
@@ -62,7 +67,7 @@ def insert_if_absent(
     if exists(spark, path):
         stored = spark.read.schema(new.schema).parquet(path)
         rows = new_rows(rows, stored, keys)
-    rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _spread(rows, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def flatten_batches(batches: DataFrame, candles: str = "candles") -> DataFrame:
