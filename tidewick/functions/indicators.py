@@ -9,9 +9,11 @@ are.  A lag before the start is null.  Input: gap-free candles.
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewick.operators import scan
-from tidewick.operators.chunks import drop_halo, running, with_halo
+from tidewick.operators.chunks import drop_halo, with_halo
+from tidewick.schema import PK, SERIES
 
 HALO = 1024
 
@@ -77,6 +79,20 @@ def _index(up: str, down: str) -> str:
 # where the close lies within the range: -1 at the low, 1 at the high, 0 on a flat candle
 _CLV = "coalesce(try_divide((close - low) - (high - close), high - low), 0D)"
 
+# what each candle adds to the indicators that accumulate from the start of the series
+_STEPS = {
+    "_adi": f"{_CLV} * volume",
+    "_obv": "coalesce(signum(close - _pc) * volume, 0D)",
+    "_vpt": "coalesce(volume * (try_divide(close, _pc) - 1), 0D)",
+    "_nvi": "coalesce(case when volume < _pv then ln(try_divide(close, _pc)) end, 0D)",
+}
+
+
+def _total(step: str) -> str:
+    """The total before the chunk plus the chunk's own steps so far."""
+    return f"_before{step} + sum(case when _core then {step} end) {_OVER} rows between unbounded preceding and current row)"
+
+
 # Each family lists its columns by stage; the stages of all requested families run together, so that
 # one window serves them all.  Stages named ema hold (source, smoothing factor).
 STAGES = ["scalar_0", "rolling_1", "ema_1", "scalar_1", "rolling_2", "ema_2", "scalar_2", "rolling_3", "ema_3", "rolling_4", "scalar_4"]
@@ -84,6 +100,7 @@ STAGES = ["scalar_0", "rolling_1", "ema_1", "scalar_1", "rolling_2", "ema_2", "s
 _FAMILIES = {
     "volume": {
         "scalar_0": {
+            **_STEPS,
             "_clvv": f"{_CLV} * volume",
             "_fi": "_dc * volume",
             "_em": _ratio("((high - _ph) + (low - _pl)) / 2 * (high - low)", "volume"),
@@ -91,6 +108,10 @@ _FAMILIES = {
         "rolling_1": {
             "volume_cmf": _ratio(_sum("_clvv", 20), _sum("volume", 20)),
             "volume_em": _sma("_em", 20),
+            "volume_adi": _total("_adi"),
+            "volume_obv": _total("_obv"),
+            "volume_vpt": _total("_vpt"),
+            "volume_nvi": f"exp({_total('_nvi')}) * 1000",
         },
         "ema_1": {"volume_fi": ("_fi", scan.span(13))},
     },
@@ -225,6 +246,7 @@ _FAMILIES = {
         "scalar_0": {
             "others_dr": f"({_ratio('close', '_pc')} - 1) * 100",
             "others_dlr": f"100 * ln({_ratio('close', '_pc')})",
+            "others_cr": f"({_ratio('close', '_c0')} - 1) * 100",
         }
     },
 }
@@ -237,10 +259,16 @@ def _with(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr("*", *[f"{e} as {name}" for name, e in columns.items()])
 
 
-def indicator_frame(df: DataFrame) -> DataFrame:
-    """Candles spread over chunks, with the previous row's values and the true range."""
-    d = with_halo(df, back=HALO).withColumn("_first", scan.is_first())
-    d = _with(d, {"_pc": _lag("close"), "_ph": _lag("high"), "_pl": _lag("low")})
+def indicator_frame(df: DataFrame, totals: bool) -> DataFrame:
+    """Candles spread over chunks, with the previous row's values and the true range.
+
+    With ``totals`` also what the chunk inherits; that join uses the chunks' partitioning.
+    """
+    d = with_halo(df, back=HALO)
+    if totals:
+        d = d.join(carried_totals(df), [*SERIES, "_chunk"], "left")
+    d = d.withColumn("_first", scan.is_first())
+    d = _with(d, {"_pc": _lag("close"), "_ph": _lag("high"), "_pl": _lag("low"), "_pv": _lag("volume")})
     return _with(
         d,
         {
@@ -251,38 +279,30 @@ def indicator_frame(df: DataFrame) -> DataFrame:
     )
 
 
-def running_indicators(df: DataFrame) -> DataFrame:
-    """The five indicators that accumulate from the start of the series.
+def carried_totals(df: DataFrame) -> DataFrame:
+    """What each chunk inherits: the totals of all steps before it and the series' first close.
 
-    Steps are computed per chunk, running totals carried between chunks.
+    A narrow pass over prices and volume that leaves one row per chunk.
     """
-    d = _with(with_halo(df, back=1), {"_pc": _lag("close"), "_pv": _lag("volume")})
-    d = _with(
-        d,
-        {
-            "_adi": f"{_CLV} * volume",
-            "_obv": "coalesce(signum(close - _pc) * volume, 0D)",
-            "_vpt": "coalesce(volume * (try_divide(close, _pc) - 1), 0D)",
-            "_nvi": "coalesce(case when volume < _pv then ln(try_divide(close, _pc)) end, 0D)",
-        },
+    d = with_halo(df.select(*PK, "high", "low", "close", "volume"), back=1)
+    d = _with(_with(d, {"_pc": _lag("close"), "_pv": _lag("volume")}), _STEPS)
+    own = [f"sum({name}) as {name}" for name in _STEPS]
+    chunks = drop_halo(d, keep_chunk=True).groupBy(*SERIES, "_chunk")
+    chunks = chunks.agg(*[F.expr(e) for e in own], F.min_by("close", "timestamp").alias("_c0"))
+    upto = f"(partition by {', '.join(SERIES)} order by _chunk rows between unbounded preceding and"
+    return chunks.selectExpr(
+        *SERIES,
+        "_chunk",
+        *[f"coalesce(sum({name}) over {upto} 1 preceding), 0D) as _before{name}" for name in _STEPS],
+        f"first(_c0) over {upto} current row) as _c0",
     )
-    totals = {
-        "volume_adi": ("sum", "_adi"),
-        "volume_obv": ("sum", "_obv"),
-        "volume_vpt": ("sum", "_vpt"),
-        "_nvi_log": ("sum", "_nvi"),
-        "_c0": ("first", "close"),
-    }
-    d = running(drop_halo(d, keep_chunk=True).drop("_pc", "_pv"), totals)
-    d = _with(d, {"volume_nvi": "exp(_nvi_log) * 1000", "others_cr": "(try_divide(close, _c0) - 1) * 100"})
-    return d.drop("_adi", "_obv", "_vpt", "_nvi", "_nvi_log", "_c0", "_chunk")
 
 
 def add_indicators(df: DataFrame, families: Sequence[str] = tuple(_FAMILIES), fill: float | None = None) -> DataFrame:
     """Add the indicator columns of the given families; ``fill`` replaces their nulls."""
     keep = df.columns
     names = [c for f in families for c in COLUMNS[f]]
-    d = indicator_frame(running_indicators(df) if _RUNNING & set(families) else df)
+    d = indicator_frame(df, bool(_RUNNING & set(families)))
     for stage in STAGES:
         columns = {k: v for f in families for k, v in _FAMILIES[f].get(stage, {}).items()}
         if columns:
