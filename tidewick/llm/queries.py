@@ -3,8 +3,11 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewick.llm import exact_dedup, url_filter
+from tidewick.llm import exact_dedup, packing, secret_scan, token_files, url_filter
+from tidewick.llm.token_units import vocabulary
+from tidewick.session import scratch_path
 
 # fixed values: the rules of the URL query
 URL_RULES = [
@@ -20,6 +23,33 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf, "documents"))
+    base = [r.kind for r in secret_scan.BASE]
+    mine = F.filter("findings", lambda f: f["kind"].isin(base))
+
+    def count(kind):
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, base),
+        F.sha2(secret_scan.spans_text(mine).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("findings")).alias("spans"),
+    )
+
+
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.digests(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write(table(spark, sf, "documents"), path, vocabulary("word_bpe_49k.json"), 2)
+    found = token_files.read(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf, "documents"))
 
@@ -29,10 +59,50 @@ def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_exact_dedup, op8_url_filter)
+    f.__name__: f for f in (op1_secret_scan, op3_packing, op4_token_files, op6_exact_dedup, op8_url_filter)
+}
+
+_SECRETS = {
+    "assign": (r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"""
+               r"""[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    "access": (r"AKIA[A-Z0-9]+", 0, 16),
+    "hex": (r"[0-9a-f]+", 0, 32),
+    "github": (r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    "jwt": (r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
+    "pem": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
 }
 
+
+def _secrets_sql() -> str:
+    parts = []
+    for k, (kind, (pattern, group, least)) in enumerate(_SECRETS.items()):
+        text = pattern.replace("'", "''")
+        parts.append(
+            f"select doc_id, {k} as rank, '{kind}' as kind, {least} as least, regexp_extract_all(t, '{text}', 0) as m, "
+            f"regexp_extract_all(t, '{text}', {group}) as g, regexp_split_to_array(t, '{text}') as gaps from docs"
+        )
+    return f"""
+with docs as (select doc_id, coalesce(text, '') as t from documents),
+matches as ({" union all ".join(parts)}),
+places as (select *, unnest(range(1, len(m) + 1)) as i from matches where len(m) > 0),
+found as (
+  select *, start + length(m[i]) as stop
+  from (select *, (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                   + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::bigint as start from places)
+  where length(g[i]) >= least),
+spans as (select doc_id, start, rank, kind, kind || ':' || start || ':' || stop as span from found)
+select doc_id,
+       count(span) filter (kind = 'assign') as n_assign,
+       count(span) filter (kind = 'access') as n_access,
+       count(span) filter (kind = 'hex') as n_hex,
+       sha256(coalesce(string_agg(span, ',' order by start, rank) filter (rank < 3), '')) as base_sha256,
+       coalesce(string_agg(span, ',' order by start, rank), '') as spans
+from docs left join spans using (doc_id) group by doc_id
+"""
+
+
 ORACLES = {
+    "op1_secret_scan": _secrets_sql(),
     "op6_exact_dedup": """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
        doc_id = max(doc_id) over same as kept, sha256(norm) as text_sha256
