@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewick.llm import exact_dedup, license_scan, neighbours, packing, quality, secret_scan, token_files, url_filter
+from tidewick.llm import exact_dedup, license_scan, neighbours, packing, quality, secret_scan, segmentations, token_files, url_filter
 from tidewick.llm.token_units import vocabulary
 from tidewick.session import scratch_path
 
@@ -62,6 +62,10 @@ def op2_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf, "embeddings"))
 
 
+def op7_segmentations(spark: SparkSession, sf: str) -> DataFrame:
+    return segmentations.encode(table(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"), digests=True)
+
+
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.resample(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -73,8 +77,8 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_secret_scan, op2_neighbours, op3_packing, op4_token_files, op6_exact_dedup, op8_url_filter, op9_quality,
-        op10_license_scan,
+        op1_secret_scan, op2_neighbours, op3_packing, op4_token_files, op6_exact_dedup, op7_segmentations, op8_url_filter,
+        op9_quality, op10_license_scan,
     )
 }
 

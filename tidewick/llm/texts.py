@@ -63,14 +63,25 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data | 32, data).astype(np.uint8)
 
 
+class Spans:
+    """Hashes of any spans of some bytes, from one running sum."""
+
+    def __init__(self, data: np.ndarray):
+        self.size = len(data)
+        with np.errstate(over="ignore"):
+            terms = (data.astype(np.uint64) + np.uint64(1)) * _power("up", self.size)
+            self.sums = np.zeros(self.size + 1, np.uint64)
+            np.cumsum(terms, out=self.sums[1:])
+
+    def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            value = (self.sums[ends] - self.sums[starts]) * _power("down", self.size + 1)[starts]
+            return mix(value ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+
+
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every ``data[start:end]``."""
-    with np.errstate(over="ignore"):
-        terms = (data.astype(np.uint64) + np.uint64(1)) * _power("up", len(data))
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(terms, out=sums[1:])
-        value = (sums[ends] - sums[starts]) * _power("down", len(data) + 1)[starts]
-        return mix(value ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    return Spans(data).hash(starts, ends)
 
 
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
