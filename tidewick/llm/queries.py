@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewick.llm import exact_dedup, license_scan, neighbours, packing, quality, secret_scan, segmentations, token_files, url_filter
+from tidewick.llm import exact_dedup, jaccard_join, license_scan, neighbours, packing, quality, secret_scan, segmentations, token_files, url_filter
 from tidewick.llm.token_units import vocabulary
 from tidewick.session import scratch_path
 
@@ -50,6 +50,10 @@ def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf, "documents"))
 
@@ -77,7 +81,7 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_secret_scan, op2_neighbours, op3_packing, op4_token_files, op6_exact_dedup, op7_segmentations, op8_url_filter,
+        op1_secret_scan, op2_neighbours, op3_packing, op4_token_files, op5_jaccard_join, op6_exact_dedup, op7_segmentations, op8_url_filter,
         op9_quality, op10_license_scan,
     )
 }

@@ -124,20 +124,26 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def shingles(hashes: np.ndarray, rows: np.ndarray, n_rows: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(hash, row)`` of all runs of ``width`` words; a row with fewer words gives its whole sequence as one."""
+    """Hashes of all runs of ``width`` words, row by row, and their number per row.
+
+    A row with fewer words gives its whole sequence as one, a row without words none.
+    """
     words = np.bincount(rows, minlength=n_rows)
     first = np.cumsum(words) - words
-    with np.errstate(over="ignore"):
-        def rolled(start, count):
-            h = np.zeros(len(start), np.uint64)
-            for k in range(count):
+    count = np.where(words >= width, words - width + 1, np.minimum(words, 1))
+    begin = np.cumsum(count) - count
+    out = np.zeros(int(count.sum()), np.uint64)
+
+    def rolled(start: np.ndarray, size: int) -> np.ndarray:
+        h = np.full(len(start), size, np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(size):
                 h = mix(h * np.uint64(0x9E3779B97F4A7C15) + hashes[start + k])
-            return h
-
-        full = ragged(first, np.maximum(words - width + 1, 0))
-        parts, where = [rolled(full, width)], [rows[full]]
-        for count in range(1, width):
-            short = np.flatnonzero(words == count)
-            parts.append(rolled(first[short], count) ^ np.uint64(count))
-            where.append(short)
-    return np.concatenate(parts), np.concatenate(where)
+        return h
+
+    full = np.flatnonzero(words >= width)
+    out[ragged(begin[full], count[full])] = rolled(ragged(first[full], count[full]), width)
+    for size in range(1, width):
+        short = np.flatnonzero(words == size)
+        out[begin[short]] = rolled(first[short], size)
+    return out, count
