@@ -1,21 +1,52 @@
-"""The corpus pipeline: each stage takes what the one before it kept, written as Parquet and read again."""
+"""The corpus pipeline: each stage takes what the one before it kept, written as Parquet and read again.
+
+All stages but the last return the columns of ``documents``; the last returns the packed pieces.  Each stage is judged on
+its own input: models, counts and groups are made anew from what it is given.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewick.llm import exact_dedup
+from tidewick.llm import exact_dedup, jaccard_join, packing, quality, secret_scan
+from tidewick.llm.token_units import vocabulary
 from tidewick.session import materialise
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn by importance resampling towards those labelled good; what it rejects goes."""
+    return quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one row stays."""
+    """Of equal texts the row with the largest doc_id stays."""
     return exact_dedup.drop_duplicates(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by n-gram similarity the document with the smallest doc_id stays."""
+    return jaccard_join.one_of_each(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark; n_chars follows."""
+    clean = secret_scan.redact(docs.withColumnRenamed("n_chars", "n_before"))
+    return clean.withColumn("n_chars", F.when(F.col("n_before").isNotNull(), F.char_length("text").cast("long"))).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document's tokens with its sequence and offset."""
+    return packing.digests(docs, vocabulary("byte_bpe_50k.json"))
+
+
 STAGES = [
+    ("quality classifier", keep_quality),
     ("exact dedup", drop_exact_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("secret scans", redact_secrets),
+    ("packing", pack),
 ]
 
-# model scores and sampled order have no SQL form; tests compare the stages with brute force
+# model scores and randomised groups have no SQL form; tests compare the stages with brute force
 ORACLE_SQL = None
 
 
