@@ -5,19 +5,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewick.schema import PK, SERIES
+from tidewick.schema import OHLCV, SERIES
 from tidewick.session import join_small, materialise
 
 
-def resample(df: DataFrame, period: int) -> DataFrame:
+def resample(df: DataFrame, period: int, source: int | None = None) -> DataFrame:
     """Candles of a longer (or the same) period, left-closed and left-labelled.
 
+    A table may hold several periods side by side; each bucket is made of the finest one that it has and
+    that divides ``period`` (or of ``source`` only), never of several.
     Buckets without candles yield no row; :func:`tidewick.operators.gaps.gap_fill` adds them.
     """
-    d = df.select(
+    fits = F.col("period") == source if source else F.lit(period) % F.col("period") == 0
+    d = df.where(fits).select(
         "exchange",
         "trading_pair",
-        F.lit(period).alias("period"),
+        F.col("period").alias("_source"),
         F.expr(f"(timestamp div {period}) * {period}L").alias("_bucket"),
         "timestamp",
         "open",
@@ -26,14 +29,20 @@ def resample(df: DataFrame, period: int) -> DataFrame:
         "close",
         "volume",
     )
-    out = d.groupBy("exchange", "trading_pair", "period", "_bucket").agg(
+    bucket = ["exchange", "trading_pair", "_bucket"]
+    out = d.groupBy(*bucket, "_source").agg(
         F.min_by("open", "timestamp").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         F.max_by("close", "timestamp").alias("close"),
         F.sum("volume").alias("volume"),
     )
-    return out.withColumnRenamed("_bucket", "timestamp").select(*PK, "open", "high", "low", "close", "volume")
+    if not source:
+        values = F.struct("_source", *OHLCV)
+        out = out.groupBy(*bucket).agg(F.min(values).alias("_finest")).select(*bucket, "_finest.*")
+    return out.select(
+        "exchange", "trading_pair", F.lit(period).alias("period"), F.col("_bucket").alias("timestamp"), *OHLCV
+    )
 
 
 def series_bounds(df: DataFrame) -> DataFrame:

@@ -156,9 +156,7 @@ def with_halo(
     and ``ahead`` rows after each chunk, so every frame within these bounds over
     :func:`halo_window` is exact for the chunk's own rows; :func:`drop_halo` removes the copies.
     """
-    rows = rows or CHUNK_ROWS
-    if back > rows or ahead > rows:
-        raise ValueError(f"frame of {back}/{ahead} rows exceeds the chunk of {rows} rows")
+    rows = max(rows or CHUNK_ROWS, back, ahead)
     d = df.withColumn("_pos", F.expr("timestamp div period") if pos is None else pos)
     own, offset = F.expr(f"_pos div {rows}L"), F.expr(f"_pos % {rows}L")
     homes = [own]

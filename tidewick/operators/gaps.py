@@ -25,12 +25,14 @@ def bad_timestamps(df: DataFrame, step: int) -> DataFrame:
 
 
 def dedupe_candles(df: DataFrame, prefer: Sequence[str], keys: Sequence[str] = PK) -> DataFrame:
-    """One row per key: the least by ``prefer``.
+    """One row per key: the least by ``prefer``, nulls last.
 
     An aggregation, so copies collapse before the shuffle however many a key has.
     """
     rest = [c for c in df.columns if c not in keys and c not in prefer]
-    best = F.min(F.struct(*prefer, *rest)).alias("_best")
+    flags = [F.col(c).isNull().alias(f"_null_{c}") for c in prefer]
+    ranked = [x for pair in zip(flags, map(F.col, prefer), strict=True) for x in pair]
+    best = F.min(F.struct(*ranked, *rest)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*[c if c in keys else F.col(f"_best.{c}") for c in df.columns])
 
 

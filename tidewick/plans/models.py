@@ -62,7 +62,8 @@ def eligible(table: DataFrame, keys: Sequence[str], train: int, test: int) -> li
 def forest(features: Sequence[str], **params) -> Pipeline:
     """Random forest on plain columns; labels are 0..n-1 in ``label``."""
     settings = {**DEFAULT_FOREST, **params}
-    settings["maxDepth"] = min(settings["maxDepth"], MAX_DEPTH)
+    if settings["maxDepth"] > MAX_DEPTH:
+        raise ValueError(f"trees are at most {MAX_DEPTH} deep, not {settings['maxDepth']}")
     assemble = VectorAssembler(inputCols=list(features), outputCol="features")
     return Pipeline(stages=[assemble, RandomForestClassifier(labelCol="label", featuresCol="features", **settings)])
 

@@ -10,7 +10,8 @@ from tidewick.plans import base
 from tidewick.plans.base import K, OHLCV_SQL, PAIR_PK, PK, PRICES, W, candles, grid, sql, states, tidy
 from tidewick.schema import OHLCV, SERIES
 from tidewick.schema import PK as PK_COLS
-from tidewick.sources.candles import first_k
+from tidewick.sources.candles import chart_series, first_k
+from tidewick.sources.ticks import read_candles
 
 QUERIES, ORACLES = {}, {}
 
@@ -34,6 +35,29 @@ _DAY = f"""select exchange, trading_pair, 86400::integer as period, ("timestamp"
   sum(volume) as volume from candles group by all"""
 add("resample_ohlcv", lambda s, d: tidy(aggregate.resample(candles(s, d), 86_400)), sql(_DAY, PRICES))
 
+
+def _mixed(s, d):
+    """Five-minute and hourly candles side by side, and pair p1 hourly only after a date."""
+    fine = read_candles(s, d, 300)
+    fine = fine.where((F.col("trading_pair") == "p0") | (F.col("timestamp") < MIXED_UNTIL))
+    return fine.unionByName(candles(s, d))
+
+
+MIXED_UNTIL = 1_705_276_800  # a midnight
+add(
+    "resample_mixed_periods",
+    lambda s, d: tidy(aggregate.resample(_mixed(s, d), 86_400)),
+    sql(_DAY, PRICES),
+)
+add(
+    "resample_one_source",
+    lambda s, d: tidy(aggregate.resample(_mixed(s, d), 86_400, source=300)),
+    sql(
+        f"select * from ({_DAY}) where trading_pair = 'p0' or \"timestamp\" < {MIXED_UNTIL}",
+        PRICES,
+    ),
+)
+
 add(
     "market_avg_candle",
     lambda s, d: tidy(joins.market_average(candles(s, d))),
@@ -55,10 +79,15 @@ add(
 )
 add(
     "chart_series",
-    lambda s, d: tidy(first_k(candles(s, d)).select("api", *PK_COLS, *OHLCV)),
+    lambda s, d: tidy(chart_series(candles(s, d)).select("api", *PK_COLS, *OHLCV)),
+    sql(f"select api, {PK}, {OHLCV_SQL} from candles", PRICES),
+)
+add(
+    "first_k_per_series",
+    lambda s, d: tidy(first_k(candles(s, d), 100).select("api", *PK_COLS, *OHLCV)),
     sql(
         f"""select api, {PK}, {OHLCV_SQL} from candles
-        qualify row_number() over (partition by {K} order by "timestamp") <= 10000""",
+        qualify row_number() over (partition by {K} order by "timestamp") <= 100""",
         PRICES,
     ),
 )

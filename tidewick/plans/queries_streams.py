@@ -2,12 +2,13 @@
 
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewick.functions.scalar import arbitrage_label, seconds_to_datetime
 from tidewick.plans import features, models
-from tidewick.plans.base import HOUR, OHLCV_SQL, PAIR_PK, PK, PRICES, candles, sql, states, tidy
+from tidewick.plans.base import HOUR, K, OHLCV_SQL, PAIR_PK, PK, PRICES, candles, sql, states, tidy
 from tidewick.plans.queries_models import FAMILIES, _trade_models
-from tidewick.plans.queries_tables import _VENDOR_SQL, STORED, _landed
+from tidewick.plans.queries_tables import _VENDOR_SQL, STORED, _damaged, _landed
 from tidewick.schema import OHLCV, PAIR, SERIES
 from tidewick.schema import PK as PK_COLS
 from tidewick.session import materialise, scratch_path
@@ -80,6 +81,35 @@ add(
 )
 
 
+def _stream_rejects(s, d):
+    """Damaged responses among good ones, in two batches, the second when more candles have closed."""
+    out, checkpoint = _folders(s, "stream-rejects")
+    landing = scratch_path(s, "landing")
+    landed = materialise(_damaged(s, d), "landed")
+    for part, now in ((F.col("trading_pair") == "btc_usd", STORED), (F.col("trading_pair") != "btc_usd", 1_894_000_000)):
+        landed.where(part).write.mode("append").json(landing)
+        jobs.ingest(s, landing, landed.schema, out, checkpoint, now)
+    bad = jobs.rejected_candles(s, out, T.StructType.fromDDL("api string, exchange string, trading_pair string, period int"))
+    kept = s.read.schema("api string, exchange string, trading_pair string, period int").parquet(out)
+    count = lambda df, name: df.groupBy("api", *SERIES).agg(F.count(F.lit(1)).alias(name))
+    return count(bad, "rejected").join(count(kept, "kept"), ["api", *SERIES], "full").fillna(0)
+
+
+add(
+    "stream_rejects",
+    _stream_rejects,
+    sql(
+        f"""select * replace (coalesce(kept, 0) as kept) from (
+          select api, {K}, sum(n)::bigint as rejected from (
+            select api, {K}, count(distinct "timestamp" // 86400) as n from vendors group by all
+            union all select 'nobody', {K}, count(distinct "timestamp" // 86400) from vendors group by all
+            union all select api, {K}, count(*) from vendors where api = 'poloniex' group by all) group by all)
+        left join (select api, {K}, count(*) as kept from vendors group by all) using (api, {K})""",
+        ctes=_VENDOR_SQL,
+    ),
+)
+
+
 def _stream_runs(s, d):
     """Arbitrage states arriving in two batches, the second continuing the runs of the first."""
     out, checkpoint = _folders(s, "stream-runs")
@@ -123,7 +153,7 @@ add(
             make_timestamp(("timestamp" + period) * 1000000) as c_time, exchange_1, exchange_2, trading_pair,
             case arbitrage_opportunity when -1 then 'arb from exchange_2 to exchange_1'
               when 1 then 'arb from exchange_1 to exchange_2' else 'no_arbitrage' end as prediction
-          from states order by p_time desc, exchange_1, exchange_2, trading_pair limit 500)
+          from states)
         where p_time > timestamp '2024-01-30 18:05:00' and prediction <> 'no_arbitrage'"""
     ),
 )

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from tidewick.functions.scalar import seconds_to_datetime
 from tidewick.plans import base
 from tidewick.plans.base import HOUR, K, OHLCV_SQL, PK, PRICES, candles, restated, sql, tidy
-from tidewick.schema import OHLCV, SERIES
+from tidewick.schema import OHLCV, PREDICTION, PREDICTION_KEY, PREDICTION_LAYOUT, SERIES
 from tidewick.schema import PK as PK_COLS
 from tidewick.session import scratch_path
 from tidewick.sinks import tables
@@ -41,10 +41,15 @@ add(
     sql(
         f"""select open, "close", high, low, "timestamp", volume, period from candles
         where exchange = 'click' and trading_pair = 'p1' and period = 3600 and "timestamp" >= {T0}
-          and "timestamp" <= 1706227200 order by "timestamp" limit 10000""",
+          and "timestamp" <= 1706227200""",
         PRICES,
     ),
 )
+add(
+    "scan_all_candles",
+    lambda s, d: tidy(scans.scan_candles(_table(s, d), period=HOUR, verbose=True).select("api", *PK_COLS, *OHLCV)),
+    sql(f"select api, {PK}, {OHLCV_SQL} from candles", PRICES),
+)
 add(
     "scan_series",
     lambda s, d: tidy(scans.scan_series(_table(s, d), "view", "p0", HOUR).select(*PK_COLS, *OHLCV)),
@@ -179,15 +184,43 @@ add(
 )
 
 
+def _damaged(s, d):
+    """Beside the good responses: some cut short, some with a candle without its close, some of an unknown vendor."""
+    landed = _landed(s, d)
+    cut = landed.withColumn("payload", F.substring("payload", 1, 5))
+    unknown = landed.withColumn("api", F.lit("nobody"))
+    empty = landed.withColumn("payload", F.lit("[]")).where(F.col("api") == "poloniex")
+    partial = landed.where(F.col("api") == "poloniex").withColumn("payload", F.regexp_replace("payload", '"close":[^,}]*', '"close":null'))
+    return landed.unionByName(cut).unionByName(unknown).unionByName(empty).unionByName(partial)
+
+
+add(
+    "rejected_payloads",
+    lambda s, d: payloads.normalize_candles(payloads.unwrap_payloads(_damaged(s, d)))[1]
+    .groupBy("api", *SERIES).agg(F.count(F.lit(1)).alias("n"), F.count("open").alias("with_open")),
+    sql(
+        f"""select api, {K}, sum(n)::bigint as n, sum(w)::bigint as with_open from (
+          select api, {K}, count(distinct "timestamp" // 86400) as n, 0 as w from vendors group by all
+          union all select 'nobody', {K}, count(distinct "timestamp" // 86400), 0 from vendors group by all
+          union all select api, {K}, count(*), count(*) from vendors where api = 'poloniex' group by all) group by all""",
+        ctes=_VENDOR_SQL,
+    ),
+)
+
+
 def _twice(s, d):
-    """Pages overlap: every response landed twice."""
+    """Pages overlap: every response landed twice, first with values since corrected."""
     landed = _landed(s, d)
-    return landed.unionByName(landed)
+    stale = landed.where(F.col("api") == "poloniex").withColumn(
+        "payload", F.regexp_replace("payload", '"close":[^,}]*', '"close":1')
+    )
+    first = landed.where(F.col("api") != "poloniex").unionByName(stale).withColumn("landed_at", F.lit(1))
+    return landed.withColumn("landed_at", F.lit(2)).unionByName(first)
 
 
 add(
     "vendor_candles",
-    lambda s, d: tidy(payloads.vendor_candles(_twice(s, d))),
+    lambda s, d: tidy(payloads.vendor_candles(_twice(s, d), "landed_at")),
     sql(
         f"""select exchange, case when exchange = 'hitbtc' and trading_pair = 'btc_usd' then 'btc_usdt'
           else trading_pair end as trading_pair, period,
@@ -350,7 +383,35 @@ def _created(s, d):
     return tables.drop_column(scans.read_table(s, path), "api")
 
 
-add("create_tables", lambda s, d: tidy(_created(s, d).select(*PK_COLS, *OHLCV)))
+add(
+    "create_tables",
+    lambda s, d: tidy(_created(s, d).select(*PK_COLS, *OHLCV)),
+    sql(f"select {PK}, {OHLCV_SQL} from candles", PRICES),
+)
+
+
+def _prediction_table(s, d):
+    """The long table of all models' predictions, created empty, then filled twice over."""
+    path = scratch_path(s, "predictions")
+    tables.create_table(s, path, PREDICTION, PREDICTION_LAYOUT)
+    p = base.predictions(s, d).select(
+        "exchange", F.lit("trade").alias("model_type"), "trading_pair", "timestamp", "period",
+        F.col("y_pred").cast("string").alias("prediction"),
+    )
+    both = p.unionByName(p.withColumn("model_type", F.lit("arbitrage")))
+    for part in (both.where(F.col("timestamp") < STORED), both):
+        tables.write_predictions(part, path, PREDICTION_KEY, PREDICTION_LAYOUT, "timestamp")
+    return s.read.schema(PREDICTION).parquet(path).select(*PREDICTION.fieldNames())
+
+
+add(
+    "prediction_table",
+    _prediction_table,
+    sql(
+        """select exchange, m as model_type, trading_pair, "timestamp", period, cast(y_pred as varchar) as prediction
+        from predictions, (values ('trade'), ('arbitrage')) t(m)"""
+    ),
+)
 
 
 def _snapshot(s, d):
@@ -363,6 +424,19 @@ def _snapshot(s, d):
     return scans.read_table(s, latest).withColumn("version", version)
 
 
+def _history(s, d):
+    """The history of a second export that was made from the first one's."""
+    path = scratch_path(s, "snapshots")
+    tables.export_snapshot(candles(s, d), path)
+    tables.export_snapshot(scans.read_table(s, tables.current_history(s, path)), path)
+    return scans.read_table(s, tables.current_history(s, path))
+
+
+add(
+    "snapshot_history",
+    lambda s, d: tidy(_history(s, d).select("api", *PK_COLS, *OHLCV)),
+    sql(f"select api, {PK}, {OHLCV_SQL} from candles", PRICES),
+)
 add(
     "export_snapshot",
     lambda s, d: tidy(_snapshot(s, d).select("version", *PK_COLS, *OHLCV)),

@@ -44,5 +44,16 @@ TICK = T.StructType(
     ]
 )
 
+# predictions of any model, in long form
+PREDICTION = T.StructType(
+    [
+        *[T.StructField(c, T.StringType()) for c in ("exchange", "model_type", "trading_pair")],
+        T.StructField("timestamp", T.LongType()),
+        T.StructField("period", T.IntegerType()),
+        T.StructField("prediction", T.StringType()),
+    ]
+)
+PREDICTION_KEY = ["exchange", "model_type", "trading_pair", "timestamp", "period"]
+PREDICTION_LAYOUT = ["model_type", "period"]
 ARB_PREDICTION_KEY = ["p_time", "exchange_1", "exchange_2", "trading_pair"]
 TRADE_PREDICTION_KEY = ["p_time", "exchange", "trading_pair"]

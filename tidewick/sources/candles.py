@@ -7,8 +7,6 @@ from tidewick.functions.scalar import day_to_seconds, parse_series_name
 from tidewick.operators.chunks import edge_rows
 from tidewick.schema import CANDLE, CANDLE_CSV, OHLCV, SERIES
 
-# fixed value: no query returns more
-SCAN_CAP = 50_000
 SIX = ["open", "close", "high", "low", "timestamp", "volume"]
 
 
@@ -29,10 +27,10 @@ def scan_candles(
     start: int | str | None = None,
     end: int | str | None = None,
     period: int = 300,
-    n: int = 10_000,
+    n: int | None = None,
     verbose: bool = False,
 ) -> DataFrame:
-    """Oldest ``n`` candles matching all given conditions (both time bounds inclusive)."""
+    """Candles matching all given conditions (both time bounds inclusive), oldest first; with ``n`` the oldest ``n``."""
     d = candles.where(F.col("period") == period)
     if exchange is not None:
         d = d.where(F.col("exchange") == exchange)
@@ -42,8 +40,9 @@ def scan_candles(
         d = d.where(F.col("timestamp") >= _bound(start))
     if end is not None:
         d = d.where(F.col("timestamp") <= _bound(end))
-    # ties in time are broken by series so that the cut is deterministic
-    d = d.orderBy("timestamp", "exchange", "trading_pair").limit(min(n, SCAN_CAP))
+    # ties in time are broken by series so that a cut is deterministic
+    d = d.orderBy("timestamp", "exchange", "trading_pair")
+    d = d if n is None else d.limit(n)
     return d if verbose else d.select(*SIX, "period")
 
 
@@ -52,11 +51,16 @@ def latest_k(candles: DataFrame, k: int) -> DataFrame:
     return edge_rows(candles, k).drop("rank")
 
 
-def first_k(candles: DataFrame, k: int = 10_000) -> DataFrame:
-    """Oldest ``k`` candles of every series, for charts."""
+def first_k(candles: DataFrame, k: int) -> DataFrame:
+    """Oldest ``k`` candles of every series."""
     return edge_rows(candles, k, newest=False).drop("rank")
 
 
+def chart_series(candles: DataFrame, k: int | None = None) -> DataFrame:
+    """Candles of every series for charts: all of them, or the oldest ``k``."""
+    return candles if k is None else first_k(candles, k)
+
+
 def scan_series(candles: DataFrame, exchange: str, trading_pair: str, period: int) -> DataFrame:
     """A whole series, newest first."""
     d = candles.where(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewick.functions.scalar import iso_to_seconds
 from tidewick.operators.clean import validate_candles
+from tidewick.operators.gaps import dedupe_candles
 from tidewick.schema import OHLCV
 from tidewick.sources.universe import VENDORS
 
@@ -60,8 +61,13 @@ def payload_candles(api: Column, payload: Column) -> Column:
 
 
 def unwrap_payloads(landed: DataFrame) -> DataFrame:
-    """One row per candle in the vendor's own time unit; all vendors in one pass over the text."""
-    d = landed.withColumn("_c", F.explode(payload_candles(F.col("api"), F.col("payload"))))
+    """One row per candle in the vendor's own time unit; all vendors in one pass over the text.
+
+    A response that cannot be read, or of an unknown vendor, gives one row without values, which
+    :func:`normalize_candles` rejects; a readable response without candles gives none.
+    """
+    found = payload_candles(F.col("api"), F.col("payload"))
+    d = landed.withColumn("_c", F.explode(F.coalesce(found, F.array(F.lit(None)))))
     return d.select(*[c for c in landed.columns if c != "payload"], "_c.*")
 
 
@@ -82,9 +88,11 @@ def normalize_candles(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return validate_candles(d)
 
 
-def vendor_candles(landed: DataFrame) -> DataFrame:
-    """Archive rows (closing_time, OHLC, base_volume), newest page wins nothing: copies collapse.
+def vendor_candles(landed: DataFrame, landed_at: str | None = None) -> DataFrame:
+    """Archive rows (closing_time, OHLC, base_volume), one per candle however often it landed.
 
+    Pages that disagree: the newest by ``landed_at`` (a number) wins, else the least values, so
+    that the result does not depend on the order of files.
     Vendors stamp candles with their opening time, except cryptowatch; hitbtc writes usd for usdt.
     """
     valid, _ = normalize_candles(unwrap_payloads(landed))
@@ -99,5 +107,7 @@ def vendor_candles(landed: DataFrame) -> DataFrame:
         F.when(F.col("api") == "cryptowatch", F.col("timestamp")).otherwise(opened).alias("closing_time"),
         *OHLCV[:-1],
         F.col("volume").alias("base_volume"),
+        *([(-F.col(landed_at)).alias("_age")] if landed_at else []),
     )
-    return d.dropDuplicates(["exchange", "trading_pair", "period", "closing_time"])
+    keys = ["exchange", "trading_pair", "period", "closing_time"]
+    return dedupe_candles(d, [*(["_age"] if landed_at else []), *OHLCV[:-1], "base_volume"], keys).drop("_age")

@@ -14,7 +14,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewick.operators.clean import closed_candles
 from tidewick.schema import PAIR, TICK
-from tidewick.sinks.tables import insert_if_absent, is_directory
+from tidewick.session import materialise
+from tidewick.sinks.tables import insert_if_absent, is_directory, versions
 from tidewick.sources.payloads import normalize_candles, unwrap_payloads
 from tidewick.sources.ticks import ticks_from_events
 
@@ -87,19 +88,37 @@ def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], check
     query.awaitTermination()
 
 
-def ingest(spark: SparkSession, landed: str, schema: T.StructType, table: str, checkpoint: str, now: int) -> None:
+def ingest(
+    spark: SparkSession, landed: str, schema: T.StructType, table: str, checkpoint: str, now: int, side: str | None = None
+) -> None:
     """New response files -> valid, closed candles -> the table, each key once.
 
-    A batch that is repeated after a failure inserts nothing twice.
+    Nothing is lost: candles that cannot be read go to ``side``/rejected, and candles that are still open wait in
+    ``side``/open until a later batch finds them closed (``side`` is by default beside the table).  Both are
+    written per batch, so a batch that is repeated after a failure inserts nothing twice.
     """
-
-    def insert(batch: DataFrame, _: int) -> None:
-        valid, _rejected = normalize_candles(unwrap_payloads(batch))
+    side = side or f"{table.rstrip('/')}-side"
+
+    def insert(batch: DataFrame, number: int) -> None:
+        batch = materialise(unwrap_payloads(batch), "ingest")
+        valid, rejected = normalize_candles(batch)
+        rejected.write.mode("overwrite").parquet(f"{side}/rejected/batch={number}")
+        before = [n for n in versions(spark, f"{side}/open", "batch=") if n < number]
+        if before:
+            valid = valid.unionByName(spark.read.schema(valid.schema).parquet(f"{side}/open/batch={max(before)}"))
+        valid = materialise(valid, "ingest")
         insert_if_absent(closed_candles(valid, now), table)
+        valid.where(F.col("timestamp") + F.col("period") > now).write.mode("overwrite").parquet(f"{side}/open/batch={number}")
 
     run_batches(spark.readStream.schema(schema).json(landed), insert, checkpoint)
 
 
+def rejected_candles(spark: SparkSession, table: str, schema: T.StructType, side: str | None = None) -> DataFrame:
+    """What :func:`ingest` could not read, with the number of its batch."""
+    side = side or f"{table.rstrip('/')}-side"
+    return spark.read.schema(schema).parquet(f"{side}/rejected")
+
+
 def score_stream(
     candles: DataFrame, table: str, score: Callable[[DataFrame], None], checkpoint: str
 ) -> None:
@@ -162,11 +181,13 @@ def window_length_stream(states: DataFrame) -> DataFrame:
 # --- alerts ----------------------------------------------------------------------------------
 
 
-def recent_alerts(predictions: DataFrame, now, within: int = 900, newest: int = 500) -> DataFrame:
-    """Of the newest predictions, those of the last ``within`` seconds that see an arbitrage."""
-    d = predictions.orderBy(F.col("p_time").desc(), "exchange_1", "exchange_2", "trading_pair").limit(newest)
+def recent_alerts(predictions: DataFrame, now, within: int = 900, newest: int | None = None) -> DataFrame:
+    """Predictions of the last ``within`` seconds that see an arbitrage; with ``newest`` the newest so many of them."""
     recent = F.col("p_time") > F.lit(now) - F.make_dt_interval(secs=F.lit(within))
-    return d.where(recent & (F.col("prediction") != "no_arbitrage"))
+    d = predictions.where(recent & (F.col("prediction") != "no_arbitrage"))
+    if newest is None:
+        return d
+    return d.orderBy(F.col("p_time").desc(), "exchange_1", "exchange_2", "trading_pair").limit(newest)
 
 
 def alert_stream(predictions: DataFrame, alert: Callable[[DataFrame, int], None], checkpoint: str) -> None:
