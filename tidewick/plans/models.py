@@ -10,20 +10,21 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewick.functions.scalar import seconds_to_datetime, trade_label
-from tidewick.operators import backtest, clean
-from tidewick.operators.chunks import edge_rows
-from tidewick.schema import PK, SERIES
-from tidewick.session import scratch_path
-from tidewick.sinks.tables import exists
+from tidewick.functions.scalar import arbitrage_label, seconds_to_datetime, trade_label
+from tidewick.operators import backtest, clean, evaluate
+from tidewick.operators.chunks import attach, edge_rows
+from tidewick.plans.forests import forest_nodes, score
+from tidewick.schema import PAIR, SERIES
+from tidewick.session import materialise, scratch_path
+from tidewick.sinks.tables import names_in, touch
 
 # fixed values: the forests of the trade and arbitrage models; Spark ML allows depth 30 at most
 DEFAULT_FOREST = {"numTrees": 100, "maxDepth": 17, "featureSubsetStrategy": "70", "seed": 42}
@@ -43,7 +44,7 @@ def series_table(features: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The features on disk, one partition per series, so that a fit scans its series only."""
     spark = features.sparkSession
     path = scratch_path(spark, "training")
-    spread = features.repartition(*keys, F.expr("timestamp div (period * 1048576L)"))
+    spread = features.repartition(*keys, F.expr("timestamp div (period * 131072L)"))
     spread.write.partitionBy(*keys).parquet(path)
     return spark.read.schema(features.schema).parquet(path)
 
@@ -87,6 +88,21 @@ def artifact(base: str, kind: str, series: Series, params: Mapping | None = None
     return f"{base}/model_{kind}_" + "_".join(parts)
 
 
+def data_marks(table: DataFrame, keys: Sequence[str]) -> dict[Series, str]:
+    """A hash of the training rows of every series, whatever their order."""
+    rows = table.where(F.col("part") == "train")
+    marks = rows.groupBy(*keys).agg(F.hex(F.bit_xor(F.xxhash64(*[c for c in table.columns]))).alias("mark"))
+    return {tuple(r[k] for k in keys): r["mark"] for r in marks.collect()}
+
+
+FINISHED = "FINISHED-"
+
+
+def finished(spark: SparkSession, path: str, mark: str | None = None) -> bool:
+    """Whether a model was saved whole (for the data with this mark)."""
+    return any(n == FINISHED + mark if mark else n.startswith(FINISHED) for n in names_in(spark, path))
+
+
 def fit_all(
     table: DataFrame,
     keys: Sequence[str],
@@ -94,27 +110,33 @@ def fit_all(
     make: Callable[[], Pipeline],
     path_of: Callable[[Series], str],
     parallelism: int = 4,
-) -> dict[Series, PipelineModel]:
-    """Fit and save a model per series; models saved before are loaded instead."""
+) -> dict[Series, str]:
+    """Fit and save a model per series; the path of each.
+
+    A model that was saved whole for the same training rows is kept: its marker is written last and names them.
+    The loop is over series, each fit is a distributed job over that series' partition.
+    """
     spark = table.sparkSession
+    marks = data_marks(table, keys)
 
-    def one(s: Series) -> PipelineModel:
+    def one(s: Series) -> str:
         path = path_of(s)
-        if exists(spark, f"{path}/metadata"):
-            return PipelineModel.load(path)
-        model = make().fit(of_series(table, keys, s).where(F.col("part") == "train"))
-        model.write().overwrite().save(path)
-        return model
+        if not finished(spark, path, marks[s]):
+            make().fit(of_series(table, keys, s).where(F.col("part") == "train")).write().overwrite().save(path)
+            touch(spark, f"{path}/{FINISHED}{marks[s]}")
+        return path
 
-    names = list(series)
+    names = [s for s in series if s in marks]
     with ThreadPoolExecutor(parallelism) as pool:
         return dict(zip(names, pool.map(one, names)))
 
 
-def predict_all(table: DataFrame, keys: Sequence[str], models: Mapping[Series, PipelineModel]) -> DataFrame:
-    """Every series scored by its own model."""
-    scored = [m.transform(of_series(table, keys, s)).drop("features", "rawPrediction") for s, m in models.items()]
-    return reduce(DataFrame.unionByName, scored)
+def predict_all(
+    table: DataFrame, keys: Sequence[str], paths: Mapping[Series, str], features: Sequence[str], keep: Sequence[str]
+) -> DataFrame:
+    """Every series scored by its own saved forest, in one plan."""
+    types = [table.schema[k].dataType for k in keys]
+    return score(table, forest_nodes(table.sparkSession, paths, keys, types), features, keys, keep)
 
 
 def fit_report(predicted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -137,48 +159,102 @@ def random_params(draws: int, choices: Mapping[str, Sequence], seed: int = 42) -
     return [{k: rng.choice(list(v)) for k, v in choices.items()} for _ in range(draws)]
 
 
+SEARCHED = {"max_features": "featureSubsetStrategy", "max_depth": "maxDepth", "n_estimators": "numTrees"}
+
+
+def searched(
+    table: DataFrame, features: Sequence[str], keys: Sequence[str], series: list[Series], candidates: Iterable[dict],
+    base: str, kind: str, keep: Sequence[str],
+) -> DataFrame:
+    """Test rows scored by every candidate's forest of their series: keys, ``keep``, the parameters, prediction.
+
+    All candidates' nodes are one table; the test rows meet them in one plan.
+    """
+    spark = table.sparkSession
+    paths, chosen = {}, []
+    for number, params in enumerate(candidates):
+        found = fit_all(
+            table, keys, series, lambda p=params: forest(features, **p), lambda s, p=params: artifact(base, kind, s, p)
+        )
+        paths |= {(*s, number): path for s, path in found.items()}
+        chosen.append((number, *[str(params.get(p, DEFAULT_FOREST[p])) for p in SEARCHED.values()]))
+    by = [*keys, "_candidate"]
+    types = [*[table.schema[k].dataType for k in keys], T.IntegerType()]
+    tested = table.where(F.col("part") == "test").withColumn(
+        "_candidate", F.explode(F.array(*[F.lit(n) for n, *_ in chosen]))
+    )
+    scored = score(tested, forest_nodes(spark, paths, by, types), features, by, keep)
+    names = spark.createDataFrame(chosen, "_candidate int, max_features string, max_depth string, n_estimators string")
+    return scored.join(names, "_candidate").withColumns(
+        {"max_depth": F.col("max_depth").cast("int"), "n_estimators": F.col("n_estimators").cast("int")}
+    )
+
+
 def search_trade(
     table: DataFrame, features: Sequence[str], series: list[Series], candidates: Iterable[dict], base: str
 ) -> DataFrame:
-    """Backtest of every candidate on every series: one row per (ex_tp, candidate)."""
-    results = []
-    for params in candidates:
-        models = fit_all(
-            table, SERIES, series, lambda p=params: forest(features, **p), lambda s, p=params: artifact(base, "trade", s, p)
-        )
-        tested = predict_all(table.where(F.col("part") == "test"), SERIES, models)
-        d = tested.select(*PK, "close_diff", (F.col("prediction") == 1).alias("y_pred"))
-        results.append(
-            backtest.backtest_summary(d).select(
-                F.concat_ws("_", "exchange", "trading_pair").alias("ex_tp"),
-                "period",
-                *[F.lit(params.get(k, DEFAULT_FOREST[k])).alias(n) for n, k in _PARAMETER_COLUMNS.items()],
-                "pct_gain",
-                "gain",
-                "fees",
-                "net_profit",
-                "pct_net_profit",
-            )
-        )
-    return reduce(DataFrame.unionByName, results)
+    """Backtest of every candidate on every series (of any period): one row per (ex_tp, period, candidate)."""
+    tested = searched(table, features, SERIES, series, candidates, base, "trade", ["timestamp", "close_diff"])
+    runs = [*SERIES, *SEARCHED]
+    d = tested.select(*runs, "timestamp", "close_diff", (F.col("prediction") == 1).alias("y_pred"))
+    # a candidate's run over a series is a series of its own to the backtest
+    own = F.concat_ws("|", "exchange", *SEARCHED)
+    summary = backtest.backtest_summary(d.withColumn("exchange", own).drop(*SEARCHED))
+    parts = F.split("exchange", r"\|")
+    return summary.select(
+        F.concat_ws("_", parts[0], "trading_pair").alias("ex_tp"),
+        "period",
+        parts[1].alias("max_features"),
+        parts[2].cast("int").alias("max_depth"),
+        parts[3].cast("int").alias("n_estimators"),
+        "pct_gain",
+        "gain",
+        "fees",
+        "net_profit",
+        "pct_net_profit",
+    )
 
 
-_PARAMETER_COLUMNS = {"max_features": "featureSubsetStrategy", "max_depth": "maxDepth", "n_estimators": "numTrees"}
+def search_arb(
+    table: DataFrame, features: Sequence[str], series: list[Series], candidates: Iterable[dict], base: str
+) -> tuple[DataFrame, DataFrame]:
+    """Confusion counts and profits of every candidate on every exchange pair.
+
+    ``table`` has pct_profit beside the features; both results have ex_tp, period and the parameters.
+    """
+    tested = searched(table, features, PAIR, series, candidates, base, "arb", ["timestamp", "label", "pct_profit"])
+    tested = materialise(
+        tested.select(
+            F.concat_ws("_", "exchange_1", "exchange_2", "trading_pair").alias("ex_tp"), "period", *SEARCHED,
+            (F.col("label") - 1).cast("int").alias("actual"), (F.col("prediction") - 1).cast("int").alias("predicted"),
+            "pct_profit",
+        ),
+        "searched",
+    )
+    model = ["ex_tp", "period", *SEARCHED]
+    confusion = tested.groupBy(*model, "actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
+    return confusion, evaluate.arb_profit_summary(tested, model, "predicted")
 
 
 def score_newest(
-    spark: SparkSession, rows: DataFrame, keys: Sequence[str], series: Iterable[Series], path_of: Callable[[Series], str]
+    spark: SparkSession, rows: DataFrame, keys: Sequence[str], series: Iterable[Series], path_of: Callable[[Series], str],
+    features: Sequence[str], now: Column | None = None,
 ) -> DataFrame:
-    """Saved models on the newest row of their series, as prediction records."""
+    """Saved models on the newest row of their series, as prediction records.
+
+    p_time is when the predicted period begins, c_time (``now``, by default the clock) when the record was made; trade
+    records carry exchange, arbitrage records (``keys`` of exchange pairs) exchange_1 and exchange_2.
+    """
     newest = edge_rows(rows, 1, keys=keys).drop("rank")
-    models = {s: PipelineModel.load(path_of(s)) for s in series if exists(spark, f"{path_of(s)}/metadata")}
-    scored = predict_all(newest, keys, models)
+    paths = {s: path_of(s) for s in series if finished(spark, path_of(s))}
+    scored = predict_all(newest, keys, paths, features, ["timestamp"])
     due = F.col("timestamp") + F.col("period")
+    made = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
+    pair = "exchange_1" in keys
+    label = arbitrage_label((F.col("prediction") - 1).cast("int")) if pair else trade_label(F.col("prediction") == 1)
     return scored.select(
-        seconds_to_datetime(due).alias("p_time"),
-        "exchange",
-        "trading_pair",
-        trade_label(F.col("prediction") == 1).alias("prediction"),
+        seconds_to_datetime(due).alias("p_time"), made.alias("c_time"), *[k for k in keys if k != "period"],
+        label.alias("prediction"),
     )
 
 
@@ -201,22 +277,57 @@ def stack(rows: DataFrame, features: Sequence[str], members: Sequence[Pipeline],
     return model.transform(d).select(*keys, "timestamp", "part", "label", *inputs, "prediction")
 
 
-def regime_labels(
-    values: DataFrame, column: str, keys: Sequence[str], series: Iterable[Series], k: int = 3, parallelism: int = 4
-) -> DataFrame:
+def regime_labels(values: DataFrame, column: str, keys: Sequence[str], k: int = 3, rounds: int = 15) -> DataFrame:
     """``state`` 0..k-1 of each row by a Gaussian mixture per series, states ordered by their mean.
 
-    An approximation of a hidden Markov model without its transition prior.
+    Expectation maximisation of all series at once: each round is one aggregation over the rows, joined to the k
+    components of their series, so the number of jobs does not depend on the number of series.  An approximation of a
+    hidden Markov model without its transition prior; rounds are fixed, components begin at the series' mean and
+    one deviation around it.
     """
-    assembled = VectorAssembler(inputCols=[column], outputCol="features").transform(values)
-
-    def one(s: Series) -> DataFrame:
-        d = of_series(assembled, keys, s)
-        model = GaussianMixture(k=k, seed=42).fit(d)
-        means = [g.mean[0] for g in model.gaussians]
-        order = {c: rank for rank, c in enumerate(sorted(range(k), key=means.__getitem__))}
-        ranks = F.create_map(*[F.lit(x) for kv in order.items() for x in kv])
-        return model.transform(d).select(*keys, "timestamp", column, ranks[F.col("prediction")].alias("state"))
+    keys = list(keys)
+    d = materialise(values.select(*keys, "timestamp", column, F.col(column).cast("double").alias("_v")), "regimes")
+    start = d.groupBy(*keys).agg(F.avg("_v").alias("_m"), F.greatest(F.stddev_pop("_v"), F.lit(1e-9)).alias("_s"))
+    params = start.select(
+        *keys,
+        F.array(*[F.lit(1.0 / k)] * k).alias("_w"),
+        F.array(*[F.col("_m") + F.col("_s") * (2.0 * i / max(k - 1, 1) - 1.0) for i in range(k)]).alias("_mu"),
+        F.array(*[F.col("_s")] * k).alias("_sd"),
+        (F.col("_s") * 1e-3).alias("_floor"),
+    )
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        return reduce(DataFrame.unionByName, list(pool.map(one, list(series))))
+    def logs(i):
+        z = (F.col("_v") - F.col("_mu")[i]) / F.col("_sd")[i]
+        return F.log(F.greatest(F.col("_w")[i], F.lit(1e-12))) - F.log(F.col("_sd")[i]) - z * z / 2
+
+    for at in range(rounds):
+        joined = attach(d, params, keys)
+        top = F.greatest(*[logs(i) for i in range(k)])
+        joined = joined.withColumns({f"_p{i}": F.exp(logs(i) - top) for i in range(k)})
+        total = sum((F.col(f"_p{i}") for i in range(1, k)), F.col("_p0"))
+        joined = joined.withColumns({f"_p{i}": F.col(f"_p{i}") / total for i in range(k)})
+        sums = joined.groupBy(*keys, "_floor").agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.sum(f"_p{i}").alias(f"_r{i}") for i in range(k)],
+            *[F.sum(F.col(f"_p{i}") * F.col("_v")).alias(f"_a{i}") for i in range(k)],
+            *[F.sum(F.col(f"_p{i}") * F.col("_v") * F.col("_v")).alias(f"_b{i}") for i in range(k)],
+        )
+        share = [F.greatest(F.col(f"_r{i}"), F.lit(1e-12)) for i in range(k)]
+        mean = [F.col(f"_a{i}") / share[i] for i in range(k)]
+        params = materialise(
+            sums.select(
+                *keys,
+                F.array(*[F.col(f"_r{i}") / F.col("_n") for i in range(k)]).alias("_w"),
+                F.array(*mean).alias("_mu"),
+                F.array(*[F.greatest(F.sqrt(F.greatest(F.col(f"_b{i}") / share[i] - mean[i] * mean[i], F.lit(0.0))), F.col("_floor")) for i in range(k)]).alias("_sd"),
+                "_floor",
+            ),
+            "regimes",
+        )
+    joined = attach(d, params, keys)
+    scores = [logs(i) for i in range(k)]
+    best = F.array_position(F.array(*scores), F.greatest(*scores)) - 1
+    rank = F.aggregate(
+        F.col("_mu"), F.lit(0), lambda acc, m: acc + (m < F.element_at("_mu", (F.col("_best") + 1).cast("int"))).cast("int")
+    )
+    return joined.withColumn("_best", best).select(*keys, "timestamp", column, rank.alias("state"))

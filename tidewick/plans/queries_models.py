@@ -4,10 +4,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewick.operators import evaluate, splits
+from tidewick.operators import arbitrage, evaluate, splits
 from tidewick.plans import base, features, models
-from tidewick.plans.base import HOUR, MODEL, candles, labelled, results, sql, tidy
-from tidewick.schema import PAIR, SERIES
+from tidewick.plans.base import HOUR, MODEL, K, candles, labelled, results, sql, tidy
+from tidewick.schema import ARB_PREDICTION_KEY, PAIR, SERIES, TRADE_PREDICTION_KEY
 from tidewick.session import materialise, scratch_path
 from tidewick.sinks.tables import write_predictions
 from tidewick.sources.candles import read_confusions, read_performance
@@ -205,9 +205,6 @@ add(
 
 # --- classifiers -----------------------------------------------------------------------------
 
-# forests of the registered runs are smaller than the library's defaults
-FOREST = {"numTrees": 10, "maxDepth": 6, "featureSubsetStrategy": "20"}
-FAMILIES = ["momentum"]
 PERIOD = HOUR
 
 
@@ -216,7 +213,7 @@ def _trade_columns(df):
 
 
 def _trade_table(s, d):
-    rows = materialise(features.trade_features(candles(s, d), PERIOD, FAMILIES))
+    rows = materialise(features.trade_features(candles(s, d), PERIOD))
     columns = _trade_columns(rows)
     parts = splits.ordered_split(models.trade_rows(rows, columns))
     return models.series_table(parts, SERIES), columns
@@ -226,79 +223,141 @@ def _trade_models(s, d, base_path):
     table, columns = _trade_table(s, d)
     series = models.eligible(table, SERIES, 400, 100)
     fitted = models.fit_all(
-        table, SERIES, series, lambda: models.forest(columns, **FOREST), lambda x: models.artifact(base_path, "trade", x)
+        table, SERIES, series, lambda: models.forest(columns), lambda x: models.artifact(base_path, "trade", x)
     )
     return table, columns, series, fitted
 
 
+REPORTED = ["timestamp", "part", "label"]
+
+
 def _train_trade(s, d):
-    table, _, _, fitted = _trade_models(s, d, scratch_path(s, "models"))
-    return models.fit_report(models.predict_all(table, SERIES, fitted), SERIES)
+    table, columns, _, fitted = _trade_models(s, d, scratch_path(s, "models"))
+    return models.fit_report(models.predict_all(table, SERIES, fitted, columns, REPORTED), SERIES)
 
 
 add("train_trade_model", lambda s, d: tidy(_train_trade(s, d)))
 
 
-def _train_arb(s, d):
-    table = materialise(features.series_features(candles(s, d), PERIOD, FAMILIES))
-    columns = ["close", "volume", "nan_ohlcv", "momentum_rsi", "momentum_mfi"]
-    training = features.arb_training_set(table, PERIOD, columns=columns)
-    inputs = [f"{c}_exchange_{n}" for n in (1, 2) for c in columns] + features.ARB_SHARED
-    rows = materialise(models.arb_rows(training, inputs))
+def _arb_table(s, d):
+    """Features, target and profit of all exchange pairs, split with an embargo."""
+    table = materialise(features.series_features(candles(s, d), PERIOD))
+    training = features.arb_training_set(table, PERIOD)
+    training = arbitrage.with_profit(training, 6 * PERIOD, PERIOD)
+    rows = materialise(models.arb_rows(training, features.ARB_FEATURES))
     keyed = models.series_table(splits.embargo_split(rows, keys=PAIR), PAIR)
-    series = models.eligible(keyed, PAIR, 200, 20)
-    path = scratch_path(s, "models")
+    return keyed, models.eligible(keyed, PAIR, 200, 20)
+
+
+def _arb_models(s, d, path):
+    keyed, series = _arb_table(s, d)
     fitted = models.fit_all(
-        keyed, PAIR, series, lambda: models.forest(inputs, **FOREST), lambda x: models.artifact(path, "arb", x)
+        keyed, PAIR, series, lambda: models.forest(features.ARB_FEATURES), lambda x: models.artifact(path, "arb", x)
     )
-    return models.fit_report(models.predict_all(keyed, PAIR, fitted), PAIR)
+    return keyed, series, fitted
+
+
+def _train_arb(s, d):
+    keyed, _, fitted = _arb_models(s, d, scratch_path(s, "models"))
+    return models.fit_report(models.predict_all(keyed, PAIR, fitted, features.ARB_FEATURES, REPORTED), PAIR)
 
 
 add("train_arb_model", lambda s, d: tidy(_train_arb(s, d)))
 
 
+# A whole grid is hours of fits here (20 candidates a series, 84 an exchange pair); the registered searches run these.
+TRADE_CANDIDATES = [{"maxDepth": d, "featureSubsetStrategy": f, "numTrees": 100} for d, f in ((17, "40"), (25, "60"))]
+ARB_CANDIDATES = [{"maxDepth": d, "featureSubsetStrategy": f, "numTrees": 100} for d, f in ((14, "50"), (21, "80"))]
+
+
 def _search(s, d, candidates):
     table, columns = _trade_table(s, d)
     series = models.eligible(table, SERIES, 400, 100)
     return models.search_trade(table, columns, series, candidates, scratch_path(s, "search"))
 
 
-add(
-    "grid_search",
-    lambda s, d: tidy(_search(s, d, models.param_grid({**{k: [v] for k, v in FOREST.items()}, "maxDepth": [4, 6]}))),
-)
+add("grid_search", lambda s, d: tidy(_search(s, d, TRADE_CANDIDATES)))
 add(
     "random_search",
-    lambda s, d: tidy(
-        _search(
-            s,
-            d,
-            models.random_params(2, {"maxDepth": range(3, 8), "featureSubsetStrategy": ["10", "15", "20"], "numTrees": [5, 8]}),
-        )
-    ),
+    lambda s, d: tidy(_search(s, d, models.random_params(2, {**models.TRADE_GRID, "numTrees": [50, 100]}))),
 )
 
 
+def _arb_search(s, d):
+    """Profits and confusion counts of each candidate on each exchange pair."""
+    keyed, series = _arb_table(s, d)
+    confusion, profits = models.search_arb(keyed, features.ARB_FEATURES, series, ARB_CANDIDATES, scratch_path(s, "search"))
+    model = ["ex_tp", "period", *models.SEARCHED]
+    right = F.col("actual") == F.col("predicted")
+    cells = confusion.groupBy(*model).agg(
+        F.sum("n").alias("n_test"),
+        F.coalesce(F.sum(F.when(right & (F.col("actual") != 0), F.col("n"))), F.lit(0)).alias("correct_arb"),
+    )
+    return cells.join(profits, model, "left")
+
+
+add("arb_grid_search", lambda s, d: tidy(_arb_search(s, d)))
+
+
 def _scored(s, d):
-    """Models trained, saved, loaded and applied to the newest rows; predictions written once."""
+    """Models trained, saved and applied to the newest rows; predictions written once."""
     path, out = scratch_path(s, "models"), scratch_path(s, "scored")
     table, columns, series, _ = _trade_models(s, d, path)
-    rows = features.trade_scoring_rows(candles(s, d), PERIOD, FAMILIES)
+    rows = features.trade_scoring_rows(candles(s, d), PERIOD)
     rows = materialise(models.trade_rows(rows.withColumn("target", F.lit(False)), columns))
-    records = models.score_newest(s, rows, SERIES, series, lambda x: models.artifact(path, "trade", x))
-    keys = ["p_time", "exchange", "trading_pair"]
+    records = models.score_newest(s, rows, SERIES, series, lambda x: models.artifact(path, "trade", x), columns)
     for _ in range(2):
-        write_predictions(records, out, keys)
+        write_predictions(records, out, TRADE_PREDICTION_KEY)
     return s.read.schema(records.schema).parquet(out)
 
 
-add("score_series", lambda s, d: _scored(s, d))
+def _key_rows(s, d):
+    """What does not depend on a forest: one record per series and its time."""
+    found = _scored(s, d)
+    complete = F.col("prediction").isNotNull() & F.col("c_time").isNotNull()
+    return found.select("p_time", "exchange", "trading_pair", complete.alias("complete"))
+
+
+add(
+    "score_series",
+    _key_rows,
+    sql(
+        f"""select make_timestamp((max("timestamp") + 3600) * 1000000) as p_time, exchange, trading_pair, true as complete
+        from grid group by {K} having count(*) > 0"""
+    ),
+)
+
+
+def _arb_scored(s, d):
+    """Forests of all exchange pairs on each pair's newest features."""
+    path, out = scratch_path(s, "models"), scratch_path(s, "scored")
+    _, series, _ = _arb_models(s, d, path)
+    newest = features.arb_features(materialise(features.series_features(candles(s, d), PERIOD)))
+    rows = materialise(models.arb_rows(newest.withColumn("target", F.lit(0)), features.ARB_FEATURES))
+    records = models.score_newest(
+        s, rows, PAIR, series, lambda x: models.artifact(path, "arb", x), features.ARB_FEATURES
+    )
+    for _ in range(2):
+        write_predictions(records, out, ARB_PREDICTION_KEY)
+    found = s.read.schema(records.schema).parquet(out)
+    complete = F.col("prediction").isNotNull() & F.col("c_time").isNotNull()
+    return found.select("p_time", "exchange_1", "exchange_2", "trading_pair", complete.alias("complete"))
+
+
+add(
+    "arb_score_series",
+    _arb_scored,
+    sql(
+        """select make_timestamp((max("timestamp") + 3600) * 1000000) as p_time, exchange_1, exchange_2, trading_pair,
+        true as complete from states group by exchange_1, exchange_2, trading_pair, period"""
+    ),
+)
 
 
 def _roundtrip(s, d):
     """A forest over all series, before and after it was saved."""
     table, columns = _trade_table(s, d)
-    fitted = models.forest(columns, **FOREST).fit(table.where(F.col("part") == "train"))
+    fitted = models.forest(columns).fit(table.where(F.col("part") == "train"))
     path = models.artifact(scratch_path(s, "models"), "trade", ("all",))
     fitted.write().overwrite().save(path)
     both = [
@@ -326,7 +385,7 @@ add(
 
 def _stacked(s, d):
     table, columns = _trade_table(s, d)
-    members = [models.forest(columns, **{**FOREST, "maxDepth": depth}) for depth in (3, 6)]
+    members = [models.forest(columns, maxDepth=depth) for depth in (6, 14)]
     out = models.stack(table, columns, members, SERIES)
     return models.fit_report(out, SERIES)
 
@@ -335,10 +394,8 @@ add("stacked_model", lambda s, d: tidy(_stacked(s, d)))
 
 
 def _regimes(s, d):
-    values = models.series_table(base.predictions(s, d).select(*SERIES, "timestamp", "close_diff"), SERIES)
-    series = sorted(tuple(r) for r in values.select(*SERIES).distinct().collect())
-    return models.regime_labels(values, "close_diff", SERIES, series)
+    values = base.predictions(s, d).select(*SERIES, "timestamp", "close_diff")
+    return models.regime_labels(values, "close_diff", SERIES)
 
 
 add("regime_labels", lambda s, d: tidy(_regimes(s, d)))
-

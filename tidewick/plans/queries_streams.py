@@ -7,13 +7,13 @@ from pyspark.sql import types as T
 from tidewick.functions.scalar import arbitrage_label, seconds_to_datetime
 from tidewick.plans import features, models
 from tidewick.plans.base import HOUR, K, OHLCV_SQL, PAIR_PK, PK, PRICES, candles, sql, states, tidy
-from tidewick.plans.queries_models import FAMILIES, _trade_models
+from tidewick.plans.queries_models import ORACLES as ORACLES_MODELS
+from tidewick.plans.queries_models import _trade_models
 from tidewick.plans.queries_tables import _VENDOR_SQL, STORED, _damaged, _landed
-from tidewick.schema import OHLCV, PAIR, SERIES
+from tidewick.schema import OHLCV, PAIR, SERIES, TRADE_PREDICTION_KEY
 from tidewick.schema import PK as PK_COLS
 from tidewick.session import materialise, scratch_path
 from tidewick.sinks.tables import write_predictions
-from tidewick.sources.candles import latest_k
 from tidewick.streaming import jobs
 
 QUERIES, ORACLES = {}, {}
@@ -160,7 +160,10 @@ add(
 
 
 def _stream_scoring(s, d):
-    """Candles from a date on arrive as a stream; each batch is stored and the newest rows scored."""
+    """Candles from a date on arrive as a stream; each batch is stored and the newest rows scored.
+
+    Running indicators need a series' whole history, as in training, so features are made from all stored candles.
+    """
     path = scratch_path(s, "models")
     _, columns, series, _ = _trade_models(s, d, path)
     table, checkpoint = _folders(s, "stream-scoring")
@@ -169,15 +172,44 @@ def _stream_scoring(s, d):
     rows.write.parquet(arriving)
 
     def score(stored):
-        recent = latest_k(stored, 1000)
-        newest = features.trade_scoring_rows(recent, HOUR, FAMILIES)
+        newest = features.trade_scoring_rows(stored, HOUR)
         newest = materialise(models.trade_rows(newest.withColumn("target", F.lit(False)), columns))
-        found = models.score_newest(s, newest, SERIES, series, lambda x: models.artifact(path, "trade", x))
-        write_predictions(found, out, ["p_time", "exchange", "trading_pair"])
+        found = models.score_newest(s, newest, SERIES, series, lambda x: models.artifact(path, "trade", x), columns)
+        write_predictions(found, out, TRADE_PREDICTION_KEY)
 
     jobs.score_stream(s.readStream.schema(rows.schema).parquet(arriving), table, score, checkpoint)
-    return s.read.schema("p_time timestamp_ntz, exchange string, trading_pair string, prediction string").parquet(out)
+    found = s.read.schema("p_time timestamp_ntz, c_time timestamp_ntz, exchange string, trading_pair string, prediction string").parquet(out)
+    return found.select("p_time", "exchange", "trading_pair", (F.col("prediction").isNotNull() & F.col("c_time").isNotNull()).alias("complete"))
+
 
+add("stream_scoring", _stream_scoring, ORACLES_MODELS["score_series"])
 
-add("stream_scoring", _stream_scoring)
 
+def _stream_alerts(s, d):
+    """Arbitrage predictions in two batches; what the alert stream hands over is kept."""
+    out, checkpoint = _folders(s, "alerts")
+    source = scratch_path(s, "predictions")
+    table = materialise(_arb_predictions(s, d), "predictions")
+    half = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    for part in (F.col("p_time") < half, F.col("p_time") >= half):
+        table.where(part).write.mode("append").parquet(source)
+        jobs.alert_stream(
+            s.readStream.schema(table.schema).parquet(source),
+            lambda batch, number: batch.write.mode("overwrite").parquet(f"{out}/batch={number}"),
+            checkpoint,
+        )
+    return s.read.schema(table.schema).parquet(out).select(*table.columns)
+
+
+add(
+    "alert_stream",
+    _stream_alerts,
+    sql(
+        """select * from (
+          select make_timestamp(("timestamp" + period) * 1000000) as p_time,
+            make_timestamp(("timestamp" + period) * 1000000) as c_time, exchange_1, exchange_2, trading_pair,
+            case arbitrage_opportunity when -1 then 'arb from exchange_2 to exchange_1'
+              when 1 then 'arb from exchange_1 to exchange_2' else 'no_arbitrage' end as prediction
+          from states) where prediction <> 'no_arbitrage'"""
+    ),
+)

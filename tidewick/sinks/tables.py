@@ -33,6 +33,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, p = _path(spark, path)
+    fs.create(p, True).close()
+
+
 def is_directory(spark: SparkSession, path: str) -> bool:
     fs, p = _path(spark, path)
     return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
