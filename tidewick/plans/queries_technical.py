@@ -12,6 +12,7 @@ from tidewick.schema import PK as PK_COLS
 from tidewick.session import materialise
 
 QUERIES, ORACLES = {}, {}
+QUOTED_CLOSE = '"close"'
 
 
 def add(key, query, oracle=None):
@@ -165,18 +166,19 @@ for _family, _columns in indicators.COLUMNS.items():
         sql(f"select {PK}, {', '.join(_columns)} from ta", " ".join(_columns), ctes=TA),
     )
 
-_SOME = ["nan_ohlcv", "volume_cmf", "volume_fi", "volatility_atr", "trend_adx", "trend_trix", "momentum_rsi"]
 add(
     "series_features",
-    lambda s, d: tidy(features.series_features(candles(s, d), HOUR).select(*PK_COLS, *_SOME)),
+    lambda s, d: tidy(features.series_features(candles(s, d), HOUR).select(*PK_COLS, *OHLCV, "nan_ohlcv", *indicators.ALL)),
     sql(
-        f"select {PK}, nan_ohlcv, " + ", ".join(f"coalesce({c}, 0) as {c}" for c in _SOME[1:]) + " from ta",
-        " ".join(_SOME[1:]),
+        f"select {PK}, {', '.join(f'g.{x}' for x in (*OHLCV[:3], QUOTED_CLOSE, 'volume', 'nan_ohlcv'))}, "
+        + ", ".join(f"coalesce(t.{c}, 0) as {c}" for c in indicators.ALL)
+        + f" from grid g join ta t using ({PK})",
+        " ".join([*OHLCV, *indicators.ALL]),
         ctes=TA,
     ),
 )
 
-_PAIR_COLUMNS = ["close", "volume", "nan_ohlcv"]
+_PAIR_COLUMNS = features.ARB_SERIES
 _BOTH = [f"{c}_exchange_{n}" for n in (1, 2) for c in _PAIR_COLUMNS]
 
 
@@ -187,12 +189,16 @@ def _pair_sql(table: str, extra: str = "") -> str:
         + f""", cast(year(t) as integer) as year, cast(month(t) as integer) as month, cast(day(t) as integer) as day,
         higher_closing_price, pct_higher, arbitrage_opportunity, window_length{extra}
         from (select *, make_timestamp("timestamp" * 1000000) as t from {table}) r
-        join grid a on a.exchange = exchange_1 and a.trading_pair = r.trading_pair and a."timestamp" = r."timestamp"
-        join grid b on b.exchange = exchange_2 and b.trading_pair = r.trading_pair and b."timestamp" = r."timestamp" """
+        join feats a on a.exchange = exchange_1 and a.trading_pair = r.trading_pair and a."timestamp" = r."timestamp"
+        join feats b on b.exchange = exchange_2 and b.trading_pair = r.trading_pair and b."timestamp" = r."timestamp" """
     ).replace(PAIR_PK, 'exchange_1, exchange_2, r.trading_pair, r.period, r."timestamp"')
 
 
-_PAIR_DOUBLES = "close_exchange_1 close_exchange_2 volume_exchange_1 volume_exchange_2 pct_higher"
+_PAIR_DOUBLES = " ".join([*[c for c in _BOTH if not c.startswith("nan_")], "pct_higher"])
+# every feature of one exchange, nulls as 0
+_FEATS = TA + f""",
+feats as (select {PK}, g."close", g.volume, g.nan_ohlcv, {", ".join(f"coalesce(t.{c}, 0) as {c}" for c in features.ARB_SERIES[3:])}
+  from grid g join ta t using ({PK}))"""
 
 
 def _pair_features(s, d):
@@ -202,7 +208,7 @@ def _pair_features(s, d):
 add(
     "arb_features",
     lambda s, d: tidy(_pair_features(s, d).select(*PAIR, "timestamp", *_BOTH, *features.ARB_SHARED)),
-    sql(_pair_sql("runs"), _PAIR_DOUBLES),
+    sql(_pair_sql("runs"), _PAIR_DOUBLES, ctes=_FEATS),
 )
 
 
@@ -214,7 +220,7 @@ def _training(s, d):
 add(
     "arb_training_set",
     lambda s, d: tidy(_training(s, d).select(*PAIR, "timestamp", *_BOTH, *features.ARB_SHARED, "target")),
-    sql(_pair_sql("targets", ", target"), _PAIR_DOUBLES),
+    sql(_pair_sql("targets", ", target"), _PAIR_DOUBLES, ctes=_FEATS),
 )
 
 FOUR = 4 * HOUR
@@ -225,21 +231,37 @@ c4 as (select exchange, trading_pair, {FOUR}::integer as period, ("timestamp" //
 s4 as (select {K}, unnest(range(min("timestamp"), max("timestamp") + 1, {FOUR})) as "timestamp" from c4 group by {K}),
 g4 as (select *, last_value("close" ignore nulls) over ({W}) as fc
        from (select s4.*, open, high, low, "close", volume from s4 left join c4 using ({PK}))),
-t4 as (select *, lag(fc) over ({W}) as pc, lead(fc) over ({W}) as nc, make_timestamp("timestamp" * 1000000) as t from g4)"""
-_TRADE = [*OHLCV, "nan_ohlcv", "year", "month", "day", "close_diff", "target"]
+t4 as (select *, lag(fc) over ({W}) as pc, lead(fc) over ({W}) as nc, make_timestamp("timestamp" * 1000000) as t from g4),
+grid4 as (select {K}, "timestamp", coalesce(open, fc) as open, coalesce(high, fc) as high, coalesce(low, fc) as low, fc as "close",
+          coalesce(volume, 0) as volume, cast("close" is null as integer) as nan_ohlcv from g4),
+""" + TA.replace("from grid ", "from grid4 ") + f""",
+filled as (select {PK}, {", ".join(f"case when avg(cast({c} is null as double)) over s < 0.2 then coalesce({c}, avg({c}) over s) end as {c}" for c in features.TRADE_INDICATORS)}
+  from (select {PK}, {", ".join(f"case when isfinite({c}) then {c} end as {c}" for c in features.TRADE_INDICATORS)} from ta)
+  window s as (partition by {K}))"""
+_TRADE = [*features.TRADE_FEATURES, "target"]
+_TRADE_SQL = f"""select {PK}, coalesce(open, fc) as open, coalesce(high, fc) as high, coalesce(low, fc) as low, fc as "close",
+        coalesce(volume, 0) as volume, cast("close" is null as integer) as nan_ohlcv, cast(year(t) as integer) as year,
+        cast(month(t) as integer) as month, cast(day(t) as integer) as day, {", ".join(features.TRADE_INDICATORS)},
+        (fc - pc) / pc as close_diff"""
 add(
     "trade_features",
     lambda s, d: tidy(features.trade_features(candles(s, d), FOUR).select(*PK_COLS, *_TRADE)),
     sql(
-        f"""select {PK}, coalesce(open, fc) as open, coalesce(high, fc) as high, coalesce(low, fc) as low, fc as "close",
-        coalesce(volume, 0) as volume, cast("close" is null as integer) as nan_ohlcv, cast(year(t) as integer) as year,
-        cast(month(t) as integer) as month, cast(day(t) as integer) as day, (fc - pc) / pc as close_diff,
-        (nc - fc) / fc - 0.007 > 0 as target from t4 where pc is not null and nc is not null""",
-        PRICES + " close_diff",
+        f"""{_TRADE_SQL}, (nc - fc) / fc - 0.007 > 0 as target from t4 join filled using ({PK})
+        where pc is not null and nc is not null""",
+        " ".join([PRICES, "close_diff", *features.TRADE_INDICATORS]),
+        ctes=_FOUR_CTES,
+    ),
+)
+add(
+    "trade_scoring_row",
+    lambda s, d: tidy(features.trade_scoring_rows(candles(s, d), FOUR)),
+    sql(
+        f"{_TRADE_SQL} from t4 join filled using ({PK}) where nc is null",
+        " ".join([PRICES, "close_diff", *features.TRADE_INDICATORS]),
         ctes=_FOUR_CTES,
     ),
 )
-add("trade_scoring_row", lambda s, d: tidy(features.trade_scoring_rows(candles(s, d), FOUR)))
 
 _LIVE_IN = [*OHLCV, "imputed", "avg", "arb_diff", "arb_signal", "high_m_low", "close_m_open"]
 _LIVE_DIFFS = [f"{c}_diff" for c in _LIVE_IN]
