@@ -114,10 +114,12 @@ def best_per_group(df: DataFrame, group: str, metric: str, tie: Sequence[str]) -
     return best.select(*[c if c == group else F.col(f"_b.{c}") for c in df.columns])
 
 
-def select_models(scored: DataFrame, tie: Sequence[str]) -> DataFrame:
+def select_models(
+    scored: DataFrame, tie: Sequence[str], wrong: float = 0.30, correct: int = 25, profit: float = 0.2
+) -> DataFrame:
     """Models rarely wrong on class 0, often right on arbitrage and profitable: the best per series."""
     good = scored.where(
-        (F.col("pct_wrong_0") < 0.30) & (F.col("correct_arb") > 25) & (F.col("pct_profit_mean") > 0.2)
+        (F.col("pct_wrong_0") < wrong) & (F.col("correct_arb") > correct) & (F.col("pct_profit_mean") > profit)
     )
     return best_per_group(good, "ex_tp", "correct_arb", tie)
 

@@ -150,10 +150,11 @@ def _selectable(s, d):
 
 add(
     "select_models",
-    lambda s, d: tidy(evaluate.select_models(_selectable(s, d), ["model_name"])),
+    # the naive predictors compared here are rarely right, so the thresholds are lower than the defaults
+    lambda s, d: tidy(evaluate.select_models(_selectable(s, d), ["model_name"], 0.5, 0, 0.1)),
     sql(
         f"""select {', '.join(MODEL)}, {', '.join(_CARD)}, pct_profit_mean + 0.55 as pct_profit_mean, pct_profit_median
-        from performance where pct_wrong_0 < 0.3 and correct_arb > 25 and pct_profit_mean + 0.55 > 0.2
+        from performance where pct_wrong_0 < 0.5 and correct_arb > 0 and pct_profit_mean + 0.55 > 0.1
         qualify row_number() over (partition by ex_tp order by correct_arb desc, model_name) = 1""",
         f"{_WRONG} {_PROFITS}",
         ctes=_ALL,

@@ -249,12 +249,18 @@ def _universe(s, d):
     return listed.join(stored, ["api", "exchange", "trading_pair"], "left").fillna(0, ["n"])
 
 
+# fixed values: the listed series
 _LISTED = [
-    (api, e, p)
-    for api, v in universe.VENDORS.items()
-    if not v.get("disabled")
-    for e, pairs in v["exchanges"].items()
-    for p in pairs
+    (api, exchange, pair)
+    for api, exchange, pairs in (
+        ("cryptowatch", "gemini", "eth_btc btc_usd"),
+        ("cryptowatch", "kraken", "eth_btc btc_usd bat_btc link_eth bch_btc eos_usd"),
+        ("coincap", "binance", "eth_btc btc_usdt bat_btc link_eth bch_btc"),
+        ("hitbtc", "hitbtc", "eth_btc btc_usd bat_btc eos_usd"),
+        ("bitfinex", "bitfinex", "eth_btc btc_usd bat_btc bch_btc eos_usd"),
+        ("poloniex", "poloniex", "eth_btc btc_usdt bat_btc eos_usdt"),
+    )
+    for pair in pairs.split()
 ]
 add(
     "series_universe",
