@@ -94,6 +94,8 @@ def test_run_length_state_survives_batches():
     )
     out = [b for part in (frame[:3][::-1], frame[2:4], frame[4:]) for b in jobs._extend_runs(key, iter([part]), state)]
     got = pd.concat(out)
+    assert got[got["late"]]["timestamp"].tolist() == [600]
+    got = got[~got["late"]]
     assert got["timestamp"].tolist() == frame["timestamp"].tolist()
     assert got["window_length"].tolist() == [5, 10, 5, 10, 15, 5]
 

@@ -111,23 +111,32 @@ add(
 
 
 def _stream_runs(s, d):
-    """Arbitrage states arriving in two batches, the second continuing the runs of the first."""
+    """Arbitrage states arriving as twelve files, one a batch, each continuing the runs before; the third comes again."""
     out, checkpoint = _folders(s, "stream-runs")
     source = scratch_path(s, "states")
     table = materialise(states(s, d).select(*PAIR, "timestamp", "arbitrage_opportunity"), "states")
-    result = None
-    for part in (F.col("timestamp") < STORED, F.col("timestamp") >= STORED):
-        table.where(part).write.mode("append").parquet(source)
-        stream = s.readStream.schema(table.schema).parquet(source)
-        result = jobs.run_to_files(jobs.window_length_stream(stream), out, checkpoint)
-    return result
+    for k in [*range(SLICES), 2]:
+        inside = F.col("timestamp") >= SLICE_FROM + k * SLICE if k else F.lit(True)
+        until = F.col("timestamp") < SLICE_FROM + (k + 1) * SLICE if k < SLICES - 1 else F.lit(True)
+        table.where(inside & until).coalesce(1).write.mode("append").parquet(source)
+    stream = s.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    return jobs.run_to_files(jobs.window_length_stream(stream), out, checkpoint)
 
 
+SLICES, SLICE_FROM, SLICE = 12, 1_704_067_200, 216_000
 add(
     "stream_window_length",
-    _stream_runs,
+    lambda s, d: _stream_runs(s, d).where(~F.col("late")).drop("late"),
     sql(f"select {PAIR_PK}, arbitrage_opportunity, window_length from runs"),
 )
+add(
+    "stream_late_rows",
+    lambda s, d: _stream_runs(s, d).where("late").select(*PAIR, "timestamp", "arbitrage_opportunity"),
+    sql(
+        f"""select {PAIR_PK}, arbitrage_opportunity from states
+        where "timestamp" >= {SLICE_FROM + 2 * SLICE} and "timestamp" < {SLICE_FROM + 3 * SLICE}"""
+    ),
+)
 
 
 

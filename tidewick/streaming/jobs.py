@@ -144,6 +144,7 @@ RUN_OUTPUT = T.StructType(
         T.StructField("timestamp", T.LongType()),
         T.StructField("arbitrage_opportunity", T.IntegerType()),
         T.StructField("window_length", T.LongType()),
+        T.StructField("late", T.BooleanType()),
     ]
 )
 
@@ -152,6 +153,9 @@ def _extend_runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
     rows = pd.concat(list(batches)).sort_values("timestamp", kind="stable")
     value, since, seen = state.get if state.exists else (None, None, None)
     if seen is not None:
+        old = rows[rows["timestamp"] <= seen]
+        if len(old):
+            yield old.assign(window_length=pd.array([None] * len(old), "Int64"), late=True)[RUN_OUTPUT.fieldNames()]
         rows = rows[rows["timestamp"] > seen]
     if rows.empty:
         return
@@ -164,14 +168,14 @@ def _extend_runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
     starts = starts.ffill().astype("int64")
     state.update((int(current.iloc[-1]), int(starts.iloc[-1]), int(at.iloc[-1])))
     minutes = (at - starts + key[3]) // 60
-    yield rows.assign(window_length=minutes)[RUN_OUTPUT.fieldNames()]
+    yield rows.assign(window_length=minutes.astype("Int64"), late=False)[RUN_OUTPUT.fieldNames()]
 
 
 def window_length_stream(states: DataFrame) -> DataFrame:
     """Minutes the arbitrage state of each pair has lasted, on a live stream.
 
-    One batch holds a bounded stretch of new rows per pair; the state keeps the run's start.  Rows
-    older than the last one seen are left to batch repair.
+    One batch holds a bounded stretch of new rows per pair (limit the files per trigger); the state keeps the
+    run's start.  Rows no newer than the last one seen come out as ``late``, without a length, for batch repair.
     """
     return states.groupBy(*PAIR).applyInPandasWithState(
         _extend_runs, RUN_OUTPUT, RUN_STATE, "append", GroupStateTimeout.NoTimeout
