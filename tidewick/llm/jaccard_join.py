@@ -8,15 +8,18 @@ Blocks.  All shingles have one global order (frequent ones last, then by hash).
 ``n - ceil(THRESHOLD n) + 1`` shingles, so only classes that share such a shingle can link, and each shared one is a
 block.  The frequent shingles are a bounded list from counts per task; which ones are on it changes the work, never the result.
 
-Signature trees.  A class has a bitmap of its hashed shingles (at least 4 bits each); in a block, nodes hold the OR of
+Signature trees.  A class has a bitmap of its hashed shingles (at least 8 bits each); in a block, nodes hold the OR of
 their children's bitmaps, the range of their sizes, and the most shingles that share bits.  A dual traversal
 drops pairs of nodes whose largest possible overlap cannot reach the threshold, or whose sizes are too far apart, or that
 are one component already; pairs of leaves that remain are compared as sets.
 
-Two rounds keep large groups linear.  Round 1 takes the first ``EARLY`` blocks of each class and emits at most one pair per
-two components, as if every pair were a link; true links become components.  Round 2 takes all blocks that still
-hold two components, and all pairs between different components that the trees cannot rule out.  Blocks of over ``BLOCK``
-classes are split, in round 2 into pairs of parts, so that no task holds one whole and no pair is lost.
+Two rounds keep large groups linear.  Round 1 takes the first ``EARLY`` shared blocks of each class and emits a spanning forest of
+the pairs that the trees find likeliest; those that link become components.  Round 2 takes all blocks, cut into runs of
+comparable sizes, that still hold two components, and all pairs between different components that cannot be ruled out.
+A class carries its ``FIRSTS`` smallest shingles with such a block, and a pair that has a smaller one in common is left
+to that block.  Runs of up to ``LEAF`` classes are single leaves, whose pairs meet their bitmaps once; larger ones
+get trees.  Blocks of over ``BLOCK`` classes are split, in round 2 into pairs of parts, so that no task holds one
+whole and no pair is lost.
 
 Defined results: null, empty and white-space texts have an empty set and are their own component; a text with fewer than
 ``WIDTH`` words has its whole sequence as one shingle; texts may be of any length; repeated rows are classmates, one
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewick.llm import texts
@@ -41,6 +44,8 @@ SEEN = 4  # times in one task's share before a shingle is counted at all
 COUNTED = 4_000_000  # shingles a task gathers before it counts
 EARLY = 2
 BLOCK = 2048
+LEAF = 64
+FIRSTS = 8
 FANOUT = 8
 FILTER_BITS = 1 << 23
 PAIRS = 1 << 16  # compared at a time
@@ -79,7 +84,7 @@ def fingerprints(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def signature_bits(n: int) -> int:
-    return max(64, 1 << (4 * n - 1).bit_length())
+    return max(64, 1 << (8 * n - 1).bit_length())
 
 
 def signatures(hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
@@ -176,8 +181,9 @@ class SignatureTree:
             ))
 
 
-def dual_traversal(one: SignatureTree, two: SignatureTree) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows (of ``one``, of ``two``) that may link and are of different components, some at a time.
+def dual_traversal(one: SignatureTree, two: SignatureTree) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of rows (of ``one``, of ``two``) that may link and are of different components, and their largest possible
+    similarity, some at a time.
 
     If both are the same tree each pair comes once.
     """
@@ -206,7 +212,8 @@ def dual_traversal(one: SignatureTree, two: SignatureTree) -> Iterator[tuple[np.
             overlap = np.minimum(a[3][i], b[3][j]) + common
             keep = _pair_ok(a[1][i], b[1][j], overlap)
             if keep.any():
-                yield one.rows[i[keep]], two.rows[j[keep]]
+                most = overlap / (a[1][i] + b[1][j] - overlap)
+                yield one.rows[i[keep]], two.rows[j[keep]], most[keep]
             continue
         most = np.minimum(a[3][i], b[3][j]) + common
         keep = most * (100 + THRESHOLD) >= THRESHOLD * (a[1][i] + b[1][j])
@@ -240,61 +247,135 @@ class _Forest:
         return x != y
 
 
-def block_pairs(fp: np.ndarray, n: np.ndarray, sig: list[bytes], root: np.ndarray, part: np.ndarray, spanning: bool) -> list[tuple[int, int]]:
+def met_before(one: np.ndarray, two: np.ndarray, token: np.ndarray | int) -> np.ndarray:
+    """Whether rows of two tables of first shingles have one below ``token`` in common."""
+    found = np.zeros(len(one), bool)
+    for k in range(one.shape[1]):
+        mine = one[:, k]
+        found |= (mine < token) & (two == mine[:, None]).any(axis=1)
+    return found
+
+
+def block_pairs(
+    fp: np.ndarray, n: np.ndarray, sig: list[bytes], root: np.ndarray, part: np.ndarray, spanning: bool,
+    token: int = 0, firsts: np.ndarray | None = None,
+) -> list[tuple[int, int]]:
     """Pairs of a block's classes to compare.  With two values in ``part``, only pairs between them."""
     bits = np.array([len(s) for s in sig])
     cross = bool((part != part[0]).any())
-    forest, out = _Forest(), []
-    roots = root.copy()
+    out = []
     widths = np.unique(bits)
     bitmaps = {w: np.frombuffer(b"".join(sig[r] for r in np.flatnonzero(bits == w)), np.uint64).reshape(-1, w // 8) for w in widths}
-
-    def emit(x, y):
-        if spanning:
-            if forest.join(int(root[x]), int(root[y])):
-                out.append((int(fp[x]), int(fp[y])))
-        else:
-            out.append((int(fp[x]), int(fp[y])))
-
-    if spanning and len(fp) > FANOUT:
-        # a star first: what resembles the middle one needs no further look in this round
-        for w in widths:
-            rows = np.flatnonzero(bits == w)
-            middle = rows[len(rows) // 2]
-            own = bitmaps[w][len(rows) // 2]
-            overlap = _ones(bitmaps[w] & own)
-            hidden = n[rows] - _ones(bitmaps[w])
-            overlap += np.minimum(hidden, hidden[len(rows) // 2])
-            for x in rows[_pair_ok(n[rows], n[middle], overlap)].tolist():
-                if x != middle:
-                    emit(x, middle)
-        roots = np.array([forest.find(int(x)) for x in root])
+    drawn = []
     for w in widths:
         rows = np.flatnonzero(bits == w)
         groups = [rows[part[rows] == p] for p in np.unique(part[rows])] if cross else [rows]
-        trees = {int(part[g[0]]) if cross else 0: SignatureTree(bitmaps[w][np.searchsorted(rows, g)], n[g], roots[g], g) for g in groups}
+        trees = {int(part[g[0]]) if cross else 0: SignatureTree(bitmaps[w][np.searchsorted(rows, g)], n[g], root[g], g) for g in groups}
         found = [dual_traversal(trees[p], trees[q]) for p in trees for q in trees if (p < q if cross else True)]
         if 2 * w in bitmaps:
             larger = np.flatnonzero(bits == 2 * w)
             folded = _fold(bitmaps[2 * w])
             wide = [larger[part[larger] == p] for p in np.unique(part[larger])] if cross else [larger]
             for g in wide:
-                other = SignatureTree(folded[np.searchsorted(larger, g)], n[g], roots[g], g)
+                other = SignatureTree(folded[np.searchsorted(larger, g)], n[g], root[g], g)
                 p = int(part[g[0]]) if cross else 0
                 found += [dual_traversal(t, other) for q, t in trees.items() if not cross or p != q]
         for pairs in found:
-            for x, y in pairs:
+            for x, y, most in pairs:
+                keep = root[x] != root[y]
+                if firsts is not None:
+                    keep &= ~met_before(firsts[x], firsts[y], token)
                 if spanning:
-                    for a, b in zip(x.tolist(), y.tolist(), strict=True):
-                        emit(a, b)
+                    drawn.append((x[keep], y[keep], most[keep]))
                 else:
-                    differ = root[x] != root[y]
-                    out += zip(fp[x[differ]].tolist(), fp[y[differ]].tolist(), strict=True)
+                    out += zip(fp[x[keep]].tolist(), fp[y[keep]].tolist(), strict=True)
+    if drawn:
+        # a spanning forest of the likeliest links: pairs within a component follow from it
+        x, y, most = (np.concatenate(c) for c in zip(*drawn, strict=True))
+        order = np.argsort(-most, kind="stable")
+        forest, open_roots = _Forest(), len(np.unique(root))
+        for a, b in zip(x[order].tolist(), y[order].tolist(), strict=True):
+            if forest.join(int(root[a]), int(root[b])):
+                out.append((int(fp[a]), int(fp[b])))
+                open_roots -= 1
+                if open_roots == 1:
+                    break
     return out
 
 
+def first_matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of up to FIRSTS shingles as rows, the largest number where there are fewer."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    sizes = np.diff(column.offsets.to_numpy())
+    out = np.full((len(sizes), FIRSTS), np.iinfo(np.int64).max, np.int64)
+    flat = column.flatten().to_numpy()
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    out[row, np.arange(len(flat)) - (np.cumsum(sizes) - sizes)[row]] = flat
+    return out
+
+
+def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by run (token, run, fp, n, root, firsts), runs of a leaf at most: pairs (a, b), a < b."""
+
+    def pairs_of(table: pa.Table):
+        token, run, fp, n, root = (table.column(c).to_numpy() for c in ("token", "run", "fp", "n", "root"))
+        firsts = first_matrix(table.column("firsts"))
+        begin = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (run[1:] != run[:-1])]))
+        sizes = np.diff(np.append(begin, len(token)))
+        for size in np.unique(sizes).tolist():
+            if size < 2:
+                continue
+            i, j = np.triu_indices(size, 1)
+            for some in np.array_split(begin[sizes == size], max(1, int((sizes == size).sum()) * len(i) // (4 * PAIRS))):
+                x, y = (some[:, None] + i).ravel(), (some[:, None] + j).ravel()
+                keep = (root[x] != root[y]) & (100 * n[x] >= THRESHOLD * n[y]) & (100 * n[y] >= THRESHOLD * n[x])
+                x, y = x[keep], y[keep]
+                keep = ~met_before(firsts[x], firsts[y], token[x])
+                a, b = fp[x[keep]], fp[y[keep]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        token, run = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        cut = np.flatnonzero((token != token[-1]) | (run != run[-1]))
+        whole = int(cut[-1]) + 1 if len(cut) else 0
+        # the last run may go on in the next batch
+        held.append(batch.slice(0, whole))
+        if whole:
+            yield from pairs_of(pa.Table.from_batches(held).combine_chunks())
+            held = []
+        held.append(batch.slice(whole))
+    if held:
+        yield from pairs_of(pa.Table.from_batches(held).combine_chunks())
+
+
+def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their bitmaps cannot rule out."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            keep = np.zeros(batch.num_rows, bool)
+            for r, (x, y) in enumerate(zip(batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True)):
+                p, q = np.frombuffer(x, np.uint64)[None], np.frombuffer(y, np.uint64)[None]
+                while p.shape[1] > q.shape[1]:
+                    p = _fold(p)
+                while q.shape[1] > p.shape[1]:
+                    q = _fold(q)
+                hidden = np.minimum(n_a[r] - _ones(p), n_b[r] - _ones(q))
+                keep[r] = _pair_ok(n_a[r], n_b[r], hidden + _ones(p & q))[0]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+
+    rows = pairs
+    for side in ("a", "b"):
+        rows = rows.join(classes.select(F.col("fp").alias(side), F.col("n").alias(f"n_{side}"), F.col("sig").alias(f"sig_{side}")), side)
+    return rows.select("a", "b", "n_a", "sig_a", "n_b", "sig_b").mapInArrow(compare, "a long, b long")
+
+
 def _blocks(spanning: bool):
-    """From rows sorted by block (token, part_a, part_b, part, fp, n, sig, root): pairs (a, b) of classes, a < b."""
+    """From rows sorted by block (token, part_a, part_b, part, fp, n, sig, root[, firsts]): pairs (a, b), a < b."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -307,7 +388,11 @@ def _blocks(spanning: bool):
                 return
             table = table.take(pa.array(one))
             column = lambda c: table.column(c).to_numpy()
-            pairs = block_pairs(fp, column("n"), table.column("sig").to_pylist(), column("root"), column("part"), spanning)
+            firsts = None if spanning else first_matrix(table.column("firsts"))
+            pairs = block_pairs(
+                fp, column("n"), table.column("sig").to_pylist(), column("root"), column("part"), spanning,
+                table.column("token")[0].as_py(), firsts,
+            )
             if pairs:
                 both = np.sort(np.array(pairs, np.int64), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
@@ -330,22 +415,38 @@ def _blocks(spanning: bool):
     return run
 
 
-def candidate_pairs(entries: DataFrame, classes: DataFrame, spanning: bool) -> DataFrame:
-    """Distinct pairs (a, b) of classes from blocks ``entries`` (token, fp); ``classes`` has fp, n, sig, root."""
-    sizes = entries.groupBy("token").count().where(F.col("count") > BLOCK)
-    parts = sizes.select("token", F.ceil(F.col("count") / BLOCK).cast("long").alias("parts"))
-    rows = entries.join(parts, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")))
+def tree_pairs(entries: DataFrame, classes: DataFrame, spanning: bool) -> DataFrame:
+    """Pairs (a, b) of classes from blocks ``entries`` (token, fp, root, parts[, run, firsts]) by their signature trees."""
+    rows = entries.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")))
     if spanning:
-        rows = rows.select("token", "fp", "part", F.col("part").alias("part_a"), F.col("part").alias("part_b"))
+        rows = rows.withColumns({"part_a": F.col("part"), "part_b": F.lit(0).cast("long")})
     else:
-        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-        rows = rows.withColumn("other", other).select(
-            "token", "fp", "part", F.least("part", "other").alias("part_a"), F.greatest("part", "other").alias("part_b")
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        # one number for the run and both parts
+        rows = rows.withColumns(
+            {"part_a": F.least("part", "other") * 1_000_000 + F.col("run"), "part_b": F.greatest("part", "other")}
         )
-    rows = rows.join(classes, "fp").select("token", "part_a", "part_b", "part", "fp", "n", "sig", "root")
+    more = [] if spanning else ["firsts"]
+    rows = rows.join(classes, "fp").select("token", "part_a", "part_b", "part", "fp", "n", "sig", "root", *more)
     rows = rows.repartition("token", "part_a", "part_b").sortWithinPartitions("token", "part_a", "part_b")
-    return rows.mapInArrow(_blocks(spanning), "a long, b long").distinct()
+    return rows.mapInArrow(_blocks(spanning), "a long, b long")
+
+
+def parts_of(count: Column) -> Column:
+    return F.ceil(count / BLOCK).cast("long")
+
+
+def mixed_runs(labelled: DataFrame) -> DataFrame:
+    """Of ``labelled`` (token, fp, n, root) the runs of comparable sizes with two components: and run, m (rows)."""
+    order = Window.partitionBy("token").orderBy("n", "fp")
+    gap = F.coalesce((100 * F.lag("n").over(order) < THRESHOLD * F.col("n")).cast("long"), F.lit(0))
+    rows = labelled.withColumn("_gap", gap)
+    rows = rows.withColumn("run", F.sum("_gap").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_gap")
+    run = Window.partitionBy("token", "run")
+    rows = rows.withColumns(
+        {"m": F.count(F.lit(1)).over(run), "low": F.min("root").over(run), "high": F.max("root").over(run)}
+    )
+    return rows.where("low <> high").drop("low", "high")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
@@ -440,26 +541,36 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                 new = np.array([x not in known and not known.add(x) for x in fp.tolist()], bool)
                 token, row, place = prefixes(hashes[np.repeat(new, sizes)], np.where(new, sizes, 0), frequent, screen)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(token.view(np.int64)), pa.array(fp[row]), pa.array(place < EARLY)], names=["token", "fp", "early"]
+                    [pa.array(token.view(np.int64)), pa.array(fp[row]), pa.array(place.astype(np.int32))], names=["token", "fp", "place"]
                 )
 
     same = Window.partitionBy("token")
-    shared = rows.select("_text").mapInArrow(entries, "token long, fp long, early boolean")
+    shared = rows.select("_text").mapInArrow(entries, "token long, fp long, place int")
     shared = shared.withColumn("low", F.min("fp").over(same)).withColumn("high", F.max("fp").over(same))
-    shared = materialise(shared.where("low <> high").select("token", "fp", "early"), "blocks")
-    classes = materialise(sets.where("n > 0").groupBy("fp").agg(F.min("n").alias("n"), F.first("sig").alias("sig")), "classes")
+    shared = materialise(shared.where("low <> high").select("token", "fp", "place"), "blocks")
+    classes = sets.join(shared.select("fp").distinct(), "fp", "left_semi")
+    classes = materialise(classes.groupBy("fp").agg(F.min("n").alias("n"), F.first("sig").alias("sig")), "classes")
     members = sets.groupBy("fp").agg(F.min("_key").alias("_key"))
 
-    early = shared.where("early").select("token", "fp").distinct()
-    pairs = materialise(candidate_pairs(early, classes.withColumn("root", F.col("fp")), True), "pairs")
+    own = Window.partitionBy("fp").orderBy("place")
+    early = shared.select("token", "fp", "place").distinct().withColumn("at", F.row_number().over(own))
+    early = early.where(F.col("at") <= EARLY).select("token", "fp", F.col("fp").alias("root"))
+    early = early.withColumn("parts", parts_of(F.count(F.lit(1)).over(same)))
+    pairs = materialise(tree_pairs(early, classes, True).distinct(), "pairs")
     roots = components(verified(pairs, docs, members, key, text)).withColumnRenamed("node", "fp")
 
-    labelled = shared.select("token", "fp").distinct().join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    mixed = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-    rest = materialise(labelled.join(mixed, "token", "left_semi"), "mixed")
-    known = rest.select("fp", "root").distinct().join(classes, "fp")
-    pairs = candidate_pairs(rest.select("token", "fp"), known, False).join(pairs, ["a", "b"], "left_anti")
-    late = verified(materialise(pairs, "pairs"), docs, members, key, text)
+    known = classes.select("fp", "n").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    live = materialise(mixed_runs(shared.select("token", "fp").distinct().join(known, "fp")), "mixed")
+    least = Window.partitionBy("fp").orderBy("token")
+    firsts = live.select("token", "fp").withColumn("at", F.row_number().over(least)).where(F.col("at") <= FIRSTS)
+    firsts = firsts.groupBy("fp").agg(F.sort_array(F.collect_list("token")).alias("firsts"))
+    live = live.join(firsts, "fp", "left").withColumn("firsts", F.coalesce("firsts", F.array().cast("array<long>")))
+    leaves = live.where(F.col("m") <= LEAF).select("token", "run", "fp", "n", "root", "firsts")
+    leaves = leaves.repartition("token", "run").sortWithinPartitions("token", "run").mapInArrow(_leaves, "a long, b long")
+    large = live.where(F.col("m") > LEAF).withColumn("parts", parts_of(F.col("m"))).drop("n", "m")
+    found = may_link(materialise(leaves.distinct(), "leaves"), classes).unionByName(tree_pairs(large, classes, False))
+    found = materialise(found.distinct(), "pairs").join(pairs, ["a", "b"], "left_anti")
+    late = verified(materialise(found, "pairs"), docs, members, key, text)
     for side in ("a", "b"):
         late = (
             late.join(roots.select(F.col("fp").alias(side), F.col("root").alias("_r")), side, "left")
