@@ -33,34 +33,35 @@ def _ema(name: str, x: str, alpha: str) -> str:
     return f"({alpha}) * ({x}) + (1 - {alpha}) * p.{name} as {name}"
 
 
-_L1 = {
-    "e12": ('"close"', "2.0/13"),
-    "e26": ('"close"', "2.0/27"),
-    "e15": ('"close"', "2.0/16"),
-    "atr": ("tr", "1.0/14"),
-    "fi": ("dc * volume", "2.0/14"),
-    "sp": ("dmp", "1.0/14"),
-    "sn": ("dmn", "1.0/14"),
-    "er": ("high - low", "2.0/10"),
-    "sg": ("gain", "1.0/14"),
-    "sl": ("loss", "1.0/14"),
-    "m1": ("dc", "2.0/26"),
-    "a1": ("abs(dc)", "2.0/26"),
-}
-_L2 = {
-    "sig": ("e12 - e26", "2.0/10"),
-    "ee15": ("e15", "2.0/16"),
-    "adx": ("dx", "1.0/14"),
-    "eer": ("er", "2.0/10"),
-    "m2": ("m1", "2.0/14"),
-    "a2": ("a1", "2.0/14"),
-}
-_L3 = {"eee15": ("ee15", "2.0/16")}
-_DX = (
-    "coalesce(100 * abs(sp - sn) / nullif(atr, 0) / nullif((sp + sn) / nullif(atr, 0), 0), 0) as dx"
-)
-
-TA = f"""
+def ta_sql(w: indicators.Windows) -> str:
+    """CTEs ending in ``ta``: all indicators of the rows of ``grid``, with exponential averages by recursion."""
+    span, wilder = lambda n: f"2.0/{n + 1}", lambda n: f"1.0/{n}"
+    l1 = {
+        "ef": ('"close"', span(w.macd_fast)),
+        "es": ('"close"', span(w.macd_slow)),
+        "et": ('"close"', span(w.trix)),
+        "atr": ("tr", wilder(w.atr)),
+        "str": ("tr", wilder(w.adx)),
+        "fi": ("dc * volume", span(w.force)),
+        "sp": ("dmp", wilder(w.adx)),
+        "sn": ("dmn", wilder(w.adx)),
+        "er": ("high - low", span(w.mass_fast)),
+        "sg": ("gain", wilder(w.rsi)),
+        "sl": ("loss", wilder(w.rsi)),
+        "m1": ("dc", span(w.tsi_slow)),
+        "a1": ("abs(dc)", span(w.tsi_slow)),
+    }
+    l2 = {
+        "sig": ("ef - es", span(w.macd_signal)),
+        "eet": ("et", span(w.trix)),
+        "adx": ("dx", wilder(w.adx)),
+        "eer": ("er", span(w.mass_fast)),
+        "m2": ("m1", span(w.tsi_fast)),
+        "a2": ("a1", span(w.tsi_fast)),
+    }
+    dx = "coalesce(100 * abs(sp - sn) / nullif(str, 0) / nullif((sp + sn) / nullif(str, 0), 0), 0) as dx"
+    u7, u14, u28 = w.ultimate
+    return f"""
 b0 as (
   select *, row_number() over w as i, lag("close") over w as pc, lag(high) over w as ph, lag(low) over w as pl,
          lag(volume) over w as pv from grid window w as ({W})),
@@ -73,90 +74,94 @@ b1 as (
          greatest(coalesce("close" - pc, 0), 0) as gain, greatest(-coalesce("close" - pc, 0), 0) as loss
   from b0),
 e as (
-  select {K}, i, {', '.join(f'{x} as {n}' for n, (x, _) in _L1.items())},
-         0.0::double as dx, 0.0::double as sig, "close" as ee15, 0.0::double as adx, high - low as eer,
-         0.0::double as m2, 0.0::double as a2, "close" as eee15
+  select {K}, i, {', '.join(f'{x} as {n}' for n, (x, _) in l1.items())},
+         0.0::double as dx, 0.0::double as sig, "close" as eet, 0.0::double as adx, high - low as eer,
+         0.0::double as m2, 0.0::double as a2, "close" as eeet
   from b1 where i = 1
   union all
-  select exchange, trading_pair, period, i, {', '.join(_L1)}, dx, {', '.join(_L2)}, {_ema('eee15', 'ee15', '2.0/16').replace('p.eee15', 'peee15')}
+  select exchange, trading_pair, period, i, {', '.join(l1)}, dx, {', '.join(l2)}, {_ema('eeet', 'eet', span(w.trix)).replace('p.eeet', 'peeet')}
   from (
-    select exchange, trading_pair, period, i, {', '.join(_L1)}, dx, peee15,
-           {', '.join(_ema(n, x, a).replace(f'p.{n}', f'p{n}') for n, (x, a) in _L2.items())}
+    select exchange, trading_pair, period, i, {', '.join(l1)}, dx, peeet,
+           {', '.join(_ema(n, x, a).replace(f'p.{n}', f'p{n}') for n, (x, a) in l2.items())}
     from (
-      select *, {_DX} from (
-        select b.exchange, b.trading_pair, b.period, b.i, p.eee15 as peee15,
-               {', '.join(f'p.{n} as p{n}' for n in _L2)},
-               {', '.join(_ema(n, x, a) for n, (x, a) in _L1.items())}
+      select *, {dx} from (
+        select b.exchange, b.trading_pair, b.period, b.i, p.eeet as peeet,
+               {', '.join(f'p.{n} as p{n}' for n in l2)},
+               {', '.join(_ema(n, x, a) for n, (x, a) in l1.items())}
         from e p join b1 b on b.exchange = p.exchange and b.trading_pair = p.trading_pair and b.i = p.i + 1)))),
 ta0 as (
   select b1.*, e.* exclude (exchange, trading_pair, period, i),
          ((high - ph) + (low - pl)) / 2 * (high - low) / nullif(volume, 0) as em,
-         {', '.join(_roc(n) for n in (10, 15, 20, 30))},
-         list(tp) over {fr(20)} as tps, avg(tp) over {fr(20)} as tpm,
-         list("close") over {fr(25)} as cs,
-         (max(high) over {fr(9)} + min(low) over {fr(9)}) / 2 as conv,
-         (max(high) over {fr(26)} + min(low) over {fr(26)}) / 2 as base,
-         (max(high) over {fr(52)} + min(low) over {fr(52)}) / 2 as ich_b,
-         max(high) over {fr(14)} as h14, min(low) over {fr(14)} as l14,
+         {', '.join(_roc(n) for n in w.rocs)},
+         list(tp) over {fr(w.cci)} as tps, avg(tp) over {fr(w.cci)} as tpm,
+         list("close") over {fr(w.aroon)} as cs,
+         (max(high) over {fr(w.ichimoku[0])} + min(low) over {fr(w.ichimoku[0])}) / 2 as conv,
+         (max(high) over {fr(w.ichimoku[1])} + min(low) over {fr(w.ichimoku[1])}) / 2 as base,
+         (max(high) over {fr(w.ichimoku[2])} + min(low) over {fr(w.ichimoku[2])}) / 2 as ich_b,
+         max(high) over {fr(w.stoch)} as hs, min(low) over {fr(w.stoch)} as ls,
+         max(high) over {fr(w.williams)} as hw, min(low) over {fr(w.williams)} as lw,
          lag(tp) over ({W}) as ptp, "close" - least(low, pc) as bp,
-         coalesce(100 * sp / nullif(atr, 0), 0) as adx_pos, coalesce(100 * sn / nullif(atr, 0), 0) as adx_neg
+         coalesce(100 * sp / nullif(str, 0), 0) as adx_pos, coalesce(100 * sn / nullif(str, 0), 0) as adx_neg
   from b1 join e using (exchange, trading_pair, period, i)),
 ta1 as (
   select *, conv / 2 + base / 2 as ich_a,
-         100 * (avg(roc10) over {fr(10)} + 2 * avg(roc15) over {fr(10)} + 3 * avg(roc20) over {fr(10)}
-                + 4 * avg(roc30) over {fr(15)}) as kst,
-         100 * ("close" - l14) / nullif(h14 - l14, 0) as stoch,
-         list_avg(list_transform(tps, lambda x: abs(x - tpm))) as mad, lag(eee15) over ({W}) as pe,
+         100 * ({' + '.join(f'{k} * avg(roc{n}) over {fr(m)}' for k, (n, m) in enumerate(zip(w.rocs, w.kst, strict=True), 1))}) as kst,
+         100 * ("close" - ls) / nullif(hs - ls, 0) as stoch,
+         list_avg(list_transform(tps, lambda x: abs(x - tpm))) as mad, lag(eeet) over ({W}) as pe,
          er / nullif(eer, 0) as mass,
-         sum(case when tp > ptp then tp * volume else 0 end) over {fr(14)} as mfp,
-         sum(case when tp < ptp then tp * volume else 0 end) over {fr(14)} as mfn,
-         sum(abs(high - pl)) over {fr(14)} as vmp, sum(abs(low - ph)) over {fr(14)} as vmn,
-         sum(tr) over {fr(14)} as tr14, sum(tr) over {fr(7)} as tr7, sum(tr) over {fr(28)} as tr28,
-         sum(bp) over {fr(14)} as bp14, sum(bp) over {fr(7)} as bp7, sum(bp) over {fr(28)} as bp28,
-         avg("close") over {fr(20)} as c20, stddev_pop("close") over {fr(20)} as sd20,
-         avg((4 * high - 2 * low + "close") / 3) over {fr(10)} as kch,
-         avg((-2 * high + 4 * low + "close") / 3) over {fr(10)} as kcl,
-         max("close") over {fr(20)} as dch, min("close") over {fr(20)} as dcl
+         sum(case when tp > ptp then tp * volume else 0 end) over {fr(w.flow_index)} as mfp,
+         sum(case when tp < ptp then tp * volume else 0 end) over {fr(w.flow_index)} as mfn,
+         sum(abs(high - pl)) over {fr(w.vortex)} as vmp, sum(abs(low - ph)) over {fr(w.vortex)} as vmn, sum(tr) over {fr(w.vortex)} as trv,
+         sum(tr) over {fr(u14)} as tr14, sum(tr) over {fr(u7)} as tr7, sum(tr) over {fr(u28)} as tr28,
+         sum(bp) over {fr(u14)} as bp14, sum(bp) over {fr(u7)} as bp7, sum(bp) over {fr(u28)} as bp28,
+         avg("close") over {fr(w.bollinger)} as c20, stddev_pop("close") over {fr(w.bollinger)} as sd20,
+         avg("close") over {fr(w.dpo)} as cd,
+         avg((4 * high - 2 * low + "close") / 3) over {fr(w.keltner)} as kch,
+         avg((-2 * high + 4 * low + "close") / 3) over {fr(w.keltner)} as kcl,
+         max("close") over {fr(w.donchian)} as dch, min("close") over {fr(w.donchian)} as dcl
   from ta0),
 ta as (
   select *,
     sum(clv * volume) over ({W}) as volume_adi,
     sum(coalesce(sign("close" - pc) * volume, 0)) over ({W}) as volume_obv,
-    sum(clv * volume) over {fr(20)} / nullif(sum(volume) over {fr(20)}, 0) as volume_cmf,
-    fi as volume_fi, avg(em) over {fr(20)} as volume_em,
+    sum(clv * volume) over {fr(w.money_flow)} / nullif(sum(volume) over {fr(w.money_flow)}, 0) as volume_cmf,
+    fi as volume_fi, avg(em) over {fr(w.ease)} as volume_em,
     sum(coalesce(volume * ("close" / pc - 1), 0)) over ({W}) as volume_vpt,
     1000 * exp(sum(case when volume < pv then ln("close" / pc) else 0 end) over ({W})) as volume_nvi,
     atr as volatility_atr, c20 + 2 * sd20 as volatility_bbh, c20 - 2 * sd20 as volatility_bbl, c20 as volatility_bbm,
     case when "close" > c20 + 2 * sd20 then 1.0 else 0.0 end as volatility_bbhi,
     case when "close" < c20 - 2 * sd20 then 1.0 else 0.0 end as volatility_bbli,
-    avg(tp) over {fr(10)} as volatility_kcc, kch as volatility_kch, kcl as volatility_kcl,
+    avg(tp) over {fr(w.keltner)} as volatility_kcc, kch as volatility_kch, kcl as volatility_kcl,
     case when "close" > kch then 1.0 else 0.0 end as volatility_kchi,
     case when "close" < kcl then 1.0 else 0.0 end as volatility_kcli,
     dch as volatility_dch, dcl as volatility_dcl,
     case when "close" >= dch then 1.0 else 0.0 end as volatility_dchi,
     case when "close" <= dcl then 1.0 else 0.0 end as volatility_dcli,
-    e12 - e26 as trend_macd, sig as trend_macd_signal, e12 - e26 - sig as trend_macd_diff,
-    e12 as trend_ema_fast, e26 as trend_ema_slow, adx as trend_adx, adx_pos as trend_adx_pos, adx_neg as trend_adx_neg,
-    vmp / nullif(tr14, 0) as trend_vortex_ind_pos, vmn / nullif(tr14, 0) as trend_vortex_ind_neg,
-    (vmp - vmn) / nullif(tr14, 0) as trend_vortex_diff, 100 * (eee15 - pe) / pe as trend_trix,
-    sum(mass) over {fr(25)} as trend_mass_index, (tp - tpm) / nullif(0.015 * mad, 0) as trend_cci,
-    lag("close", 11) over ({W}) - c20 as trend_dpo, kst as trend_kst, avg(kst) over {fr(9)} as trend_kst_sig,
-    kst - avg(kst) over {fr(9)} as trend_kst_diff, ich_a as trend_ichimoku_a, ich_b as trend_ichimoku_b,
-    lag(ich_a, 26) over ({W}) as trend_visual_ichimoku_a, lag(ich_b, 26) over ({W}) as trend_visual_ichimoku_b,
-    100.0 * (25 - (len(cs) - list_position(cs, list_max(cs)))) / 25 as trend_aroon_up,
-    100.0 * (25 - (len(cs) - list_position(cs, list_min(cs)))) / 25 as trend_aroon_down,
-    100.0 * (list_position(cs, list_max(cs)) - list_position(cs, list_min(cs))) / 25 as trend_aroon_ind,
+    ef - es as trend_macd, sig as trend_macd_signal, ef - es - sig as trend_macd_diff,
+    ef as trend_ema_fast, es as trend_ema_slow, adx as trend_adx, adx_pos as trend_adx_pos, adx_neg as trend_adx_neg,
+    vmp / nullif(trv, 0) as trend_vortex_ind_pos, vmn / nullif(trv, 0) as trend_vortex_ind_neg,
+    (vmp - vmn) / nullif(trv, 0) as trend_vortex_diff, 100 * (eeet - pe) / pe as trend_trix,
+    sum(mass) over {fr(w.mass_slow)} as trend_mass_index, (tp - tpm) / nullif(0.015 * mad, 0) as trend_cci,
+    lag("close", {w.dpo // 2 + 1}) over ({W}) - cd as trend_dpo, kst as trend_kst, avg(kst) over {fr(w.kst_signal)} as trend_kst_sig,
+    kst - avg(kst) over {fr(w.kst_signal)} as trend_kst_diff, ich_a as trend_ichimoku_a, ich_b as trend_ichimoku_b,
+    lag(ich_a, {w.ichimoku[1]}) over ({W}) as trend_visual_ichimoku_a, lag(ich_b, {w.ichimoku[1]}) over ({W}) as trend_visual_ichimoku_b,
+    100.0 * ({w.aroon} - (len(cs) - list_position(cs, list_max(cs)))) / {w.aroon} as trend_aroon_up,
+    100.0 * ({w.aroon} - (len(cs) - list_position(cs, list_min(cs)))) / {w.aroon} as trend_aroon_down,
+    100.0 * (list_position(cs, list_max(cs)) - list_position(cs, list_min(cs))) / {w.aroon} as trend_aroon_ind,
     coalesce(100 - 100 / (1 + sg / nullif(sl, 0)), 100) as momentum_rsi,
     coalesce(100 - 100 / (1 + mfp / nullif(mfn, 0)), 100) as momentum_mfi,
     coalesce(100 * m2 / nullif(a2, 0), 0) as momentum_tsi,
     100 * (4 * bp7 / nullif(tr7, 0) + 2 * bp14 / nullif(tr14, 0) + bp28 / nullif(tr28, 0)) / 7 as momentum_uo,
-    stoch as momentum_stoch, avg(stoch) over {fr(3)} as momentum_stoch_signal,
-    -100 * (h14 - "close") / nullif(h14 - l14, 0) as momentum_wr,
-    avg((high + low) / 2) over {fr(5)} - avg((high + low) / 2) over {fr(34)} as momentum_ao,
+    stoch as momentum_stoch, avg(stoch) over {fr(w.stoch_signal)} as momentum_stoch_signal,
+    -100 * (hw - "close") / nullif(hw - lw, 0) as momentum_wr,
+    avg((high + low) / 2) over {fr(w.awesome[0])} - avg((high + low) / 2) over {fr(w.awesome[1])} as momentum_ao,
     ("close" / pc - 1) * 100 as others_dr, 100 * ln("close" / pc) as others_dlr,
     ("close" / first_value("close") over ({W}) - 1) * 100 as others_cr
   from ta1)"""
 
+
+TA = ta_sql(indicators.DEFAULT)
+
 for _family, _columns in indicators.COLUMNS.items():
     add(
         f"ta_{_family}",
@@ -166,6 +171,24 @@ for _family, _columns in indicators.COLUMNS.items():
         sql(f"select {PK}, {', '.join(_columns)} from ta", " ".join(_columns), ctes=TA),
     )
 
+# every window unlike its default
+OTHER_WINDOWS = indicators.Windows(
+    money_flow=12, ease=9, force=21, bollinger=30, keltner=15, donchian=11, atr=21, macd_fast=8, macd_slow=34, macd_signal=6,
+    adx=10, vortex=18, trix=9, mass_fast=12, mass_slow=16, cci=27, dpo=13, rocs=(5, 9, 14, 22), kst=(6, 7, 8, 12),
+    kst_signal=5, ichimoku=(7, 22, 44), aroon=18, rsi=9, flow_index=17, tsi_slow=31, tsi_fast=9, ultimate=(5, 11, 23),
+    stoch=10, stoch_signal=4, williams=22, awesome=(3, 29),
+)
+_OTHER_TA = ta_sql(OTHER_WINDOWS)
+for _family, _columns in indicators.COLUMNS.items():
+    if _family != "others":
+        add(
+            f"ta_{_family}_windows",
+            lambda s, d, f=_family, c=tuple(_columns): tidy(
+                indicators.add_indicators(grid(s, d), [f], windows=OTHER_WINDOWS).select(*PK_COLS, *c)
+            ),
+            sql(f"select {PK}, {', '.join(_columns)} from ta", " ".join(_columns), ctes=_OTHER_TA),
+        )
+
 add(
     "series_features",
     lambda s, d: tidy(features.series_features(candles(s, d), HOUR).select(*PK_COLS, *OHLCV, "nan_ohlcv", *indicators.ALL)),
