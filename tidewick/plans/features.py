@@ -12,7 +12,7 @@ from tidewick.operators.aggregate import resample
 from tidewick.operators.chunks import attach, drop_halo, edge_rows, with_halo
 from tidewick.operators.gaps import gap_fill, impute_candles
 from tidewick.operators.joins import arb_info, cross_exchange_join
-from tidewick.schema import OHLCV, PK, SERIES
+from tidewick.schema import OHLCV, PAIR, PK, SERIES
 from tidewick.session import materialise
 
 # fixed names: features of one exchange in an arbitrage model
@@ -42,23 +42,43 @@ def series_grid(candles: DataFrame, period: int) -> DataFrame:
 
 
 def series_features(candles: DataFrame, period: int, families: Sequence[str] | None = None) -> DataFrame:
-    """Grid plus indicators of every series."""
-    grid = series_grid(candles, period)
+    """Grid plus indicators of every series; the grid is stored, as rows and running totals both start from it."""
+    grid = materialise(series_grid(candles, period), "grid")
     return indicators.add_indicators(grid, families, fill=0.0) if families else indicators.add_indicators(grid, fill=0.0)
 
 
 def arb_features(features: DataFrame, columns: Sequence[str] = ARB_SERIES) -> DataFrame:
     """Every pair of exchanges listing the same trading pair, with the state between them."""
-    d = cross_exchange_join(features, columns)
-    d = arbitrage.with_state(d).withColumns(date_parts(F.col("timestamp")))
-    return arbitrage.window_length(d)
+    return _both_sides(_pair_states(features), features, columns)
+
+
+def _pair_states(features: DataFrame) -> DataFrame:
+    """The state of every exchange pair and how long it has lasted, on the closes alone."""
+    return arbitrage.window_length(arbitrage.with_state(cross_exchange_join(features, ["close"])))
+
+
+def _both_sides(pairs: DataFrame, features: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``pairs`` with the features of both exchanges, joined last so that no ordered step carries them."""
+    wide = [c for c in columns if c != "close"]
+    d = pairs.withColumns(date_parts(F.col("timestamp")))
+    for n in (1, 2):
+        own = [f"exchange_{n}", "trading_pair", "period", "timestamp"]
+        side = features.select(
+            F.col("exchange").alias(own[0]), *own[1:], *[F.col(c).alias(f"{c}_exchange_{n}") for c in wide]
+        )
+        d = d.join(side, own)
+    first = [*PAIR, "timestamp"]
+    both = [f"{c}_exchange_{n}" for n in (1, 2) for c in columns]
+    closes = [f"close_exchange_{n}" for n in (1, 2)]
+    return d.select(*first, *both, *[c for c in d.columns if c not in (*first, *both, *closes)])
 
 
 def arb_training_set(
     features: DataFrame, period: int, interval: int | None = None, columns: Sequence[str] = ARB_SERIES
 ) -> DataFrame:
     """Features and target of all exchange pairs in one job."""
-    return arbitrage.with_target(arb_features(features, columns), interval or 6 * period, period)
+    labelled = arbitrage.with_target(_pair_states(features), interval or 6 * period, period)
+    return _both_sides(labelled, features, columns)
 
 
 def fill_features(df: DataFrame, columns: Sequence[str], limit: float = 0.2) -> DataFrame:
@@ -75,7 +95,7 @@ def fill_features(df: DataFrame, columns: Sequence[str], limit: float = 0.2) ->
 
 
 def _trade_frame(candles: DataFrame, period: int, families: Sequence[str] | None) -> DataFrame:
-    grid = series_grid(candles, period)
+    grid = materialise(series_grid(candles, period), "grid")
     d = indicators.add_indicators(grid, families) if families is not None else indicators.add_indicators(grid)
     # several passes follow (series means, their join, the newest rows): compute the indicators once
     d = materialise(d.withColumns(date_parts(F.col("timestamp"))), "indicators")

@@ -295,22 +295,25 @@ def _live(s, d):
     return features.live_features(arb_info(impute_candles(candles(s, d))))
 
 
+_LIVE_SQL = (
+    f"select {PK}, "
+    + ", ".join(f'"{c}"' for c in _LIVE_IN)
+    + ", "
+    + ", ".join(f'"{c}" - coalesce(lag("{c}") over ({W}), 0) as "{c}_diff"' for c in _LIVE_IN)
+    + f""", coalesce(("close" - lag("close") over ({W})) / lag("close") over ({W}), 0) as diff_percent,
+    case when lag("close", 12) over ({W}) > "close" then 1 when lag("close", 12) over ({W}) < "close" then -1
+         else 0 end as price_increased,
+    case when lag(arb_signal) over ({W}) > 0.01 then 1 when lag(arb_signal) over ({W}) < 0.01 then -1
+         else 0 end as arb_signal_class
+    from (select *, "close" - avg as arb_diff, ("close" - avg) / avg as arb_signal, high - low as high_m_low,
+                 "close" - open as close_m_open
+          from (select *, avg("close") over (partition by trading_pair, period, "timestamp") as avg from full_grid))"""
+)
 add(
     "live_features",
     lambda s, d: tidy(_live(s, d).select(*PK_COLS, *_LIVE)),
     sql(
-        f"select {PK}, "
-        + ", ".join(f'"{c}"' for c in _LIVE_IN)
-        + ", "
-        + ", ".join(f'"{c}" - coalesce(lag("{c}") over ({W}), 0) as "{c}_diff"' for c in _LIVE_IN)
-        + f""", coalesce(("close" - lag("close") over ({W})) / lag("close") over ({W}), 0) as diff_percent,
-        case when lag("close", 12) over ({W}) > "close" then 1 when lag("close", 12) over ({W}) < "close" then -1
-             else 0 end as price_increased,
-        case when lag(arb_signal) over ({W}) > 0.01 then 1 when lag(arb_signal) over ({W}) < 0.01 then -1
-             else 0 end as arb_signal_class
-        from (select *, "close" - avg as arb_diff, ("close" - avg) / avg as arb_signal, high - low as high_m_low,
-                     "close" - open as close_m_open
-              from (select *, avg("close") over (partition by trading_pair, period, "timestamp") as avg from full_grid))""",
+        _LIVE_SQL,
         " ".join([c for c in _LIVE_IN + _LIVE_DIFFS if not c.startswith("imputed")] + ["diff_percent"]),
         ctes=_IMPUTED,
     ),
@@ -320,3 +323,31 @@ add(
     lambda s, d: tidy(features.normalised(features.get_data(candles(s, d), HOUR, 1_704_067_200)), 4),
 )
 
+_SCALED = [*_LIVE_IN, *_LIVE_DIFFS]
+
+
+def _slog(c):
+    return f'sign("{c}") * ln(abs("{c}") + 1)'
+
+
+def _z(c):
+    one = f"partition by {K}"
+    return f'coalesce(({_slog(c)} - avg({_slog(c)}) over ({one})) / nullif(stddev_pop({_slog(c)}) over ({one}), 0), 0) as "{c}"'
+
+
+_NOT_SCALED = ["diff_percent", "arb_signal", "arb_signal_class", "price_increased"]
+add(
+    "get_data_prices",
+    lambda s, d: tidy(
+        features.normalised(features.get_data(candles(s, d), HOUR, 1_704_067_200, families=[]))
+        .select(*PK_COLS, *dict.fromkeys([*_SCALED, *_NOT_SCALED])),
+        4,
+    ),
+    sql(
+        f"""select {PK}, {", ".join(_z(c) for c in _SCALED if c not in _NOT_SCALED)}, {", ".join(_NOT_SCALED)}
+        from ({_LIVE_SQL})""",
+        " ".join([c for c in _SCALED if c not in _NOT_SCALED] + ["diff_percent", "arb_signal"]),
+        4,
+        ctes=_IMPUTED,
+    ),
+)
