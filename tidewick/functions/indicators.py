@@ -212,8 +212,8 @@ def _families(w: Windows) -> dict[str, dict[str, dict]]:
             },
             "rolling_1": {
                 **{f"_p{n}": _lag("close", n) for n in sorted({*w.rocs, w.dpo // 2 + 1})},
-                "_tpn": _last("count(_tp)", w.cci),
-                **{f"_tp{k}": _lag("_tp", k) for k in range(1, w.cci)},
+                # an array of the window: as fast as a sum over lags when measured, and a smaller plan
+                "_tps": _last("collect_list(_tp)", w.cci),
                 "_tpm": _sma("_tp", w.cci),
                 "_dpo": _sma("close", w.dpo),
                 "_conv": _mid(w.ichimoku[0]),
@@ -241,10 +241,7 @@ def _families(w: Windows) -> dict[str, dict[str, dict]]:
                 "_dx": f"coalesce(100 * {_ratio('abs(_sdmp - _sdmn)', '_sdmp + _sdmn')}, 0D)",
                 "trend_vortex_diff": "trend_vortex_ind_pos - trend_vortex_ind_neg",
                 "trend_cci": _ratio(
-                    "_tp - _tpm",
-                    "0.015D * ((abs(_tp - _tpm)"
-                    + "".join(f" + coalesce(abs(_tp{k} - _tpm), 0D)" for k in range(1, w.cci))
-                    + ") / _tpn)",
+                    "_tp - _tpm", "0.015D * (aggregate(_tps, 0D, (a, x) -> a + abs(x - _tpm)) / size(_tps))"
                 ),
                 "trend_dpo": f"_p{w.dpo // 2 + 1} - _dpo",
                 **{f"_roc{n}": _ratio(f"close - _p{n}", f"_p{n}") for n in w.rocs},

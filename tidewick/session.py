@@ -1,5 +1,8 @@
 """Session helpers: shared scratch space and lineage cuts that survive executor loss."""
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -16,14 +19,17 @@ SALTS = 32
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (single-machine tests) a folder of our own is
-    created, and remembered in the session so that all callers agree on it.
+    A cluster must name one.  Only on a single machine (tests) a folder of our own is created where none is
+    named, remembered in the session so that all callers agree on it, and removed when the process ends.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="tidewick-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     return path
 
@@ -45,9 +51,15 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _row_bytes(schema: T.StructType) -> int:
-    """A generous estimate of a row in memory: 16 bytes per number, 64 per text."""
-    return 32 + sum(16 if isinstance(f.dataType, (T.NumericType, T.BooleanType)) else 64 for f in schema.fields)
+def _bytes(stored: DataFrame) -> int | None:
+    """The size of a stored table in memory: 16 bytes per number, texts as they are; None if it has other columns."""
+    texts = [f.name for f in stored.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    plain = [f.name for f in stored.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType))]
+    if len(texts) + len(plain) < len(stored.columns):
+        return None
+    sizes = [F.sum(F.coalesce(F.octet_length(c), F.lit(0))) for c in texts]
+    found = stored.agg(F.count(F.lit(1)).alias("_rows"), *[s.alias(f"_{i}") for i, s in enumerate(sizes)]).first()
+    return found[0] * (32 + 16 * len(plain) + 32 * len(texts)) + sum(x or 0 for x in found[1:])
 
 
 def join_small(
@@ -55,12 +67,13 @@ def join_small(
 ) -> DataFrame:
     """Join a table that is expected to be tiny, without shuffling the big one where that holds.
 
-    The small side is computed once, stored and counted.  Within ``BROADCAST_BYTES`` it is
-    broadcast.  Beyond, both sides shuffle; with ``salt_by`` a key's rows are spread over salts of that
+    The small side is computed once, stored and measured.  Within ``BROADCAST_BYTES`` it is
+    broadcast.  Beyond (or with columns of other types), both sides shuffle; with ``salt_by`` a key's rows are spread over salts of that
     column, and the small side is repeated per salt, so that a hot key fills many tasks.
     """
     stored = materialise(small, "small")
-    if stored.count() * _row_bytes(stored.schema) <= BROADCAST_BYTES:
+    size = _bytes(stored)
+    if size is not None and size <= BROADCAST_BYTES:
         return big.join(F.broadcast(stored), list(on), how)
     if salt_by is None:
         return big.join(stored, list(on), how)
