@@ -93,9 +93,13 @@ def test_halo_frames(frame):
     same(got["lag3"], g.shift(3))
 
 
-def test_halo_refuses_frames_longer_than_a_chunk(frame):
-    with pytest.raises(ValueError):
-        chunks.with_halo(frame[0], back=5, rows=ROWS)
+def test_frames_longer_than_a_chunk_widen_it(frame):
+    df, pdf = frame
+    d = chunks.with_halo(chunks.row_positions(df), back=5, pos=F.col("pos"), rows=ROWS)
+    total = F.sum("x").over(chunks.halo_window().rowsBetween(-5, 0))
+    got = collected(chunks.drop_halo(d.withColumn("s", total)))
+    want = pdf.sort_values([*SERIES, "timestamp"]).groupby(SERIES)["x"].rolling(6, min_periods=1).sum()
+    np.testing.assert_allclose(got["s"].to_numpy(float), want.to_numpy(float))
 
 
 def test_attach_keeps_every_row(frame):

@@ -14,8 +14,9 @@ from functools import cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewick.operators import chunks as spans
 from tidewick.operators import scan
-from tidewick.operators.chunks import BLOCK_ROWS, CHUNK_ROWS, drop_halo, with_halo
+from tidewick.operators.chunks import BLOCK_ROWS, drop_halo, with_halo
 from tidewick.schema import PK, SERIES
 
 
@@ -357,7 +358,7 @@ def carried_totals(df: DataFrame, back: int) -> DataFrame:
     A narrow pass over prices and volume that leaves one row per chunk.
     """
     # the same chunks as the frame's, which grow with a long halo
-    d = with_halo(df.select(*PK, "high", "low", "close", "volume"), back=1, rows=max(CHUNK_ROWS, back))
+    d = with_halo(df.select(*PK, "high", "low", "close", "volume"), back=1, rows=max(spans.CHUNK_ROWS, back))
     d = _with(_with(d, {"_pc": _lag("close"), "_pv": _lag("volume")}), _STEPS)
     own = [f"sum({name}) as {name}" for name in _STEPS]
     chunks = drop_halo(d, keep_chunk=True).groupBy(*SERIES, "_chunk")
