@@ -11,6 +11,8 @@ from tidewick.llm import exact_dedup, jaccard_join, packing, quality, secret_sca
 from tidewick.llm.token_units import vocabulary
 from tidewick.session import materialise
 
+NEAR_WIDTH, NEAR_THRESHOLD = 5, 80  # near copies: words a shingle, percent of the union
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by importance resampling towards those labelled good; what it rejects goes."""
@@ -23,8 +25,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by n-gram similarity the document with the smallest doc_id stays."""
-    return jaccard_join.one_of_each(docs)
+    """Of each group linked by a Jaccard similarity of 0.8 of their 5-word sets the document with the smallest doc_id stays."""
+    return jaccard_join.one_of_each(docs, width=NEAR_WIDTH, threshold=NEAR_THRESHOLD)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from tidewick.llm import jaccard_join, secret_scan
 
@@ -31,3 +33,32 @@ def test_stages_one_by_one(spark):
 def test_run_gives_the_last_stage(spark):
     got = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(got.columns) and got.count() > 0
+
+
+def five_word_sets(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def test_near_copies_are_those_of_five_words(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(40):
+        words = [f"w{rng.randrange(10_000)}" for _ in range(203)]
+        more = [f"v{rng.randrange(10_000)}" for _ in range(40 + i // 4)]
+        edited = list(words)
+        for at in rng.sample(range(5, 195), 1 + i % 6):
+            edited[at] = f"x{at}"
+        rows += [(10 * i + 2, " ".join(words)), (10 * i + 1, " ".join(words + more)), (10 * i + 3, " ".join(edited))]
+    sets = [five_word_sets(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                root = [root[j] if r == root[i] else r for r in root]
+    least = {}
+    for (key, _), r in zip(rows, root, strict=True):
+        least[r] = min(least.get(r, key), key)
+    left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), SF)
+    assert sorted(r.doc_id for r in left.collect()) == sorted(least.values())
+    assert len(least) < len({r.component_id for r in jaccard_join.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()})

@@ -1,11 +1,11 @@
 """Similarity groups of documents by the Jaccard similarity of their word n-gram sets, exactly, with signature trees.
 
-Two documents link if 100 * intersection >= THRESHOLD * union of their sets of distinct shingles; the result is the
-connected components.  Documents with equal sets are one class, known by a 64-bit fingerprint (shingles are known by 64-bit
-hashes).
+Two documents link if 100 * intersection >= threshold * union of their sets of distinct shingles of ``width`` words; the
+result is the connected components.  Both are arguments (``WIDTH`` and ``THRESHOLD`` unless given); a threshold must be
+over 50.  Documents with equal sets are one class, known by a 64-bit fingerprint (shingles are known by 64-bit hashes).
 
 Blocks.  All shingles have one global order (frequent ones last, then by hash).  Linked sets share one of their first
-``n - ceil(THRESHOLD n) + 1`` shingles, so only classes that share such a shingle can link, and each shared one is a
+``n - ceil(threshold n) + 1`` shingles, so only classes that share such a shingle can link, and each shared one is a
 block.  The frequent shingles are a bounded list from counts per task; which ones are on it changes the work, never the result.
 
 Signature trees.  A class has a bitmap of its hashed shingles (at least 8 bits each); in a block, nodes hold the OR of
@@ -22,7 +22,7 @@ get trees.  Blocks of over ``BLOCK`` classes are split, in round 2 into pairs of
 whole and no pair is lost.
 
 Defined results: null, empty and white-space texts have an empty set and are their own component; a text with fewer than
-``WIDTH`` words has its whole sequence as one shingle; texts may be of any length; repeated rows are classmates, one
+``width`` words has its whole sequence as one shingle; texts may be of any length; repeated rows are classmates, one
 row each; an empty table gives an empty result.  A component's id is its smallest key that is not null (null if there is none).
 Only the key and text columns are read.
 """
@@ -51,8 +51,8 @@ FILTER_BITS = 1 << 23
 PAIRS = 1 << 16  # compared at a time
 
 
-def prefix_sizes(n: np.ndarray) -> np.ndarray:
-    return n + (-THRESHOLD * n) // 100 + 1
+def prefix_sizes(n: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
+    return n + (-threshold * n) // 100 + 1
 
 
 def set_arrays(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +100,7 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     return out
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """From ``(_key, _text)``: a row per document (_key, n, fp, sig), and rows (seen, times) of repeated shingles."""
     names = ["_key", "n", "fp", "sig", "seen", "times"]
     held, known, total = [], set(), 0
@@ -118,7 +118,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kind = batch.column(0).type
         for i, n, data, offsets in texts.slices(batch.column(1)):
-            hashes, sizes = set_arrays(data, offsets)
+            hashes, sizes = set_arrays(data, offsets, width)
             fp = fingerprints(hashes, sizes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(i, n), pa.array(sizes), pa.array(fp), pa.array(signatures(hashes, sizes), pa.binary()),
@@ -134,7 +134,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted(kind)
 
 
-def prefixes(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, screen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def prefixes(
+    hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, screen: np.ndarray, threshold: int = THRESHOLD
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(shingle, row, place)`` of each set's prefix; ``frequent`` is sorted, ``screen`` a bitmap of its top 24 bits."""
     row = np.repeat(np.arange(len(sizes)), sizes)
     rare = ~screen[(hashes >> np.uint64(40)).astype(np.int64)]
@@ -147,12 +149,12 @@ def prefixes(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, screen
     rare_before = run[:-1] - run[begin[row]]
     rare_total = np.bincount(row[rare], minlength=len(sizes))
     place = np.where(rare, rare_before, rare_total[row] + np.arange(len(hashes)) - begin[row] - rare_before)
-    chosen = place < prefix_sizes(sizes)[row]
+    chosen = place < prefix_sizes(sizes, threshold)[row]
     return hashes[chosen], row[chosen], place[chosen]
 
 
-def _pair_ok(n_a: np.ndarray, n_b: np.ndarray, overlap: np.ndarray) -> np.ndarray:
-    return 100 * overlap >= THRESHOLD * (n_a + n_b - overlap)
+def _pair_ok(n_a: np.ndarray, n_b: np.ndarray, overlap: np.ndarray, threshold: int) -> np.ndarray:
+    return 100 * overlap >= threshold * (n_a + n_b - overlap)
 
 
 def _fold(bitmaps: np.ndarray) -> np.ndarray:
@@ -181,7 +183,9 @@ class SignatureTree:
             ))
 
 
-def dual_traversal(one: SignatureTree, two: SignatureTree) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def dual_traversal(
+    one: SignatureTree, two: SignatureTree, threshold: int = THRESHOLD
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs of rows (of ``one``, of ``two``) that may link and are of different components, and their largest possible
     similarity, some at a time.
 
@@ -201,7 +205,7 @@ def dual_traversal(one: SignatureTree, two: SignatureTree) -> Iterator[tuple[np.
             ordered = (i < j) if u == 0 else (i <= j)
             i, j = i[ordered], j[ordered]
         a, b = one.levels[u], two.levels[v]
-        near = (100 * a[2][i] >= THRESHOLD * b[1][j]) & (100 * b[2][j] >= THRESHOLD * a[1][i])
+        near = (100 * a[2][i] >= threshold * b[1][j]) & (100 * b[2][j] >= threshold * a[1][i])
         near &= ~((a[4][i] == a[5][i]) & (b[4][j] == b[5][j]) & (a[4][i] == b[4][j]))
         i, j = i[near], j[near]
         if not len(i):
@@ -210,13 +214,13 @@ def dual_traversal(one: SignatureTree, two: SignatureTree) -> Iterator[tuple[np.
         if u == 0 and v == 0:
             # a set's bits that the other lacks stand for that many shingles at least
             overlap = np.minimum(a[3][i], b[3][j]) + common
-            keep = _pair_ok(a[1][i], b[1][j], overlap)
+            keep = _pair_ok(a[1][i], b[1][j], overlap, threshold)
             if keep.any():
                 most = overlap / (a[1][i] + b[1][j] - overlap)
                 yield one.rows[i[keep]], two.rows[j[keep]], most[keep]
             continue
         most = np.minimum(a[3][i], b[3][j]) + common
-        keep = most * (100 + THRESHOLD) >= THRESHOLD * (a[1][i] + b[1][j])
+        keep = most * (100 + threshold) >= threshold * (a[1][i] + b[1][j])
         i, j = i[keep], j[keep]
         if not len(i):
             continue
@@ -258,7 +262,7 @@ def met_before(one: np.ndarray, two: np.ndarray, token: np.ndarray | int) -> np.
 
 def block_pairs(
     fp: np.ndarray, n: np.ndarray, sig: list[bytes], root: np.ndarray, part: np.ndarray, spanning: bool,
-    token: int = 0, firsts: np.ndarray | None = None,
+    token: int = 0, firsts: np.ndarray | None = None, threshold: int = THRESHOLD,
 ) -> list[tuple[int, int]]:
     """Pairs of a block's classes to compare.  With two values in ``part``, only pairs between them."""
     bits = np.array([len(s) for s in sig])
@@ -271,7 +275,7 @@ def block_pairs(
         rows = np.flatnonzero(bits == w)
         groups = [rows[part[rows] == p] for p in np.unique(part[rows])] if cross else [rows]
         trees = {int(part[g[0]]) if cross else 0: SignatureTree(bitmaps[w][np.searchsorted(rows, g)], n[g], root[g], g) for g in groups}
-        found = [dual_traversal(trees[p], trees[q]) for p in trees for q in trees if (p < q if cross else True)]
+        found = [dual_traversal(trees[p], trees[q], threshold) for p in trees for q in trees if (p < q if cross else True)]
         if 2 * w in bitmaps:
             larger = np.flatnonzero(bits == 2 * w)
             folded = _fold(bitmaps[2 * w])
@@ -279,7 +283,7 @@ def block_pairs(
             for g in wide:
                 other = SignatureTree(folded[np.searchsorted(larger, g)], n[g], root[g], g)
                 p = int(part[g[0]]) if cross else 0
-                found += [dual_traversal(t, other) for q, t in trees.items() if not cross or p != q]
+                found += [dual_traversal(t, other, threshold) for q, t in trees.items() if not cross or p != q]
         for pairs in found:
             for x, y, most in pairs:
                 keep = root[x] != root[y]
@@ -314,7 +318,7 @@ def first_matrix(column: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
-def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _leaves(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
     """From rows sorted by run (token, run, fp, n, root, firsts), runs of a leaf at most: pairs (a, b), a < b."""
 
     def pairs_of(table: pa.Table):
@@ -328,7 +332,7 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i, j = np.triu_indices(size, 1)
             for some in np.array_split(begin[sizes == size], max(1, int((sizes == size).sum()) * len(i) // (4 * PAIRS))):
                 x, y = (some[:, None] + i).ravel(), (some[:, None] + j).ravel()
-                keep = (root[x] != root[y]) & (100 * n[x] >= THRESHOLD * n[y]) & (100 * n[y] >= THRESHOLD * n[x])
+                keep = (root[x] != root[y]) & (100 * n[x] >= threshold * n[y]) & (100 * n[y] >= threshold * n[x])
                 x, y = x[keep], y[keep]
                 keep = ~met_before(firsts[x], firsts[y], token[x])
                 a, b = fp[x[keep]], fp[y[keep]]
@@ -351,7 +355,7 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs_of(pa.Table.from_batches(held).combine_chunks())
 
 
-def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def may_link(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) that their bitmaps cannot rule out."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,7 +369,7 @@ def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                 while q.shape[1] > p.shape[1]:
                     q = _fold(q)
                 hidden = np.minimum(n_a[r] - _ones(p), n_b[r] - _ones(q))
-                keep[r] = _pair_ok(n_a[r], n_b[r], hidden + _ones(p & q))[0]
+                keep[r] = _pair_ok(n_a[r], n_b[r], hidden + _ones(p & q), threshold)[0]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
     rows = pairs
@@ -374,7 +378,7 @@ def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.select("a", "b", "n_a", "sig_a", "n_b", "sig_b").mapInArrow(compare, "a long, b long")
 
 
-def _blocks(spanning: bool):
+def _blocks(spanning: bool, threshold: int):
     """From rows sorted by block (token, part_a, part_b, part, fp, n, sig, root[, firsts]): pairs (a, b), a < b."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,7 +395,7 @@ def _blocks(spanning: bool):
             firsts = None if spanning else first_matrix(table.column("firsts"))
             pairs = block_pairs(
                 fp, column("n"), table.column("sig").to_pylist(), column("root"), column("part"), spanning,
-                table.column("token")[0].as_py(), firsts,
+                table.column("token")[0].as_py(), firsts, threshold,
             )
             if pairs:
                 both = np.sort(np.array(pairs, np.int64), axis=1)
@@ -415,7 +419,7 @@ def _blocks(spanning: bool):
     return run
 
 
-def tree_pairs(entries: DataFrame, classes: DataFrame, spanning: bool) -> DataFrame:
+def tree_pairs(entries: DataFrame, classes: DataFrame, spanning: bool, threshold: int) -> DataFrame:
     """Pairs (a, b) of classes from blocks ``entries`` (token, fp, root, parts[, run, firsts]) by their signature trees."""
     rows = entries.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")))
     if spanning:
@@ -429,17 +433,17 @@ def tree_pairs(entries: DataFrame, classes: DataFrame, spanning: bool) -> DataFr
     more = [] if spanning else ["firsts"]
     rows = rows.join(classes, "fp").select("token", "part_a", "part_b", "part", "fp", "n", "sig", "root", *more)
     rows = rows.repartition("token", "part_a", "part_b").sortWithinPartitions("token", "part_a", "part_b")
-    return rows.mapInArrow(_blocks(spanning), "a long, b long")
+    return rows.mapInArrow(_blocks(spanning, threshold), "a long, b long")
 
 
 def parts_of(count: Column) -> Column:
     return F.ceil(count / BLOCK).cast("long")
 
 
-def mixed_runs(labelled: DataFrame) -> DataFrame:
+def mixed_runs(labelled: DataFrame, threshold: int) -> DataFrame:
     """Of ``labelled`` (token, fp, n, root) the runs of comparable sizes with two components: and run, m (rows)."""
     order = Window.partitionBy("token").orderBy("n", "fp")
-    gap = F.coalesce((100 * F.lag("n").over(order) < THRESHOLD * F.col("n")).cast("long"), F.lit(0))
+    gap = F.coalesce((100 * F.lag("n").over(order) < threshold * F.col("n")).cast("long"), F.lit(0))
     rows = labelled.withColumn("_gap", gap)
     rows = rows.withColumn("run", F.sum("_gap").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_gap")
     run = Window.partitionBy("token", "run")
@@ -449,7 +453,7 @@ def mixed_runs(labelled: DataFrame) -> DataFrame:
     return rows.where("low <> high").drop("low", "high")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, key: str, text: str, width: int, threshold: int) -> DataFrame:
     """The stored pairs (a, b) of classes whose sets link.
 
     One document of each class is read again.  A Bloom filter of fixed size over their keys tells, where documents are read,
@@ -485,7 +489,7 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, key: str, te
             for k in range(2):
                 hit &= bits[(texts.mix(h + np.uint64(k)) % np.uint64(FILTER_BITS)).astype(np.int64)]
             for _, _, data, offsets in texts.slices(batch.column(0).filter(pa.array(hit))):
-                hashes, sizes = set_arrays(data, offsets)
+                hashes, sizes = set_arrays(data, offsets, width)
                 fp = fingerprints(hashes, sizes)
                 bounds = np.concatenate([[0], np.cumsum(sizes)])
                 new = [r for r, x in enumerate(fp.tolist()) if x not in known and not known.add(x)]
@@ -507,20 +511,20 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, key: str, te
                 both = np.concatenate([p, q])
                 both.sort()
                 overlap = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * overlap >= THRESHOLD * (len(both) - overlap))
+                keep.append(100 * overlap >= threshold * (len(both) - overlap))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
     return materialise(joined.mapInArrow(compare, "a long, b long"), "linked")
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
     """One row per document: key, n_shingles, component_id."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     kind = rows.schema["_key"].dataType.simpleString()
     first = materialise(
-        rows.mapInArrow(_sets, f"_key {kind}, n long, fp long, sig binary, seen long, times long"), "shingles"
+        rows.mapInArrow(lambda batches: _sets(batches, width), f"_key {kind}, n long, fp long, sig binary, seen long, times long"), "shingles"
     )
     sets = first.where(F.col("n").isNotNull())
     often = first.where(F.col("seen").isNotNull()).groupBy("seen").agg(F.sum("times").alias("times"))
@@ -536,10 +540,10 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         known: set[int] = set()
         for batch in batches:
             for _, _, data, offsets in texts.slices(batch.column(0)):
-                hashes, sizes = set_arrays(data, offsets)
+                hashes, sizes = set_arrays(data, offsets, width)
                 fp = fingerprints(hashes, sizes)
                 new = np.array([x not in known and not known.add(x) for x in fp.tolist()], bool)
-                token, row, place = prefixes(hashes[np.repeat(new, sizes)], np.where(new, sizes, 0), frequent, screen)
+                token, row, place = prefixes(hashes[np.repeat(new, sizes)], np.where(new, sizes, 0), frequent, screen, threshold)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token.view(np.int64)), pa.array(fp[row]), pa.array(place.astype(np.int32))], names=["token", "fp", "place"]
                 )
@@ -556,21 +560,22 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     early = shared.select("token", "fp", "place").distinct().withColumn("at", F.row_number().over(own))
     early = early.where(F.col("at") <= EARLY).select("token", "fp", F.col("fp").alias("root"))
     early = early.withColumn("parts", parts_of(F.count(F.lit(1)).over(same)))
-    pairs = materialise(tree_pairs(early, classes, True).distinct(), "pairs")
-    roots = components(verified(pairs, docs, members, key, text)).withColumnRenamed("node", "fp")
+    pairs = materialise(tree_pairs(early, classes, True, threshold).distinct(), "pairs")
+    roots = components(verified(pairs, docs, members, key, text, width, threshold)).withColumnRenamed("node", "fp")
 
     known = classes.select("fp", "n").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    live = materialise(mixed_runs(shared.select("token", "fp").distinct().join(known, "fp")), "mixed")
+    live = materialise(mixed_runs(shared.select("token", "fp").distinct().join(known, "fp"), threshold), "mixed")
     least = Window.partitionBy("fp").orderBy("token")
     firsts = live.select("token", "fp").withColumn("at", F.row_number().over(least)).where(F.col("at") <= FIRSTS)
     firsts = firsts.groupBy("fp").agg(F.sort_array(F.collect_list("token")).alias("firsts"))
     live = live.join(firsts, "fp", "left").withColumn("firsts", F.coalesce("firsts", F.array().cast("array<long>")))
     leaves = live.where(F.col("m") <= LEAF).select("token", "run", "fp", "n", "root", "firsts")
-    leaves = leaves.repartition("token", "run").sortWithinPartitions("token", "run").mapInArrow(_leaves, "a long, b long")
+    leaves = leaves.repartition("token", "run").sortWithinPartitions("token", "run")
+    leaves = leaves.mapInArrow(lambda batches: _leaves(batches, threshold), "a long, b long")
     large = live.where(F.col("m") > LEAF).withColumn("parts", parts_of(F.col("m"))).drop("n", "m")
-    found = may_link(materialise(leaves.distinct(), "leaves"), classes).unionByName(tree_pairs(large, classes, False))
+    found = may_link(materialise(leaves.distinct(), "leaves"), classes, threshold).unionByName(tree_pairs(large, classes, False, threshold))
     found = materialise(found.distinct(), "pairs").join(pairs, ["a", "b"], "left_anti")
-    late = verified(materialise(found, "pairs"), docs, members, key, text)
+    late = verified(materialise(found, "pairs"), docs, members, key, text, width, threshold)
     for side in ("a", "b"):
         late = (
             late.join(roots.select(F.col("fp").alias(side), F.col("root").alias("_r")), side, "left")
@@ -592,8 +597,10 @@ def _labelled(sets: DataFrame, roots: DataFrame, upper: DataFrame, key: str) ->
     return some.unionByName(none)
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD
+) -> DataFrame:
     """The rows of ``docs`` that stay: of each component those with its smallest key; null keys stay."""
     name = next(f"_gone{i}" for i in range(len(docs.columns) + 1) if f"_gone{i}" not in docs.columns)
-    gone = groups(docs, key, text).where(F.col(key) != F.col("component_id")).select(F.col(key).alias(name)).distinct()
+    gone = groups(docs, key, text, width, threshold).where(F.col(key) != F.col("component_id")).select(F.col(key).alias(name)).distinct()
     return docs.join(gone, docs[key] == gone[name], "left_anti")
