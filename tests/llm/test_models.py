@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -134,6 +135,31 @@ def test_url_model_held_out(spark):
         assert abs(r.difference - brute_difference(model, r.url)) < 1e-9
 
 
+def test_url_model_counts_every_context(spark):
+    rng = np.random.default_rng(6)
+    rows = [("".join(map(chr, rng.integers(97, 123, 30))), bool(i % 2)) for i in range(2000)]
+    seen = [Counter(), Counter()]
+    for url, blocked in rows:
+        for i in range(len(url)):
+            for order in range(url_filter.ORDERS):
+                before = "^" * (order - i) + url[max(0, i - order) : i]
+                seen[blocked][before] += 1
+                seen[blocked][before, url[i]] += 1
+    assert len(seen[0]) > 1 << 16
+    df = spark.createDataFrame(rows, "url string, blocked boolean").repartition(3)
+    scored = url_filter.with_difference(df, "url", "difference", url_filter.train(df)).collect()
+    assert sorted((r.url, r.blocked) for r in scored) == sorted(rows)
+    for r in scored[::50]:
+        total = 0.0
+        for i, char in enumerate(r.url):
+            p = [1 / 256, 1 / 256]
+            for order in range(url_filter.ORDERS):
+                before = "^" * (order - i) + r.url[max(0, i - order) : i]
+                p = [(seen[c][before, char] + url_filter.ALPHA * p[c]) / (seen[c][before] + url_filter.ALPHA) for c in (0, 1)]
+            total += math.log(p[0]) - math.log(p[1])
+        assert abs(r.difference - total / len(r.url)) < 1e-9
+
+
 # --- quality
 
 
