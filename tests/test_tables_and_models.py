@@ -7,7 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tidewick.operators import aggregate, evaluate, gaps, ordered
-from tidewick.plans import models
+from tidewick.plans import models, queries_models
 from tidewick.plans.forests import descend
 from tidewick.schema import PREDICTION, PREDICTION_KEY, PREDICTION_LAYOUT, SERIES
 from tidewick.sinks import tables
@@ -225,3 +225,37 @@ def test_models_are_selected_by_thresholds(spark):
     rows = [("s", "m1", 0.1, 30, 0.5), ("s", "m2", 0.4, 90, 0.5), ("s", "m3", 0.1, 40, 0.3), ("t", "m4", 0.1, 20, 0.9)]
     df = spark.createDataFrame(rows, "ex_tp string, model_name string, pct_wrong_0 double, correct_arb long, pct_profit_mean double")
     assert [r.model_name for r in evaluate.select_models(df, ["model_name"]).collect()] == ["m3"]
+
+
+def test_searches_run_whole_grids_over_all_periods(monkeypatch):
+    made = []
+    monkeypatch.setattr(queries_models, "_trade_table", lambda s, d, periods: (made.append(periods), ["f"]))
+    monkeypatch.setattr(queries_models, "_arb_table", lambda s, d: (None, None))
+    monkeypatch.setattr(queries_models.models, "eligible", lambda *a: [])
+    monkeypatch.setattr(queries_models, "scratch_path", lambda *a: "")
+
+    class Seen(Exception):
+        pass
+
+    def seen(table, columns, series, candidates, base):
+        raise Seen(candidates)
+
+    monkeypatch.setattr(queries_models.models, "search_trade", seen)
+    monkeypatch.setattr(queries_models.models, "search_arb", seen)
+    for key, n in (("grid_search", 20), ("random_search", 50), ("arb_grid_search", 84)):
+        with pytest.raises(Seen) as found:
+            queries_models.QUERIES[key](None, "")
+        assert len(found.value.args[0]) == n
+    assert made == [(3600, 21600, 43200, 57600, 86400)] * 2
+
+
+def test_search_scores_each_candidate_once_in_every_period(spark, table, tmp_path):
+    rows = table.withColumn("close_diff", F.col("f") - 0.5)
+    slow = rows.withColumns({"period": F.lit(600), "timestamp": F.col("timestamp") * 2})
+    keyed = models.series_table(rows.unionByName(slow), SERIES)
+    series = models.eligible(keyed, SERIES, 10, 10)
+    draws = [{"maxDepth": 3, "featureSubsetStrategy": f, "numTrees": 2} for f in ("1", "2", "1")]
+    got = models.search_trade(keyed, ["f", "g", "h"], series, draws, str(tmp_path)).collect()
+    assert sorted((r.ex_tp, r.period, r.max_features) for r in got) == [
+        (x, p, f) for x in ("a_p", "b_p") for p in (300, 600) for f in ("1", "2")
+    ]

@@ -168,9 +168,10 @@ def searched(
 ) -> DataFrame:
     """Test rows scored by every candidate's forest of their series: keys, ``keep``, the parameters, prediction.
 
-    All candidates' nodes are one table; the test rows meet them in one plan.
+    All candidates' nodes are one table; the test rows meet them in one plan.  A candidate that comes again is one.
     """
     spark = table.sparkSession
+    candidates = {tuple(sorted(p.items())): p for p in candidates}.values()
     paths, chosen = {}, []
     for number, params in enumerate(candidates):
         found = fit_all(

@@ -1,6 +1,9 @@
 """Registered queries: evaluation, model choice, classifiers."""
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -207,14 +210,18 @@ add(
 # --- classifiers -----------------------------------------------------------------------------
 
 PERIOD = HOUR
+# fixed values: the four periods of the trade searches, beside the hour of the other queries, and the random draws
+SEARCH_PERIODS = (PERIOD, 6 * HOUR, 12 * HOUR, 16 * HOUR, 24 * HOUR)
+DRAWS = 50
 
 
 def _trade_columns(df):
     return [c for c in df.columns if c not in (*SERIES, "timestamp", "target", "part", "label")]
 
 
-def _trade_table(s, d):
-    rows = materialise(features.trade_features(candles(s, d), PERIOD))
+def _trade_table(s, d, periods=(PERIOD,)):
+    found = [materialise(features.trade_features(candles(s, d), p)) for p in periods]
+    rows = reduce(DataFrame.unionByName, found)
     columns = _trade_columns(rows)
     parts = splits.ordered_split(models.trade_rows(rows, columns))
     return models.series_table(parts, SERIES), columns
@@ -266,28 +273,24 @@ def _train_arb(s, d):
 add("train_arb_model", lambda s, d: tidy(_train_arb(s, d)))
 
 
-# A whole grid is hours of fits here (20 candidates a series, 84 an exchange pair); the registered searches run these.
-TRADE_CANDIDATES = [{"maxDepth": d, "featureSubsetStrategy": f, "numTrees": 100} for d, f in ((17, "40"), (25, "60"))]
-ARB_CANDIDATES = [{"maxDepth": d, "featureSubsetStrategy": f, "numTrees": 100} for d, f in ((14, "50"), (21, "80"))]
-
-
 def _search(s, d, candidates):
-    table, columns = _trade_table(s, d)
+    table, columns = _trade_table(s, d, SEARCH_PERIODS)
     series = models.eligible(table, SERIES, 400, 100)
     return models.search_trade(table, columns, series, candidates, scratch_path(s, "search"))
 
 
-add("grid_search", lambda s, d: tidy(_search(s, d, TRADE_CANDIDATES)))
+add("grid_search", lambda s, d: tidy(_search(s, d, models.param_grid(models.TRADE_GRID))))
 add(
     "random_search",
-    lambda s, d: tidy(_search(s, d, models.random_params(2, {**models.TRADE_GRID, "numTrees": [50, 100]}))),
+    lambda s, d: tidy(_search(s, d, models.random_params(DRAWS, {**models.TRADE_GRID, "numTrees": [50, 100]}))),
 )
 
 
 def _arb_search(s, d):
     """Profits and confusion counts of each candidate on each exchange pair."""
     keyed, series = _arb_table(s, d)
-    confusion, profits = models.search_arb(keyed, features.ARB_FEATURES, series, ARB_CANDIDATES, scratch_path(s, "search"))
+    candidates = models.param_grid(models.ARB_GRID)
+    confusion, profits = models.search_arb(keyed, features.ARB_FEATURES, series, candidates, scratch_path(s, "search"))
     model = ["ex_tp", "period", *models.SEARCHED]
     right = F.col("actual") == F.col("predicted")
     cells = confusion.groupBy(*model).agg(
