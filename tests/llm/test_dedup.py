@@ -133,6 +133,18 @@ def test_jaccard_families(make_docs, monkeypatch, seed, block):
     assert sorted((tuple(r) for r in got), key=repr) == want
 
 
+def test_one_row_of_each_component_stays(make_docs):
+    one, two, alone = (" ".join(f"{c}{i}" for i in range(100)) for c in "abc")
+    rows = [
+        (3, one), (7, f"{one} more"), (7, alone), (None, two), (None, f"{two} more"), (9, f"{alone} x y"), (3, one),
+        (None, f"{one} z"), (None, None), (None, ""),
+    ]
+    left = sorted(((r.doc_id, r.text) for r in jaccard_join.one_of_each(make_docs(rows)).collect()), key=repr)
+    assert (None, two) in left or (None, f"{two} more") in left
+    assert [r for r in left if r[1] not in (two, f"{two} more")] == sorted([(3, one), (7, alone), (None, None), (None, "")], key=repr)
+    assert len(left) == 5
+
+
 @given(st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=40, unique=True), min_size=2, max_size=30))
 @settings(max_examples=60, deadline=None)
 def test_traversal_keeps_every_link(sets):

@@ -600,7 +600,15 @@ def _labelled(sets: DataFrame, roots: DataFrame, upper: DataFrame, key: str) ->
 def one_of_each(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD
 ) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component those with its smallest key; null keys stay."""
-    name = next(f"_gone{i}" for i in range(len(docs.columns) + 1) if f"_gone{i}" not in docs.columns)
-    gone = groups(docs, key, text, width, threshold).where(F.col(key) != F.col("component_id")).select(F.col(key).alias(name)).distinct()
-    return docs.join(gone, docs[key] == gone[name], "left_anti")
+    """The rows of ``docs`` that stay: of each component one, the row with its smallest key (nulls are largest).
+
+    Rows are known by a number of their own, so that one key on several texts is several rows.
+    """
+    tag = next(f"_row{i}" for i in range(len(docs.columns) + 1) if f"_row{i}" not in docs.columns)
+    tagged = materialise(docs.withColumn(tag, F.monotonically_increasing_id()), "tagged")
+    found = groups(tagged, tag, text, width, threshold).select(tag, "component_id")
+    found = materialise(found.join(tagged.select(tag, F.col(key).alias("_id")), tag), "grouped")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col(tag).alias("row")))
+    stay = found.groupBy("component_id").agg(first.alias("_first")).select(F.col("_first.row").alias(tag))
+    gone = found.select(tag).join(stay, tag, "left_anti")
+    return tagged.join(gone, tag, "left_anti").drop(tag)
