@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewick.llm import exact_dedup, jaccard_join, license_scan, neighbours, packing, quality, secret_scan, segmentations, token_files, url_filter
+from tidewick.llm import (
+    exact_dedup, jaccard_join, license_scan, neighbours, packing, personal_data, quality, secret_scan, segmentations, token_files, url_filter,
+)
 from tidewick.llm.token_units import vocabulary
 from tidewick.session import scratch_path
 
@@ -78,11 +80,15 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan.scan(table(spark, sf, "documents"))
 
 
+def op13_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return personal_data.digests(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_neighbours, op3_packing, op4_token_files, op5_jaccard_join, op6_exact_dedup, op7_segmentations, op8_url_filter,
-        op9_quality, op10_license_scan,
+        op9_quality, op10_license_scan, op13_personal_data,
     )
 }
 
@@ -125,7 +131,55 @@ from docs left join spans using (doc_id) group by doc_id
 """
 
 
+_CUES = "account|Account|ACCOUNT|acct|Acct|ACCT|iban|Iban|IBAN|passport|Passport|PASSPORT|ssn|Ssn|SSN"
+_IDENTIFIER = r"(\x20no|\x20number)?[\x20.:#=]+([A-Z0-9-]+)"
+_LUHN = """length(d) between 16 and 19 and list_sum(list_transform(range(1, length(d) + 1), lambda i:
+  case when i % 2 = 1 then substr(d, length(d) + 1 - i, 1)::int
+       else substr(d, length(d) + 1 - i, 1)::int * 2 - case when substr(d, length(d) + 1 - i, 1) > '4' then 9 else 0 end end)) % 10 = 0"""
+# kind, pattern, what a match (m, its digits d) must meet
+_PERSONAL = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+     "list_bool_and(list_transform(string_split(m, '.'), lambda p: length(ltrim(p, '0')) <= 3 and right('000' || p, 3)::int <= 255))"),
+    ("card", r"[0-9]([\x20-]?[0-9])+", _LUHN),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) between 8 and 15"),
+    ("login", r"[A-Za-z][A-Za-z0-9+.-]*://[^\x00-\x20/?#@]+@[A-Za-z0-9.-]+", "true"),
+    ("tel", r"tel:\+?[0-9().-]+", "length(d) between 7 and 15"),
+    ("account", f"({_CUES}){_IDENTIFIER}", f"length(regexp_replace(regexp_extract(m, '({_CUES}){_IDENTIFIER}', 3), '[^0-9]', '', 'g')) >= 6"),
+    ("pan", "[0-9]+", _LUHN),
+]
+
+
+def _personal_sql() -> str:
+    matches = " union all ".join(
+        f"select doc_id, {k} as rank, regexp_extract_all(t, '{p}', 0) as ms, regexp_split_to_array(t, '{p}') as gaps from docs"
+        for k, (_, p, _) in enumerate(_PERSONAL)
+    )
+    valid = " ".join(f"when {k} then {v}" for k, (_, _, v) in enumerate(_PERSONAL))
+    names = " ".join(f"when {k} then '{n}'" for k, (n, _, _) in enumerate(_PERSONAL))
+    return f"""
+with docs as (select doc_id, coalesce(text, '') as t from documents),
+matches as ({matches}),
+places as (select *, unnest(range(1, len(ms) + 1)) as i from matches where len(ms) > 0),
+found as (
+  select doc_id, rank, ms[i] as m, regexp_replace(ms[i], '[^0-9]', '', 'g') as d,
+         (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+          + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::bigint as start
+  from places),
+spans as (
+  select doc_id, rank, start, case rank {names} end || ':' || start || ':' || (start + length(m)) as span
+  from found where case rank {valid} end)
+select doc_id,
+       count(span) filter (rank = 0) as n_email, count(span) filter (rank = 1) as n_ip,
+       count(span) filter (rank = 2) as n_card, count(span) filter (rank = 3) as n_phone,
+       sha256(coalesce(string_agg(span, ',' order by rank, start) filter (rank < 4), '')) as base_sha256,
+       coalesce(string_agg(span, ',' order by rank, start), '') as spans
+from docs left join spans using (doc_id) group by doc_id
+"""
+
+
 ORACLES = {
+    "op13_personal_data": _personal_sql(),
     "op1_secret_scan": _secrets_sql(),
     "op6_exact_dedup": """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
