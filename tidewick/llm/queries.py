@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewick.llm import (
-    exact_dedup, jaccard_join, license_scan, neighbours, packing, personal_data, quality, secret_scan, segmentations, token_files, url_filter,
+    conversation_repair, exact_dedup, jaccard_join, license_scan, neighbours, packing, personal_data, quality, ranked_search, secret_scan,
+    segmentations, token_files, url_filter,
 )
 from tidewick.llm.token_units import vocabulary
 from tidewick.session import scratch_path
@@ -80,6 +81,14 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan.scan(table(spark, sf, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_repair.report(table(spark, sf, "conversations"))
+
+
+def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op13_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return personal_data.digests(table(spark, sf, "documents"))
 
@@ -88,7 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_neighbours, op3_packing, op4_token_files, op5_jaccard_join, op6_exact_dedup, op7_segmentations, op8_url_filter,
-        op9_quality, op10_license_scan, op13_personal_data,
+        op9_quality, op10_license_scan, op11_conversation_repair,
+        op12_ranked_search, op13_personal_data,
     )
 }
 
@@ -131,6 +141,81 @@ from docs left join spans using (doc_id) group by doc_id
 """
 
 
+def _repair_sql() -> str:
+    """The same audits by a recursion over rows that carries, for each state, the least (cost, audit, lines)."""
+    impossible = 10**9
+    given, after = ("user", "user", "assistant", "user"), (2, 2, 3, 2)
+
+    def add(state: str, cost: str, letter: str, line: str = "''") -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {line}}}"
+
+    def least(options: list[str]) -> str:
+        return f"list_sort([{', '.join(options)}])[1]"
+
+    def inserted(s: int) -> str:
+        return f"chr(10) || '{given[s]}:'"
+
+    # inserts before a row, into the states after user and then after assistant
+    user = least(["s2", *[add(f"s{s}", "5", "I", inserted(s)) for s in (0, 1, 3)]])
+    assistant = least(["s3", add("u2", "5", "I", inserted(2))])
+    before = {0: "s0", 1: "s1", 2: "u2", 3: "u3"}
+    after_row = []
+    for end in range(4):
+        options = [add(before[end], "2", "D")]
+        for s in range(4):
+            kept = [i for i, e in (("s", 1), ("u", 2), ("a", 3)) if e == end and (s == 0 and i in "su" or s in (1, 3) and i == "u" or s == 2 and i == "a")]
+            options += [add(before[s], f"case when ok and left(role, 1) = '{i}' then cut else {impossible} end", "K", "chr(10) || role || ':' || text") for i in kept]
+            if after[s] == end:
+                options.append(add(before[s], f"case when ok then 1 + cut else {impossible} end", "R", f"chr(10) || '{given[s]}:' || text"))
+        after_row.append(f"{least(options)} as s{end}")
+    start = "{'c': 0::bigint, 'a': '', 't': ''}"
+    none = f"{{'c': {impossible}::bigint, 'a': '', 't': ''}}"
+    last = least(["s0", "s3", add("s2", "5", "I", inserted(2)), add("s1", "10", "II", f"{inserted(1)} || {inserted(2)}")])
+    text = "regexp_replace(t, '[.!?]', '', 'g')"
+    return f"""
+with recursive
+table_of as (select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)
+                        order by i) as tbl from range(256) as r(i)),
+named as (
+  select *, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name, coalesce(role, ' ') as r, coalesce(text, ' ') as t
+  from conversations),
+kinds as (
+  select *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(name, ''), lambda x: ascii(x)::bigint)),
+                lambda c, b: xor(c >> 8, tbl[(xor(c, b) & 255) + 1])), 4294967295) % 20 as kind from named, table_of),
+damaged as (
+  select conv_id, turn, case kind when 4 then 'user' else r end as role, case kind when 1 then '' when 2 then {text} else t end as text,
+         unnest(case kind when 3 then [1, 2] else [1] end) as copy
+  from kinds where kind <> 0),
+placed as (
+  select conv_id, turn, role, text, regexp_replace(text, '[\x20\x09-\x0D]+$', '') as inner_text,
+         row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+         row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as seen
+  from damaged),
+faults as (
+  select *, case when inner_text = '' then 'blank' when seen > 1 then 'duplicate'
+                 when right(inner_text, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+         left(lag(role) over (partition by conv_id order by i), 1) || left(role, 1) as pair
+  from placed),
+rows_in as (select *, fault in ('', 'truncated') as ok, case fault when 'truncated' then 5 else 0 end as cut from faults),
+steps as (
+  select conv_id, 0::bigint as i, {start} as s0, {none} as s1, {none} as s2, {none} as s3 from (select distinct conv_id from conversations)
+  union all
+  select conv_id, i, {", ".join(after_row)} from (
+    select conv_id, i, ok, cut, role, text, s0, s1, s2, u2, {assistant} as u3 from (
+      select r.conv_id, r.i, r.ok, r.cut, r.role, r.text, s0, s1, s2, s3, {user} as u2
+      from steps join rows_in r on r.conv_id is not distinct from steps.conv_id and r.i = steps.i + 1))),
+ends as (select conv_id, {last} as best from steps qualify i = max(i) over (partition by conv_id)),
+counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (fault = 'blank') as blank,
+         count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+         count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+  from rows_in group by conv_id)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, best.c as cost, best.a as audit, sha256(best.t[2:]) as repaired_sha256
+from ends e left join counts c on c.conv_id is not distinct from e.conv_id
+"""
+
+
 _CUES = "account|Account|ACCOUNT|acct|Acct|ACCT|iban|Iban|IBAN|passport|Passport|PASSPORT|ssn|Ssn|SSN"
 _IDENTIFIER = r"(\x20no|\x20number)?[\x20.:#=]+([A-Z0-9-]+)"
 _LUHN = """length(d) between 16 and 19 and list_sum(list_transform(range(1, length(d) + 1), lambda i:
@@ -179,6 +264,26 @@ from docs left join spans using (doc_id) group by doc_id
 
 
 ORACLES = {
+    "op11_conversation_repair": _repair_sql(),
+    "op12_ranked_search": r"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+lengths as (select doc_id, count(*) as n from words group by doc_id),
+total as (select count(*) as docs, sum(n)::bigint as terms from lengths),
+counts as (select doc_id, term, count(*) as tf from words group by doc_id, term),
+weights as (
+  select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w from counts, total group by term, docs),
+asked as (
+  select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+scores as (
+  select item_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // terms)))))::bigint as score
+  from asked join weights using (term) join counts using (term) join lengths using (doc_id), total group by item_id, doc_id)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from scores where score > 0 qualify rank <= 20
+""",
     "op13_personal_data": _personal_sql(),
     "op1_secret_scan": _secrets_sql(),
     "op6_exact_dedup": """
