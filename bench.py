@@ -16,8 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tidewick.operators import aggregate, arbitrage, backtest, evaluate, joins, ordered, splits  # noqa: E402
 from tidewick.operators.gaps import gap_fill, impute_candles  # noqa: E402
-from tidewick.plans import features, models, queries_models  # noqa: E402
-from tidewick.schema import SERIES  # noqa: E402
+from tidewick.plans import features, queries_models  # noqa: E402
 from tidewick.session import materialise, scratch_path  # noqa: E402
 from tidewick.sources.ticks import read_candles  # noqa: E402
 from tidewick.streaming import jobs  # noqa: E402
@@ -81,8 +80,7 @@ def main():
     ))))
     def train():
         """Forests of every series on hourly candles, then all rows scored in one plan."""
-        table, columns, _, fitted = queries_models._trade_models(spark, SF, scratch_path(spark, "models"))
-        noop(models.fit_report(models.predict_all(table, SERIES, fitted, columns, queries_models.REPORTED), SERIES))
+        noop(queries_models._train_trade(spark, SF))
 
     run("train_trade_model", train)
     run("stream_candles", lambda: noop(jobs.run_to_files(

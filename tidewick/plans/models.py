@@ -1,13 +1,12 @@
-"""Classifiers per series on Spark ML: training, grid and random search, scoring, stacking, regimes.
+"""Classifiers per series: training, grid and random search, scoring, stacking, regimes.
 
-One model belongs to one series, as its users want it.  The feature table is written once,
-partitioned by series, so a fit reads its own partition only; each fit is itself a distributed
-Spark job, and a few of them run side by side.
+One forest belongs to one series, as its users want it; the forests of all series are grown by the same jobs
+(``growing``) and applied in one plan (``forests``).  Spark ML serves where one model spans all series.
 """
 
 import random
-from collections.abc import Callable, Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline
@@ -16,14 +15,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewick.functions.scalar import arbitrage_label, seconds_to_datetime, trade_label
 from tidewick.operators import backtest, clean, evaluate
 from tidewick.operators.chunks import attach, edge_rows
-from tidewick.plans.forests import forest_nodes, score
+from tidewick.plans.forests import PACKED, Candidate, score
+from tidewick.plans.growing import grow_forests, packed_schema
 from tidewick.schema import PAIR, SERIES
-from tidewick.session import materialise, scratch_path
+from tidewick.session import join_small, materialise
 from tidewick.sinks.tables import names_in, touch
 
 # fixed values: the forests of the trade and arbitrage models; Spark ML allows depth 30 at most
@@ -37,27 +36,15 @@ ARB_GRID = {
 }
 TRADE_GRID = {"maxDepth": [17, 20, 25, 27], "featureSubsetStrategy": ["40", "45", "50", "55", "60"], "numTrees": [100]}
 
-Series = tuple
+# fixed values: rows a series must exceed to be trained on, and tested on
+TRADE_ROWS, ARB_ROWS = (400, 100), (200, 20)
 
 
-def series_table(features: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The features on disk, one partition per series, so that a fit scans its series only."""
-    spark = features.sparkSession
-    path = scratch_path(spark, "training")
-    spread = features.repartition(*keys, F.expr("timestamp div (period * 131072L)"))
-    spread.write.partitionBy(*keys).parquet(path)
-    return spark.read.schema(features.schema).parquet(path)
-
-
-def of_series(table: DataFrame, keys: Sequence[str], series: Series) -> DataFrame:
-    return reduce(lambda d, kv: d.where(F.col(kv[0]) == kv[1]), zip(keys, series), table)
-
-
-def eligible(table: DataFrame, keys: Sequence[str], train: int, test: int) -> list[Series]:
-    """Series with more than so many training and test rows (a list of names, not of data)."""
+def trainable(table: DataFrame, keys: Sequence[str], train: int, test: int) -> DataFrame:
+    """The rows of series with more than so many training and test rows."""
     part = F.col("part")
     rows = clean.eligible_series(table, {"_a": (part == "train", train), "_b": (part == "test", test)}, keys)
-    return sorted(tuple(r[k] for k in keys) for r in rows.select(*keys).collect())
+    return join_small(table, rows.select(*keys), keys, "left_semi", salt_by="timestamp")
 
 
 def forest(features: Sequence[str], **params) -> Pipeline:
@@ -83,60 +70,61 @@ def _numeric(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in features})
 
 
-def artifact(base: str, kind: str, series: Series, params: Mapping | None = None) -> str:
+def artifact(base: str, kind: str, series: Sequence, params: Mapping | None = None) -> str:
     parts = [str(x) for x in (*series, *(params or {}).values())]
     return f"{base}/model_{kind}_" + "_".join(parts)
 
 
-def data_marks(table: DataFrame, keys: Sequence[str]) -> dict[Series, str]:
-    """A hash of the training rows of every series, whatever their order."""
-    rows = table.where(F.col("part") == "train")
-    marks = rows.groupBy(*keys).agg(F.hex(F.bit_xor(F.xxhash64(*[c for c in table.columns]))).alias("mark"))
-    return {tuple(r[k] for k in keys): r["mark"] for r in marks.collect()}
-
+FINISHED = "FINISHED"
 
-FINISHED = "FINISHED-"
 
+def features_per_node(strategy: str | int, n_features: int) -> int:
+    """How many features a node may split on, by the name of a strategy or as a number."""
+    named = {"all": n_features, "auto": max(1, round(n_features**0.5)), "sqrt": max(1, round(n_features**0.5)), "onethird": max(1, n_features // 3)}
+    return named[strategy] if strategy in named else min(int(strategy), n_features)
 
-def finished(spark: SparkSession, path: str, mark: str | None = None) -> bool:
-    """Whether a model was saved whole (for the data with this mark)."""
-    return any(n == FINISHED + mark if mark else n.startswith(FINISHED) for n in names_in(spark, path))
 
+def _settings(params: Mapping) -> dict:
+    settings = {**DEFAULT_FOREST, **params}
+    if settings["maxDepth"] > MAX_DEPTH:
+        raise ValueError(f"trees are at most {MAX_DEPTH} deep, not {settings['maxDepth']}")
+    return settings
 
-def fit_all(
-    table: DataFrame,
-    keys: Sequence[str],
-    series: Iterable[Series],
-    make: Callable[[], Pipeline],
-    path_of: Callable[[Series], str],
-    parallelism: int = 4,
-) -> dict[Series, str]:
-    """Fit and save a model per series; the path of each.
-
-    A model that was saved whole for the same training rows is kept: its marker is written last and names them.
-    The loop is over series, each fit is a distributed job over that series' partition.
-    """
-    spark = table.sparkSession
-    marks = data_marks(table, keys)
-
-    def one(s: Series) -> str:
-        path = path_of(s)
-        if not finished(spark, path, marks[s]):
-            make().fit(of_series(table, keys, s).where(F.col("part") == "train")).write().overwrite().save(path)
-            touch(spark, f"{path}/{FINISHED}{marks[s]}")
-        return path
 
-    names = [s for s in series if s in marks]
-    with ThreadPoolExecutor(parallelism) as pool:
-        return dict(zip(names, pool.map(one, names)))
+def _finished(spark: SparkSession, path: str, schema) -> DataFrame:
+    """All fits under ``path`` that were written whole."""
+    whole = [f"{path}/{n}" for n in names_in(spark, path) if FINISHED in names_in(spark, f"{path}/{n}")]
+    return spark.read.schema(schema).parquet(*[f"{p}/forests" for p in whole]) if whole else spark.createDataFrame([], schema)
 
 
-def predict_all(
-    table: DataFrame, keys: Sequence[str], paths: Mapping[Series, str], features: Sequence[str], keep: Sequence[str]
+def fit_forests(
+    table: DataFrame, keys: Sequence[str], features: Sequence[str], classes: int, path: str, candidates: Iterable[Mapping] = ({},)
 ) -> DataFrame:
-    """Every series scored by its own saved forest, in one plan."""
-    types = [table.schema[k].dataType for k in keys]
-    return score(table, forest_nodes(table.sparkSession, paths, keys, types), features, keys, keep)
+    """Packed forests that serve all candidates on every series, stored under ``path``.
+
+    Candidates that share a number of features a node share a forest of the greatest depth and number of trees.  A forest that was
+    stored whole for the same training rows, features and settings is kept; only series without one are fitted.
+    """
+    spark, keys = table.sparkSession, list(keys)
+    asked = [_settings(p) for p in candidates]
+    subsets = sorted({features_per_node(p["featureSubsetStrategy"], len(features)) for p in asked})
+    trees, depth = max(p["numTrees"] for p in asked), max(p["maxDepth"] for p in asked)
+    seed = asked[0]["seed"]
+    train = table.where(F.col("part") == "train")
+    what = F.lit(repr((list(features), classes, subsets, trees, depth, seed)))
+    rows = F.bit_xor(F.xxhash64(*keys, "timestamp", "label", *features))
+    marks = materialise(train.groupBy(*keys).agg(F.hex(F.xxhash64(rows, F.count(F.lit(1)), what)).alias("mark")), "marks")
+    schema = packed_schema(train, keys, {"mark": "string"})
+    stored = _finished(spark, path, schema)
+    todo = marks.join(stored.select(*keys, "mark").distinct(), [*keys, "mark"], "left_anti")
+    if todo.take(1):
+        missing = join_small(train, todo, keys, salt_by="timestamp")
+        grown = grow_forests(missing.drop("mark"), keys, features, classes, subsets, trees, depth, seed)
+        new = f"{path}/fit-{uuid.uuid4().hex}"
+        join_small(grown, todo, keys, salt_by="tree").select(*keys, *PACKED, "mark").write.parquet(f"{new}/forests")
+        touch(spark, f"{new}/{FINISHED}")
+        stored = _finished(spark, path, schema)
+    return stored.join(marks, [*keys, "mark"], "left_semi").drop("mark")
 
 
 def fit_report(predicted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -163,39 +151,26 @@ SEARCHED = {"max_features": "featureSubsetStrategy", "max_depth": "maxDepth", "n
 
 
 def searched(
-    table: DataFrame, features: Sequence[str], keys: Sequence[str], series: list[Series], candidates: Iterable[dict],
-    base: str, kind: str, keep: Sequence[str],
+    table: DataFrame, features: Sequence[str], keys: Sequence[str], classes: int, candidates: Iterable[dict], path: str, keep: Sequence[str]
 ) -> DataFrame:
     """Test rows scored by every candidate's forest of their series: keys, ``keep``, the parameters, prediction.
 
-    All candidates' nodes are one table; the test rows meet them in one plan.  A candidate that comes again is one.
+    One forest per number of features is grown; candidates are its cuts.  A candidate that comes again is one.
     """
-    spark = table.sparkSession
-    candidates = {tuple(sorted(p.items())): p for p in candidates}.values()
-    paths, chosen = {}, []
-    for number, params in enumerate(candidates):
-        found = fit_all(
-            table, keys, series, lambda p=params: forest(features, **p), lambda s, p=params: artifact(base, kind, s, p)
-        )
-        paths |= {(*s, number): path for s, path in found.items()}
-        chosen.append((number, *[str(params.get(p, DEFAULT_FOREST[p])) for p in SEARCHED.values()]))
-    by = [*keys, "_candidate"]
-    types = [*[table.schema[k].dataType for k in keys], T.IntegerType()]
-    tested = table.where(F.col("part") == "test").withColumn(
-        "_candidate", F.explode(F.array(*[F.lit(n) for n, *_ in chosen]))
-    )
-    scored = score(tested, forest_nodes(spark, paths, by, types), features, by, keep)
-    names = spark.createDataFrame(chosen, "_candidate int, max_features string, max_depth string, n_estimators string")
-    return scored.join(names, "_candidate").withColumns(
-        {"max_depth": F.col("max_depth").cast("int"), "n_estimators": F.col("n_estimators").cast("int")}
-    )
-
-
-def search_trade(
-    table: DataFrame, features: Sequence[str], series: list[Series], candidates: Iterable[dict], base: str
-) -> DataFrame:
+    asked = [_settings(p) for p in {tuple(sorted(p.items())): p for p in candidates}.values()]
+    forests = fit_forests(table, keys, features, classes, path, asked)
+    wanted = [
+        Candidate(n, features_per_node(p["featureSubsetStrategy"], len(features)), p["maxDepth"], p["numTrees"]) for n, p in enumerate(asked)
+    ]
+    scored = score(table.where(F.col("part") == "test"), forests, features, keys, keep, wanted)
+    chosen = [(n, str(p["featureSubsetStrategy"]), p["maxDepth"], p["numTrees"]) for n, p in enumerate(asked)]
+    names = table.sparkSession.createDataFrame(chosen, "candidate int, max_features string, max_depth int, n_estimators int")
+    return scored.join(names, "candidate").drop("candidate")
+
+
+def search_trade(table: DataFrame, features: Sequence[str], candidates: Iterable[dict], path: str) -> DataFrame:
     """Backtest of every candidate on every series (of any period): one row per (ex_tp, period, candidate)."""
-    tested = searched(table, features, SERIES, series, candidates, base, "trade", ["timestamp", "close_diff"])
+    tested = searched(table, features, SERIES, 2, candidates, path, ["timestamp", "close_diff"])
     runs = [*SERIES, *SEARCHED]
     d = tested.select(*runs, "timestamp", "close_diff", (F.col("prediction") == 1).alias("y_pred"))
     # a candidate's run over a series is a series of its own to the backtest
@@ -217,13 +192,13 @@ def search_trade(
 
 
 def search_arb(
-    table: DataFrame, features: Sequence[str], series: list[Series], candidates: Iterable[dict], base: str
+    table: DataFrame, features: Sequence[str], candidates: Iterable[dict], path: str
 ) -> tuple[DataFrame, DataFrame]:
     """Confusion counts and profits of every candidate on every exchange pair.
 
     ``table`` has pct_profit beside the features; both results have ex_tp, period and the parameters.
     """
-    tested = searched(table, features, PAIR, series, candidates, base, "arb", ["timestamp", "label", "pct_profit"])
+    tested = searched(table, features, PAIR, 3, candidates, path, ["timestamp", "label", "pct_profit"])
     tested = materialise(
         tested.select(
             F.concat_ws("_", "exchange_1", "exchange_2", "trading_pair").alias("ex_tp"), "period", *SEARCHED,
@@ -238,17 +213,15 @@ def search_arb(
 
 
 def score_newest(
-    spark: SparkSession, rows: DataFrame, keys: Sequence[str], series: Iterable[Series], path_of: Callable[[Series], str],
-    features: Sequence[str], now: Column | None = None,
+    rows: DataFrame, forests: DataFrame, keys: Sequence[str], features: Sequence[str], subset: int, now: Column | None = None
 ) -> DataFrame:
-    """Saved models on the newest row of their series, as prediction records.
+    """Stored forests on the newest row of their series, as prediction records.
 
     p_time is when the predicted period begins, c_time (``now``, by default the clock) when the record was made; trade
     records carry exchange, arbitrage records (``keys`` of exchange pairs) exchange_1 and exchange_2.
     """
     newest = edge_rows(rows, 1, keys=keys).drop("rank")
-    paths = {s: path_of(s) for s in series if finished(spark, path_of(s))}
-    scored = predict_all(newest, keys, paths, features, ["timestamp"])
+    scored = score(newest, forests, features, keys, ["timestamp"], [Candidate(subset=subset)])
     due = F.col("timestamp") + F.col("period")
     made = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
     pair = "exchange_1" in keys

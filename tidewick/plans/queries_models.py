@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 from tidewick.operators import arbitrage, evaluate, splits
 from tidewick.plans import base, features, models
 from tidewick.plans.base import HOUR, MODEL, K, candles, labelled, results, sql, tidy
+from tidewick.plans.forests import Candidate, score
 from tidewick.schema import ARB_PREDICTION_KEY, PAIR, SERIES, TRADE_PREDICTION_KEY
-from tidewick.session import materialise, scratch_path
+from tidewick.session import join_small, materialise, scratch_path
 from tidewick.sinks.tables import write_predictions
 from tidewick.sources.candles import read_confusions, read_performance
 
@@ -219,64 +220,73 @@ def _trade_columns(df):
     return [c for c in df.columns if c not in (*SERIES, "timestamp", "target", "part", "label")]
 
 
-def _trade_table(s, d, periods=(PERIOD,)):
-    found = [materialise(features.trade_features(candles(s, d), p)) for p in periods]
+def _long_enough(found, period, least):
+    """Candles of the series whose time range holds more than ``least`` rows of ``period``; no other can be trained on."""
+    by = ["exchange", "trading_pair"]
+    span = (F.max("timestamp") - F.min("timestamp")) / period + 1
+    return join_small(found, found.groupBy(*by).agg(span.alias("_n")).where(F.col("_n") > least).select(*by), by, "left_semi", salt_by="timestamp")
+
+
+def _trade_table(s, d, periods=(PERIOD,), least=(0, 0)):
+    """Features, labels and parts of all series with more than ``least`` training and test rows."""
+    stored = materialise(candles(s, d), "candles")
+    found = [materialise(features.trade_features(_long_enough(stored, p, sum(least)), p)) for p in periods]
     rows = reduce(DataFrame.unionByName, found)
     columns = _trade_columns(rows)
     parts = splits.ordered_split(models.trade_rows(rows, columns))
-    return models.series_table(parts, SERIES), columns
+    return materialise(models.trainable(parts, SERIES, *least), "training"), columns
 
 
-def _trade_models(s, d, base_path):
-    table, columns = _trade_table(s, d)
-    series = models.eligible(table, SERIES, 400, 100)
-    fitted = models.fit_all(
-        table, SERIES, series, lambda: models.forest(columns), lambda x: models.artifact(base_path, "trade", x)
-    )
-    return table, columns, series, fitted
+def _trade_models(s, d, path):
+    table, columns = _trade_table(s, d, least=models.TRADE_ROWS)
+    return table, columns, models.fit_forests(table, SERIES, columns, 2, path)
 
 
 REPORTED = ["timestamp", "part", "label"]
 
 
+def _subset(columns):
+    return models.features_per_node(models.DEFAULT_FOREST["featureSubsetStrategy"], len(columns))
+
+
+def _trained(table, forests, keys, columns):
+    return models.fit_report(score(table, forests, columns, keys, REPORTED, [Candidate(subset=_subset(columns))]), keys)
+
+
 def _train_trade(s, d):
-    table, columns, _, fitted = _trade_models(s, d, scratch_path(s, "models"))
-    return models.fit_report(models.predict_all(table, SERIES, fitted, columns, REPORTED), SERIES)
+    table, columns, forests = _trade_models(s, d, scratch_path(s, "models"))
+    return _trained(table, forests, SERIES, columns)
 
 
 add("train_trade_model", lambda s, d: tidy(_train_trade(s, d)))
 
 
 def _arb_table(s, d):
-    """Features, target and profit of all exchange pairs, split with an embargo."""
+    """Features, target and profit of all exchange pairs with enough rows, split with an embargo."""
     table = materialise(features.series_features(candles(s, d), PERIOD))
     training = features.arb_training_set(table, PERIOD)
     training = arbitrage.with_profit(training, 6 * PERIOD, PERIOD)
     rows = materialise(models.arb_rows(training, features.ARB_FEATURES))
-    keyed = models.series_table(splits.embargo_split(rows, keys=PAIR), PAIR)
-    return keyed, models.eligible(keyed, PAIR, 200, 20)
+    parts = splits.embargo_split(rows, keys=PAIR)
+    return materialise(models.trainable(parts, PAIR, *models.ARB_ROWS), "training")
 
 
 def _arb_models(s, d, path):
-    keyed, series = _arb_table(s, d)
-    fitted = models.fit_all(
-        keyed, PAIR, series, lambda: models.forest(features.ARB_FEATURES), lambda x: models.artifact(path, "arb", x)
-    )
-    return keyed, series, fitted
+    table = _arb_table(s, d)
+    return table, models.fit_forests(table, PAIR, features.ARB_FEATURES, 3, path)
 
 
 def _train_arb(s, d):
-    keyed, _, fitted = _arb_models(s, d, scratch_path(s, "models"))
-    return models.fit_report(models.predict_all(keyed, PAIR, fitted, features.ARB_FEATURES, REPORTED), PAIR)
+    table, forests = _arb_models(s, d, scratch_path(s, "models"))
+    return _trained(table, forests, PAIR, features.ARB_FEATURES)
 
 
 add("train_arb_model", lambda s, d: tidy(_train_arb(s, d)))
 
 
 def _search(s, d, candidates):
-    table, columns = _trade_table(s, d, SEARCH_PERIODS)
-    series = models.eligible(table, SERIES, 400, 100)
-    return models.search_trade(table, columns, series, candidates, scratch_path(s, "search"))
+    table, columns = _trade_table(s, d, SEARCH_PERIODS, models.TRADE_ROWS)
+    return models.search_trade(table, columns, candidates, scratch_path(s, "search"))
 
 
 add("grid_search", lambda s, d: tidy(_search(s, d, models.param_grid(models.TRADE_GRID))))
@@ -288,9 +298,8 @@ add(
 
 def _arb_search(s, d):
     """Profits and confusion counts of each candidate on each exchange pair."""
-    keyed, series = _arb_table(s, d)
     candidates = models.param_grid(models.ARB_GRID)
-    confusion, profits = models.search_arb(keyed, features.ARB_FEATURES, series, candidates, scratch_path(s, "search"))
+    confusion, profits = models.search_arb(_arb_table(s, d), features.ARB_FEATURES, candidates, scratch_path(s, "search"))
     model = ["ex_tp", "period", *models.SEARCHED]
     right = F.col("actual") == F.col("predicted")
     cells = confusion.groupBy(*model).agg(
@@ -306,10 +315,10 @@ add("arb_grid_search", lambda s, d: tidy(_arb_search(s, d)))
 def _scored(s, d):
     """Models trained, saved and applied to the newest rows; predictions written once."""
     path, out = scratch_path(s, "models"), scratch_path(s, "scored")
-    table, columns, series, _ = _trade_models(s, d, path)
+    _, columns, forests = _trade_models(s, d, path)
     rows = features.trade_scoring_rows(candles(s, d), PERIOD)
     rows = materialise(models.trade_rows(rows.withColumn("target", F.lit(False)), columns))
-    records = models.score_newest(s, rows, SERIES, series, lambda x: models.artifact(path, "trade", x), columns)
+    records = models.score_newest(rows, forests, SERIES, columns, _subset(columns))
     for _ in range(2):
         write_predictions(records, out, TRADE_PREDICTION_KEY)
     return s.read.schema(records.schema).parquet(out)
@@ -335,12 +344,10 @@ add(
 def _arb_scored(s, d):
     """Forests of all exchange pairs on each pair's newest features."""
     path, out = scratch_path(s, "models"), scratch_path(s, "scored")
-    _, series, _ = _arb_models(s, d, path)
+    _, forests = _arb_models(s, d, path)
     newest = features.arb_features(materialise(features.series_features(candles(s, d), PERIOD)))
     rows = materialise(models.arb_rows(newest.withColumn("target", F.lit(0)), features.ARB_FEATURES))
-    records = models.score_newest(
-        s, rows, PAIR, series, lambda x: models.artifact(path, "arb", x), features.ARB_FEATURES
-    )
+    records = models.score_newest(rows, forests, PAIR, features.ARB_FEATURES, _subset(features.ARB_FEATURES))
     for _ in range(2):
         write_predictions(records, out, ARB_PREDICTION_KEY)
     found = s.read.schema(records.schema).parquet(out)

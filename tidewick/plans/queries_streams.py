@@ -8,7 +8,7 @@ from tidewick.functions.scalar import arbitrage_label, seconds_to_datetime
 from tidewick.plans import features, models
 from tidewick.plans.base import HOUR, K, OHLCV_SQL, PAIR_PK, PK, PRICES, candles, sql, states, tidy
 from tidewick.plans.queries_models import ORACLES as ORACLES_MODELS
-from tidewick.plans.queries_models import _trade_models
+from tidewick.plans.queries_models import _subset, _trade_models
 from tidewick.plans.queries_tables import _VENDOR_SQL, STORED, _damaged, _landed
 from tidewick.schema import OHLCV, PAIR, SERIES, TRADE_PREDICTION_KEY
 from tidewick.schema import PK as PK_COLS
@@ -174,7 +174,7 @@ def _stream_scoring(s, d):
     Running indicators need a series' whole history, as in training, so features are made from all stored candles.
     """
     path = scratch_path(s, "models")
-    _, columns, series, _ = _trade_models(s, d, path)
+    _, columns, forests = _trade_models(s, d, path)
     table, checkpoint = _folders(s, "stream-scoring")
     arriving, out = scratch_path(s, "arriving"), scratch_path(s, "scored")
     rows = materialise(candles(s, d).select("api", *PK_COLS, *OHLCV), "candles")
@@ -183,7 +183,7 @@ def _stream_scoring(s, d):
     def score(stored):
         newest = features.trade_scoring_rows(stored, HOUR)
         newest = materialise(models.trade_rows(newest.withColumn("target", F.lit(False)), columns))
-        found = models.score_newest(s, newest, SERIES, series, lambda x: models.artifact(path, "trade", x), columns)
+        found = models.score_newest(newest, forests, SERIES, columns, _subset(columns))
         write_predictions(found, out, TRADE_PREDICTION_KEY)
 
     jobs.score_stream(s.readStream.schema(rows.schema).parquet(arriving), table, score, checkpoint)
