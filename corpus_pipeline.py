@@ -2,6 +2,11 @@
 
 All stages but the last return the columns of ``documents``; the last returns the packed pieces.  Each stage is judged on
 its own input: models, counts and groups are made anew from what it is given.
+
+Defined results: documents need ``doc_id`` and ``text``; further columns are kept whatever their names, and ``n_chars``
+follows the text where there is one (null stays null).  Null and empty texts are equal to each other, so that exact dedup
+leaves one, and are linked with no near copy; texts may have any length.  Of equal texts the row with the largest doc_id stays, of near
+copies the one with the smallest (null is largest); repeated rows are copies.  An empty table gives no pieces.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +35,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are replaced by a mark; n_chars follows."""
-    clean = secret_scan.redact(docs.withColumnRenamed("n_chars", "n_before"))
-    return clean.withColumn("n_chars", F.when(F.col("n_before").isNotNull(), F.char_length("text").cast("long"))).select(*docs.columns)
+    """Secrets in the texts are replaced by a mark; n_chars, where there is one, follows."""
+    clean = secret_scan.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    length = F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.withColumn("n_chars", length).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
