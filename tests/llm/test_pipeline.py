@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tidewick.llm import jaccard_join, secret_scan
 
@@ -62,3 +64,37 @@ def test_near_copies_are_those_of_five_words(spark):
     left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), SF)
     assert sorted(r.doc_id for r in left.collect()) == sorted(least.values())
     assert len(least) < len({r.component_id for r in jaccard_join.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()})
+
+
+def stages(spark, docs):
+    out = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        out.append(corpus_pipeline.materialise(stage(spark, out[-1], SF), "test"))
+    return out
+
+
+def test_odd_rows_and_clashing_names(spark, make_docs, edge_rows):
+    secret = "the password: hunter2hunter2 is written here again and again in this text"
+    rows = edge_rows + [(20, secret), (20, secret), (21, secret.upper()), (22, secret), (23, None)]
+    docs = make_docs(rows).withColumns({"n_before": F.lit(7), "n_chars": F.when(F.col("doc_id") != 4, F.char_length("text"))})
+    seen = stages(spark, docs)
+    assert all(df.columns == docs.columns for df in seen[1:-1])
+    kept = [{(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()} for df in seen[1:5]]
+    assert [len(k) for k in kept[1:]] == [df.count() for df in seen[2:5]]  # no row twice once the copies are gone
+    assert kept[0] >= kept[1] >= kept[2]
+    low = [(t or "").lower() for _, t in kept[1]]
+    assert len(low) == len(set(low))
+    if any("hunter2" in low_text for low_text in low):
+        assert any("[secret]" in (t or "") for _, t in kept[3])
+    assert not any("hunter2" in (t or "").lower() for _, t in kept[3])
+    for r in seen[4].collect():
+        assert r.n_before == 7 and (r.n_chars is None or r.n_chars == len(r.text))
+    packed = {r.doc_id for r in seen[5].select("doc_id").collect()}
+    assert packed == {k for k, _ in kept[3]}
+
+
+def test_tables_without_lengths_and_empty_ones(spark, make_docs, edge_rows):
+    docs = make_docs(edge_rows).drop("n")
+    seen = stages(spark, docs)
+    assert "n_chars" not in seen[4].columns and seen[5].count() >= seen[4].count()
+    assert [df.count() for df in stages(spark, docs.limit(0))] == [0] * 6

@@ -75,6 +75,8 @@ def test_redaction(make_docs, edge_rows):
     assert texts[103] == "[secret] AKIASHORT 🙂 [secret]"
     assert all(texts[k] == t for k, t in edge_rows)
     assert not any(base_spans(t) for k, t in texts.items() if k and k > 100)
+    again = secret_scan.redact(docs.union(docs))  # repeated rows, and no row lost
+    assert sorted(map(str, again.collect())) == sorted(map(str, got.union(got).collect()))
 
 
 def test_registered_secret_query_columns(spark):

@@ -4,7 +4,8 @@ A blob is a text's content address (SHA-256 of its bytes; null counts as empty).
 row per blob and batch: the rules (``name@version``) that the batch ran on it, and what they found.  A scan
 addresses all versions, takes the blobs for which some rule version is unseen, runs just those rules on one copy of
 each, appends to the ledger, and joins the ledger's findings back to all paths.  Copies are dropped within each task
-before anything is shuffled, so a text that holds a third of all rows costs one row per task.
+before anything is shuffled, so a text that holds a third of all rows costs one row per task; into a new ledger,
+texts that no rule matches go as digests only.
 
 Positions count code points, ends are exclusive; matches of a rule are leftmost and do not overlap.  Texts without a
 match, empty texts and null texts have an empty list of findings.  Rows that repeat give repeated results; an empty
@@ -12,6 +13,7 @@ table gives an empty result (and adds nothing to the ledger).  Only the key and
 """
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -77,6 +79,11 @@ def _matches(text: Column, rule: Rule, rank: int) -> Column:
     return F.when(text.rlike(SCREEN.get(rule.kind, rule.pattern)), found).otherwise(none)
 
 
+def _screened(text: Column, rules: Sequence[Rule]) -> Column:
+    """Whether any rule may match; where none does there is nothing to find."""
+    return reduce(lambda a, b: a | b, [text.rlike(SCREEN.get(r.kind, r.pattern)) for r in rules])
+
+
 def _find(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Ledger rows of ``blobs`` (blob, text, todo): blob, rules, findings.
 
@@ -115,7 +122,8 @@ def update_ledger(versions: DataFrame, ledger: str, text: str = "text", rules: S
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = rows.withColumn("todo", names)
+        # nothing is seen yet: texts that no rule matches go on as digests only
+        rows = rows.withColumns({"text": F.coalesce(F.when(_screened(F.col("text"), rules), F.col("text")), F.lit("")), "todo": names})
     else:
         done = seen.groupBy("blob").agg(F.flatten(F.collect_list("rules")).alias("done"))
         unseen = (
@@ -166,7 +174,10 @@ def spans_text(findings: Column) -> Column:
 
 
 def redact(docs: DataFrame, ledger: str | None = None, text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every finding in ``text`` replaced by ``mark`` (overlapping findings by one)."""
+    """``docs`` with every finding in ``text`` replaced by ``mark`` (overlapping findings by one).
+
+    Texts that no rule matches pass through where they are read; only the others meet the findings.
+    """
     ledger = ledger or scratch_path(docs.sparkSession, "ledger")
     update_ledger(docs, ledger, text)
     blob, spans = (next(f"{x}{i}" for i in range(len(docs.columns) + 1) if f"{x}{i}" not in docs.columns) for x in ("_b", "_f"))
@@ -183,5 +194,7 @@ def redact(docs: DataFrame, ledger: str | None = None, text: str = "text", mark:
     clean = F.aggregate(
         F.col(spans), start, step, lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.char_length(body)))
     )
-    joined = docs.withColumn(blob, blob_of(body)).join(found, blob, "left")
-    return joined.withColumn(text, F.when(F.col(spans).isNotNull(), clean).otherwise(body)).select(*docs.columns)
+    may = F.coalesce(_screened(body, RULES), F.lit(False))
+    joined = docs.where(may).withColumn(blob, blob_of(body)).join(found, blob, "left")
+    rewritten = joined.withColumn(text, F.when(F.col(spans).isNotNull(), clean).otherwise(body)).select(*docs.columns)
+    return docs.where(~may).union(rewritten)
