@@ -192,6 +192,23 @@ def test_exact_order_statistics(spark, n):
     assert (q["low"], q["high"]) == (s[max(0, int(np.ceil(0.05 * n)) - 1)], s[int(np.ceil(0.95 * n)) - 1])
 
 
+def test_order_statistics_of_heavy_tails(spark):
+    """Nearly all values lie in a sliver of the range, or are one value: brackets follow ranks, not values."""
+    rng = np.random.default_rng(8)
+    series = {
+        "tail": np.exp(rng.normal(size=30_000) * 12), "equal": np.full(9_000, 7.5), "two": np.repeat([1.0, 1e300], [6_000, 6_001]),
+        "step": np.concatenate([np.zeros(20_000), np.arange(50.0)]),
+    }
+    rows = spark.createDataFrame([(k, float(v)) for k, x in series.items() for v in x], "k string, x double").repartition(6)
+    fractions = {"a": 0.0, "b": 0.001, "c": 0.05, "d": 0.5, "e": 0.95, "f": 0.9999, "g": 1.0}
+    got = {r.k: r for r in exact_quantiles(rows, "x", fractions, ["k"]).collect()}
+    middle = {r.k: r.median for r in exact_median(rows, "x", ["k"]).collect()}
+    for k, x in series.items():
+        s = np.sort(x)
+        assert [got[k][c] for c in fractions] == [s[max(0, int(np.ceil(q * len(s))) - 1)] for q in fractions.values()]
+        assert middle[k] == pytest.approx(np.median(x))
+
+
 def test_scorecard_classes(spark):
     d = spark.createDataFrame(
         [("m", -1, -1, 5), ("m", 0, -1, 5), ("m", 0, 0, 8), ("m", 1, 0, 2), ("z", 0, 0, 9), ("h", 1, 1, 3), ("h", 0, 0, 1)],

@@ -38,8 +38,8 @@ def resample(df: DataFrame, period: int, source: int | None = None) -> DataFrame
         F.sum("volume").alias("volume"),
     )
     if not source:
-        values = F.struct("_source", *OHLCV)
-        out = out.groupBy(*bucket).agg(F.min(values).alias("_finest")).select(*bucket, "_finest.*")
+        # fixed-width buffers, so that this stays a hash aggregation over few rows
+        out = out.groupBy(*bucket).agg(*[F.min_by(c, "_source").alias(c) for c in OHLCV])
     return out.select(
         "exchange", "trading_pair", F.lit(period).alias("period"), F.col("_bucket").alias("timestamp"), *OHLCV
     )
@@ -58,39 +58,40 @@ def pearson(df: DataFrame, a: str, b: str, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.corr(a, b).alias("r"))
 
 
-def ranked_values(
-    df: DataFrame, value: str, ranks: Mapping[str, Column], keys: Sequence[str], rounds: int = 2, bins: int = 1024
-) -> DataFrame:
+# cut points of a rank sketch, and its accuracy: a cut's rank is off by at most n / SKETCH_ACCURACY
+CUTS, SKETCH_ACCURACY = 1024, 4096
+
+
+def ranked_values(df: DataFrame, value: str, ranks: Mapping[str, Column], keys: Sequence[str]) -> DataFrame:
     """Exact order statistics per key: ``{name: 0-based rank, as an expression of n}``.
 
-    Sorting a group or gathering its values in one buffer does not scale to a hot key.  Each round
-    instead counts values per equal-width bin, keeps for every rank only the bin holding it and
-    refines that bin; the final sort sees about n / bins^rounds values of a key.  Nothing is
-    sampled: the rounds only narrow where the exact value lies.
+    Sorting a group or gathering its values in one buffer does not scale to a hot key.  A mergeable rank sketch
+    (Greenwald and Khanna's, as in ``percentile_approx``) gives ``CUTS`` cut points per key, each within a proven distance
+    of its rank.  The cuts two steps to both sides of a rank bracket it whatever the distribution: a step is four
+    times the error.  One more pass counts what lies below a bracket and the distinct values in it, at
+    most about 5 / ``CUTS`` of a key's rows, which alone are sorted.
     """
     keys = list(keys)
     target = [*keys, "name"]
     d = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     d = materialise(d, "ranked")
-    bounds = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    shares = [i / CUTS for i in range(CUTS + 1)]
+    sketch = d.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", shares, SKETCH_ACCURACY).alias("_cuts"),
+    )
     wanted = F.array(*[F.struct(F.lit(k).alias("name"), r.cast("long").alias("rank")) for k, r in ranks.items()])
-    goal = bounds.withColumn("_t", F.explode(wanted)).select(
-        *keys, "_t.name", F.col("_t.rank").alias("_rank"), "_lo", "_hi"
+    step = F.floor(F.col("_t.rank") * CUTS / F.col("n")).cast("int")
+    goal = sketch.withColumn("_t", F.explode(wanted)).select(
+        *keys, "_t.name", F.col("_t.rank").alias("_rank"),
+        F.when(step > 2, F.get("_cuts", step - 2)).otherwise(F.col("_min")).alias("_lo"),
+        F.when(step < CUTS - 2, F.get("_cuts", step + 2)).otherwise(F.col("_max")).alias("_hi"),
     )
-    for _ in range(rounds):
-        share = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-        bin_of = F.least(F.lit(bins - 1), F.coalesce(F.floor(share * bins), F.lit(0)).cast("int"))
-        counts = (
-            _within(d, goal, keys)
-            .groupBy(*target, "_rank", bin_of.alias("_bin"))
-            .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-        )
-        # a bin's least and greatest values bound the next round: bins are ordered like the values
-        goal = _holding(counts, target, "_bin").select(
-            *target, (F.col("_rank") - F.col("_before")).alias("_rank"), "_lo", "_hi"
-        )
-    distinct = _within(d, goal, keys).groupBy(*target, "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    hit = _holding(distinct, target, "_v")
+    # what lies below the bracket is one row, null
+    met = join_small(d, goal, keys, salt_by="_v").where(F.col("_v") <= F.col("_hi"))
+    inside = F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))
+    counts = met.groupBy(*target, "_rank", inside.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    hit = _holding(counts, target, "_v")
     return hit.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == k, F.col("_v"))).alias(k) for k in ranks])
 
 
@@ -101,12 +102,6 @@ def _holding(counts: DataFrame, target: Sequence[str], order: str) -> DataFrame:
     return d.where((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
 
 
-def _within(values: DataFrame, goal: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Values inside the range of each goal of their key."""
-    inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
-    return join_small(values, goal, keys, salt_by="_v").where(inside)
-
-
 def exact_median(df: DataFrame, value: str, keys: Sequence[str], alias: str = "median") -> DataFrame:
     n = F.col("n")
     middle = ranked_values(df, value, {"_a": F.floor((n - 1) / 2), "_b": F.floor(n / 2)}, keys)
