@@ -14,7 +14,7 @@ from tidewick.schema import OHLCV, PAIR, SERIES, TRADE_PREDICTION_KEY
 from tidewick.schema import PK as PK_COLS
 from tidewick.session import materialise, scratch_path
 from tidewick.sinks.tables import write_predictions
-from tidewick.streaming import jobs
+from tidewick.streaming import jobs, partials
 
 QUERIES, ORACLES = {}, {}
 
@@ -46,6 +46,25 @@ add(
 )
 
 
+LATE_FILES = 12
+
+
+def _stream_late_ticks(s, d):
+    """Ticks land in files that each span all days, so nearly all are late by days; deltas are compacted between two runs."""
+    path, checkpoint = _folders(s, "late-ticks")
+    landing = scratch_path(s, "late-landing")
+    events = s.read.parquet(f"{d}/events.parquet").withColumn("_file", F.pmod(F.xxhash64("event_id"), F.lit(LATE_FILES)))
+    for first in (True, False):
+        part = events.where((F.col("_file") < LATE_FILES // 2) == F.lit(first))
+        part.repartitionByRange(LATE_FILES // 2, "_file").drop("_file").write.mode("append").parquet(landing)
+        partials.write_deltas(jobs.tick_stream(s, landing, files_per_trigger=1), HOUR, path, checkpoint)
+        partials.compact(s, path, 4)
+    return partials.candles(s, path)
+
+
+add("stream_late_ticks", lambda s, d: tidy(_stream_late_ticks(s, d)), sql(f"select {PK}, {OHLCV_SQL} from candles", PRICES))
+
+
 def _stream_dedupe(s, d):
     """Two feeds deliver the same ticks."""
     out, checkpoint = _folders(s, "stream-dedupe")
