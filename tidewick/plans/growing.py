@@ -178,10 +178,11 @@ def _key_arrays(values: Sequence, types: Sequence[pa.DataType], n: int) -> list[
     return [pa.array([v] * n, t) for v, t in zip(values, types, strict=True)]
 
 
-def thresholds(train: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
-    """``_cuts`` of every series: for each feature the values between its bins, by a mergeable quantile sketch."""
+def thresholds(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_cuts`` of every series: for each place in ``_x`` the values between its bins, by a mergeable quantile sketch."""
     shares = [i / BINS for i in range(1, BINS)]
-    return train.groupBy(*keys).agg(F.array(*[F.percentile_approx(F.col(c).cast("double"), shares, 5000) for c in features]).alias("_cuts"))
+    each = values.select(*keys, F.posexplode("_x").alias("_f", "_v")).groupBy(*keys, "_f").agg(F.percentile_approx("_v", shares, 5000).alias("_cut"))
+    return each.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_f", "_cut"))).getField("_cut").alias("_cuts"))
 
 
 def _binned(left: pa.Table, right: pa.Table, keys: Sequence[str]) -> pa.Table:
@@ -211,7 +212,7 @@ def blocks(train: DataFrame, keys: Sequence[str], features: Sequence[str], block
     )
     # one row of cuts for each block
     by = [*keys, "_chunk"]
-    cuts = d.select(*by).distinct().join(thresholds(train, keys, features), keys)
+    cuts = d.select(*by).distinct().join(thresholds(d, keys), keys)
     cuts = cuts.select(*[F.col(c).alias(f"_own_{c}") for c in by], "_cuts")
     schema = _schema(train, keys, {"_chunk": "long", "n": "long", "rows": "binary", "labels": "binary", "bins": "binary", "cuts": "binary"})
     found = d.groupBy(*by).cogroup(cuts.groupBy(*[f"_own_{c}" for c in by])).applyInArrow(lambda a, b: _binned(a, b, keys), schema)

@@ -12,13 +12,12 @@ from functools import reduce
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewick.functions.scalar import arbitrage_label, seconds_to_datetime, trade_label
 from tidewick.operators import backtest, clean, evaluate
-from tidewick.operators.chunks import attach, edge_rows
+from tidewick.operators.chunks import attach, edge_rows, row_positions
 from tidewick.plans.forests import PACKED, Candidate, score
 from tidewick.plans.growing import grow_forests, packed_schema
 from tidewick.schema import PAIR, SERIES
@@ -232,23 +231,37 @@ def score_newest(
     )
 
 
-def stack(rows: DataFrame, features: Sequence[str], members: Sequence[Pipeline], keys: Sequence[str]) -> DataFrame:
-    """Members' class probabilities as the features of a second classifier, fitted on the training part."""
-    train = rows.where(F.col("part") == "train")
-    d = rows
-    inputs = []
-    for i, member in enumerate(members):
-        scored = member.fit(train).transform(d)
-        p = f"_member_{i}"
-        d = scored.withColumn(p, vector_to_array("probability")[1]).drop(
-            "features", "rawPrediction", "probability", "prediction"
-        )
-        inputs.append(p)
+def stack(
+    rows: DataFrame, features: Sequence[str], depths: Sequence[int], keys: Sequence[str], folds: int = 4, params: Mapping | None = None
+) -> DataFrame:
+    """Forests' class probabilities as the features of a second classifier, cross-fitted along time.
+
+    The training part of every series is cut into ``folds`` stretches.  A stretch is scored by forests grown on the stretches
+    before it, the test part by forests grown on the whole training part; the first stretch is not scored, as nothing comes
+    before it.  A fold is a further key, so all forests are grown at once, and members are cuts of one forest at their ``depths``.
+    """
+    keys, settings = list(keys), _settings({**(params or {}), "maxDepth": max(depths)})
+    placed = row_positions(rows.where(F.col("part") == "train"), keys)
+    train = materialise(placed.withColumn("_slice", F.expr(f"int(pos * {folds} div n_rows)")).drop("pos", "n_rows"), "stacked")
+    later = train.withColumn("_fold", F.explode(F.sequence(F.col("_slice") + 1, F.lit(folds)))).drop("_slice")
+    subset = features_per_node(settings["featureSubsetStrategy"], len(features))
+    by = [*keys, "_fold"]
+    forests = materialise(grow_forests(later, by, features, 2, [subset], settings["numTrees"], max(depths), settings["seed"]), "members")
+    asked = train.where("_slice > 0").withColumnRenamed("_slice", "_fold").unionByName(
+        rows.where(F.col("part") == "test").withColumn("_fold", F.lit(folds))
+    )
+    kept = ["timestamp", "part", "label"]
+    members = [Candidate(i, subset, depth) for i, depth in enumerate(depths)]
+    scored = score(asked, forests, features, by, kept, members)
+    inputs = [f"_member_{i}" for i in range(len(depths))]
+    chance = F.get("probability", 1)
+    wide = scored.groupBy(*keys, *kept).agg(*[F.max(F.when(F.col("candidate") == i, chance)).alias(c) for i, c in enumerate(inputs)])
+    wide = materialise(wide, "member-scores")
     top = Pipeline(
         stages=[VectorAssembler(inputCols=inputs, outputCol="features"), LogisticRegression(labelCol="label")]
     )
-    model = top.fit(d.where(F.col("part") == "train"))
-    return model.transform(d).select(*keys, "timestamp", "part", "label", *inputs, "prediction")
+    model = top.fit(wide.where(F.col("part") == "train"))
+    return model.transform(wide).select(*keys, "timestamp", "part", "label", *inputs, "prediction")
 
 
 def regime_labels(values: DataFrame, column: str, keys: Sequence[str], k: int = 3, rounds: int = 15) -> DataFrame:

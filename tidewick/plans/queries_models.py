@@ -228,9 +228,13 @@ def _long_enough(found, period, least):
 
 
 def _trade_table(s, d, periods=(PERIOD,), least=(0, 0)):
-    """Features, labels and parts of all series with more than ``least`` training and test rows."""
+    """Features, labels and parts of all series with more than ``least`` training and test rows.
+
+    Periods that no series is long enough for are left out before any feature is made.
+    """
     stored = materialise(candles(s, d), "candles")
-    found = [materialise(features.trade_features(_long_enough(stored, p, sum(least)), p)) for p in periods]
+    long = {p: _long_enough(stored, p, sum(least)) for p in periods}
+    found = [materialise(features.trade_features(c, p)) for p, c in long.items() if p == periods[0] or c.take(1)]
     rows = reduce(DataFrame.unionByName, found)
     columns = _trade_columns(rows)
     parts = splits.ordered_split(models.trade_rows(rows, columns))
@@ -396,9 +400,7 @@ add(
 
 def _stacked(s, d):
     table, columns = _trade_table(s, d)
-    members = [models.forest(columns, maxDepth=depth) for depth in (6, 14)]
-    out = models.stack(table, columns, members, SERIES)
-    return models.fit_report(out, SERIES)
+    return models.fit_report(models.stack(table, columns, (6, 14), SERIES), SERIES)
 
 
 add("stacked_model", lambda s, d: tidy(_stacked(s, d)))
