@@ -144,14 +144,6 @@ def test_late_states_come_out_marked():
     assert out["window_length"].tolist()[:3] == [5, 10, 5] and pd.isna(out["window_length"].iloc[3])
 
 
-def test_regimes_find_separate_levels(spark):
-    rng = np.random.default_rng(2)
-    rows = [("a", "p", 300, 300 * i, float(level + rng.normal() * 0.1), level) for i, level in enumerate(rng.integers(0, 3, 600).tolist())]
-    df = spark.createDataFrame(rows, "exchange string, trading_pair string, period int, timestamp long, v double, level int")
-    got = models.regime_labels(df, "v", SERIES).join(df.select("timestamp", "level"), "timestamp").collect()
-    assert np.mean([r.state == r.level for r in got]) > 0.95
-
-
 def test_models_are_selected_by_thresholds(spark):
     rows = [("s", "m1", 0.1, 30, 0.5), ("s", "m2", 0.4, 90, 0.5), ("s", "m3", 0.1, 40, 0.3), ("t", "m4", 0.1, 20, 0.9)]
     df = spark.createDataFrame(rows, "ex_tp string, model_name string, pct_wrong_0 double, correct_arb long, pct_profit_mean double")

@@ -1,4 +1,4 @@
-"""Classifiers per series: training, grid and random search, scoring, stacking, regimes.
+"""Classifiers per series: training, grid and random search, scoring, stacking.
 
 One forest belongs to one series, as its users want it; the forests of all series are grown by the same jobs
 (``growing``) and applied in one plan (``forests``).  Spark ML serves where one model spans all series.
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewick.functions.scalar import arbitrage_label, seconds_to_datetime, trade_label
 from tidewick.operators import backtest, clean, evaluate
-from tidewick.operators.chunks import attach, edge_rows, row_positions
+from tidewick.operators.chunks import edge_rows, row_positions
 from tidewick.plans.forests import PACKED, Candidate, score
 from tidewick.plans.growing import grow_forests, packed_schema
 from tidewick.schema import PAIR, SERIES
@@ -262,59 +262,3 @@ def stack(
     )
     model = top.fit(wide.where(F.col("part") == "train"))
     return model.transform(wide).select(*keys, "timestamp", "part", "label", *inputs, "prediction")
-
-
-def regime_labels(values: DataFrame, column: str, keys: Sequence[str], k: int = 3, rounds: int = 15) -> DataFrame:
-    """``state`` 0..k-1 of each row by a Gaussian mixture per series, states ordered by their mean.
-
-    Expectation maximisation of all series at once: each round is one aggregation over the rows, joined to the k
-    components of their series, so the number of jobs does not depend on the number of series.  An approximation of a
-    hidden Markov model without its transition prior; rounds are fixed, components begin at the series' mean and
-    one deviation around it.
-    """
-    keys = list(keys)
-    d = materialise(values.select(*keys, "timestamp", column, F.col(column).cast("double").alias("_v")), "regimes")
-    start = d.groupBy(*keys).agg(F.avg("_v").alias("_m"), F.greatest(F.stddev_pop("_v"), F.lit(1e-9)).alias("_s"))
-    params = start.select(
-        *keys,
-        F.array(*[F.lit(1.0 / k)] * k).alias("_w"),
-        F.array(*[F.col("_m") + F.col("_s") * (2.0 * i / max(k - 1, 1) - 1.0) for i in range(k)]).alias("_mu"),
-        F.array(*[F.col("_s")] * k).alias("_sd"),
-        (F.col("_s") * 1e-3).alias("_floor"),
-    )
-
-    def logs(i):
-        z = (F.col("_v") - F.col("_mu")[i]) / F.col("_sd")[i]
-        return F.log(F.greatest(F.col("_w")[i], F.lit(1e-12))) - F.log(F.col("_sd")[i]) - z * z / 2
-
-    for at in range(rounds):
-        joined = attach(d, params, keys)
-        top = F.greatest(*[logs(i) for i in range(k)])
-        joined = joined.withColumns({f"_p{i}": F.exp(logs(i) - top) for i in range(k)})
-        total = sum((F.col(f"_p{i}") for i in range(1, k)), F.col("_p0"))
-        joined = joined.withColumns({f"_p{i}": F.col(f"_p{i}") / total for i in range(k)})
-        sums = joined.groupBy(*keys, "_floor").agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.sum(f"_p{i}").alias(f"_r{i}") for i in range(k)],
-            *[F.sum(F.col(f"_p{i}") * F.col("_v")).alias(f"_a{i}") for i in range(k)],
-            *[F.sum(F.col(f"_p{i}") * F.col("_v") * F.col("_v")).alias(f"_b{i}") for i in range(k)],
-        )
-        share = [F.greatest(F.col(f"_r{i}"), F.lit(1e-12)) for i in range(k)]
-        mean = [F.col(f"_a{i}") / share[i] for i in range(k)]
-        params = materialise(
-            sums.select(
-                *keys,
-                F.array(*[F.col(f"_r{i}") / F.col("_n") for i in range(k)]).alias("_w"),
-                F.array(*mean).alias("_mu"),
-                F.array(*[F.greatest(F.sqrt(F.greatest(F.col(f"_b{i}") / share[i] - mean[i] * mean[i], F.lit(0.0))), F.col("_floor")) for i in range(k)]).alias("_sd"),
-                "_floor",
-            ),
-            "regimes",
-        )
-    joined = attach(d, params, keys)
-    scores = [logs(i) for i in range(k)]
-    best = F.array_position(F.array(*scores), F.greatest(*scores)) - 1
-    rank = F.aggregate(
-        F.col("_mu"), F.lit(0), lambda acc, m: acc + (m < F.element_at("_mu", (F.col("_best") + 1).cast("int"))).cast("int")
-    )
-    return joined.withColumn("_best", best).select(*keys, "timestamp", column, rank.alias("state"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewick.operators import arbitrage, evaluate, splits
-from tidewick.plans import base, features, models
+from tidewick.plans import base, features, models, regimes
 from tidewick.plans.base import HOUR, MODEL, K, candles, labelled, results, sql, tidy
 from tidewick.plans.forests import Candidate, score
 from tidewick.schema import ARB_PREDICTION_KEY, PAIR, SERIES, TRADE_PREDICTION_KEY
@@ -408,7 +408,7 @@ add("stacked_model", lambda s, d: tidy(_stacked(s, d)))
 
 def _regimes(s, d):
     values = base.predictions(s, d).select(*SERIES, "timestamp", "close_diff")
-    return models.regime_labels(values, "close_diff", SERIES)
+    return regimes.regime_labels(values, "close_diff", SERIES)
 
 
 add("regime_labels", lambda s, d: tidy(_regimes(s, d)))
