@@ -131,6 +131,53 @@ def test_licenses_against_brute_force(make_docs, edge_rows):
     assert license_scan.scan(make_docs(rows).limit(0)).count() == 0
 
 
+HEADER = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License as
+published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."""
+
+
+def test_file_headers_and_single_rare_words(make_docs):
+    rows = [
+        (1, HEADER.format("General", 3)), (2, HEADER.format("General", 2)), (3, "x " * 3000 + HEADER.format("Lesser General", "2.1") + " y" * 3000),
+        (4, HEADER.format("Affero General", 3)), (5, HEADER.format("General", 4)),
+        (6, "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
+        (7, "the gnu general public license as published somewhere; version 3 of the license; redistribute modify foundation"),
+    ]
+    labels = {r.doc_id: r.labels for r in license_scan.scan(make_docs(rows)).collect()}
+    assert labels == {1: "gpl,gpl-3.0", 2: "gpl,gpl-2.0", 3: "gpl,lgpl", 4: "agpl,gpl", 5: "gpl", 6: "apache-2.0", 7: "gpl"}
+
+
+def test_look_ups_miss_no_alignment():
+    """Against trying every alignment; each template has one rare word in place, the others common."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    templates = [license_scan.Template("a", "rare one two three four five six", ("one two",)), license_scan.Template("b", "six odd five one", ("five one",))]
+    words = license_scan.Vocabulary(templates, [])
+    idf = np.ones(len(words.hashes))
+    idf[words.number["rare"]], idf[words.number["odd"]] = 3.0, 0.1
+    index = license_scan.Index(words, idf)
+    found = 0
+    for _ in range(400):
+        parts = [words.ids(templates[k].text) for k in rng.integers(0, 2, 3)]
+        ids = np.concatenate([np.where(rng.random(len(p)) < 0.75, p, rng.integers(-1, len(idf), len(p))) for p in parts])
+        rows = np.sort(rng.integers(0, 2, len(ids)))
+        got = sorted(zip(*(x.tolist() for x in index.alignments(ids, rows, 2)), strict=True))
+        want = []
+        for t, template in enumerate(templates):
+            body, phrase = words.ids(template.text), words.ids(template.phrases[0])
+            first = next(k for k in range(len(body)) if (body[k : k + 2] == phrase).all())
+            places = license_scan.phrase_places(ids, rows, phrase).tolist()
+            for row in (0, 1):
+                for top in range(-len(body), len(ids)):
+                    held = sum(idf[w] for k, w in enumerate(body) if 0 <= top + k < len(ids) and rows[top + k] == row and ids[top + k] == w)
+                    near = any(rows[p] == row and abs(p - top - first) <= license_scan.SLACK for p in places)
+                    if near and held / idf[body].sum() >= license_scan.LEAST:
+                        want.append((row, t, held / idf[body].sum()))
+        assert len(got) == len(want) and np.allclose(got, sorted(want))
+        found += len(got)
+    assert found > 100
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_licenses_on_the_tables(spark, sf):
     got = {r.doc_id: r for r in queries.QUERIES["op10_license_scan"](spark, f"/root/testdata/{sf}").collect()}

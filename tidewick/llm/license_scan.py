@@ -1,11 +1,13 @@
 """Licence scans by a positional index of rare words.
 
-Words are runs of lower-case letters, digits and non-ASCII characters after lower-casing A-Z.  The index posts each
-template's ``RARE`` words of highest IDF with their positions in it; document frequencies are counted over all documents, for
-the templates' few words only.  A file's occurrences of posted words vote for (template, file position - template
-position); an alignment with two votes (or all, if the template posts fewer) is verified: every mandatory key phrase must
-stand, word by word, within ``SLACK`` words of where the template has it, and the IDF share of template words found in
-place must reach ``LEAST``.  Base phrases are found wherever their words stand consecutively.
+Words are runs of lower-case letters, digits and non-ASCII characters after lower-casing A-Z.  The index posts every
+template word with its positions; document frequencies are counted over all documents, for the templates' words only.
+Of the files in which all mandatory key phrases of a template stand, the licence words are looked up from the highest IDF
+down: each occurrence of a posted word gives an alignment (file position - template position).  Look-ups for a template end when
+the words tried hold more than 1 - ``LEAST`` of its IDF, as an alignment without any of them cannot reach ``LEAST``; so
+none is missed.  An alignment is verified: every mandatory phrase must stand, word by word, within ``SLACK`` words of where the
+template has it, and the IDF share of template words found in place must reach ``LEAST``.  Base phrases are found wherever
+their words stand consecutively.
 
 Defined results: null or empty texts have no words, no labels and score 0; a text may have any length; repeated rows
 give repeated results; an empty table gives an empty result.  Only the key and text columns are read.  The score is
@@ -22,7 +24,6 @@ from pyspark.sql import functions as F
 
 from tidewick.llm import texts
 
-RARE = 4
 SLACK = 2
 LEAST = 0.6
 
@@ -45,8 +46,26 @@ TEMPLATES = [
         ("permission is hereby granted", "without restriction"),
     ),
     Template("apache-2.0", "licensed under the apache license version 2 0", ("apache license", "version 2 0")),
+    Template(
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+        ("apache license", "version 2 0"),
+    ),
     Template("gpl-2.0", "licensed under the gnu general public license version 2", ("general public license", "version 2")),
     Template("gpl-3.0", "licensed under the gnu general public license version 3", ("general public license", "version 3")),
+    *[
+        Template(
+            label,
+            f"free software you can redistribute it and or modify it under the terms of the {name} as published by the free "
+            f"software foundation either version {version} of the license or at your option any later version",
+            (f"{name} as published", f"version {version} of the license"),
+        )
+        for label, name, version in (
+            ("gpl-2.0", "gnu general public license", "2"), ("gpl-3.0", "gnu general public license", "3"),
+            ("lgpl", "gnu lesser general public license", "2 1"), ("lgpl", "gnu lesser general public license", "3"),
+            ("agpl", "gnu affero general public license", "3"),
+        )
+    ],
     Template("lgpl", "licensed under the gnu lesser general public license", ("lesser general public license",)),
     Template("agpl", "licensed under the gnu affero general public license", ("affero general public license",)),
     Template(
@@ -110,60 +129,53 @@ def phrase_places(ids: np.ndarray, rows: np.ndarray, phrase: np.ndarray) -> np.n
 
 
 class Index:
-    """Postings of the templates' rarest words, for given IDFs."""
+    """Postings of all template words, for given IDFs."""
 
     def __init__(self, words: Vocabulary, idf: np.ndarray):
         self.words, self.idf = words, idf
-        self.posted, self.template, self.place, self.votes = [], [], [], []
         self.bodies = [words.ids(t.text) for t in words.templates]
-        self.keys = []
+        self.keys, self.tried = [], []
         for t, body in enumerate(self.bodies):
-            rare = np.argsort(-idf[body], kind="stable")[:RARE]
-            self.votes.append(min(2, len(rare)))
-            self.posted += body[rare].tolist()
-            self.template += [t] * len(rare)
-            self.place += rare.tolist()
             keys = []
             for phrase in words.templates[t].phrases:
                 want = words.ids(phrase)
                 first = next(k for k in range(len(body)) if (body[k : k + len(want)] == want).all() and k + len(want) <= len(body))
                 keys.append((first, want))
             self.keys.append(keys)
-
-    def alignments(self, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            # words by IDF; those before the last one needed hold at most 1 - LEAST of it
+            names = np.unique(body)
+            names = names[np.argsort(-idf[names], kind="stable")]
+            held = np.cumsum([idf[body[body == w]].sum() for w in names])
+            needed = int(np.searchsorted(held, (1 - LEAST) * held[-1] * (1 + 1e-9), "right")) + 1
+            self.tried.append([(w, np.flatnonzero(body == w)) for w in names[:needed]])
+
+    def alignments(self, ids: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(row, template, share)`` of every verified alignment of a slice."""
-        known = np.flatnonzero(ids >= 0)
-        numbers = ids[known]
-        hits = [known[numbers == word] for word in self.posted]
         none = np.zeros(0, np.int64)
-        at = np.concatenate([none, *hits])
-        count = [len(h) for h in hits]
-        voted = np.repeat(np.array(self.template, np.int64), count)
-        top = at - np.repeat(np.array(self.place, np.int64), count)
-        # one number per (row, template, top); a top may lie before the slice
-        span, before = len(ids) + 1000, 500
-        votes, count = np.unique((rows[at] * len(self.bodies) + voted) * span + top + before, return_counts=True)
-        pair, tops = votes // span, votes % span - before
-        rows_of, template = pair // len(self.bodies), pair % len(self.bodies)
-        enough = count >= np.array(self.votes)[template]
         out_row, out_t, out_share = [], [], []
         for t, body in enumerate(self.bodies):
-            mine = enough & (template == t)
-            if not mine.any():
+            places = [phrase_places(ids, rows, want) for _, want in self.keys[t]]
+            has = np.ones(n_rows, bool)
+            for at in places:
+                has &= np.bincount(rows[at], minlength=n_rows) > 0
+            if not has.any():
                 continue
-            row, top = rows_of[mine], tops[mine]
+            known = np.flatnonzero(has[rows])
+            tops = []
+            for word, inside in self.tried[t]:
+                hits = known[ids[known] == word]
+                tops.append((hits[:, None] - inside[None, :]).ravel() * np.int64(n_rows) + np.repeat(rows[hits], len(inside)))
+            pair = np.unique(np.concatenate([none, *tops]))
+            top, row = pair // n_rows, pair % n_rows
             good = np.ones(len(row), bool)
-            for first, want in self.keys[t]:
-                places = phrase_places(ids, rows, want)
-                if not len(places):
-                    good[:] = False
-                    break
+            for (first, _), at in zip(self.keys[t], places, strict=True):
                 near = np.zeros(len(row), bool)
                 for shift in range(-SLACK, SLACK + 1):
-                    at = top + first + shift
-                    k = np.minimum(np.searchsorted(places, at), len(places) - 1)
-                    near |= (places[k] == at) & (rows[places[k]] == row)
+                    want = top + first + shift
+                    k = np.minimum(np.searchsorted(at, want), len(at) - 1)
+                    near |= (at[k] == want) & (rows[at[k]] == row)
                 good &= near
+            row, top = row[good], top[good]
             total = np.zeros(len(row))
             for k, word in enumerate(body):
                 at = top + k
@@ -171,7 +183,7 @@ class Index:
                 safe = np.where(inside, at, 0)
                 total += np.where(inside & (rows[safe] == row) & (ids[safe] == word), self.idf[word], 0.0)
             share = total / max(self.idf[body].sum(), 1e-12)
-            good &= share >= LEAST
+            good = share >= LEAST
             out_row.append(row[good])
             out_t.append(np.full(int(good.sum()), t))
             out_share.append(np.minimum(share[good], 1.0))
@@ -232,7 +244,7 @@ def scan(
                     for x in np.unique(r).tolist():
                         base_labels.setdefault(x, set()).add(label)
                 score[n_base > 0] = 1.0
-                for r, t, share in zip(*index.alignments(ids, row), strict=True):
+                for r, t, share in zip(*index.alignments(ids, row, size), strict=True):
                     labels.setdefault(int(r), set()).add(words.templates[t].label)
                     score[r] = max(score[r], share)
                 def joined(x):
