@@ -1,6 +1,7 @@
 """Payloads, files, writers and the stateful stream."""
 
 import os
+import random
 
 import pandas as pd
 import pytest
@@ -100,6 +101,42 @@ def test_run_length_state_survives_batches():
     assert got["window_length"].tolist() == [5, 10, 5, 10, 15, 5]
 
 
+class TimedState(FakeState):
+    watermark, timer = 0, None
+
+    def getCurrentWatermarkMs(self):  # noqa: N802
+        return self.watermark * 1000 - jobs.SLACK_MS
+
+    def setTimeoutTimestamp(self, at):  # noqa: N802
+        assert at > self.getCurrentWatermarkMs()
+        self.timer = at
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_disordered_rows_leave_in_order(seed):
+    """Rows shuffled within the delay give the lengths of ordered ones; a row behind those that left is late."""
+    rng = random.Random(seed)
+    key, start, delay = ("a", "b", "p", 300), 1_700_000_100, 3000
+    rows = [(start + 300 * i, rng.choice([0, 1])) for i in range(60)]
+    frame = lambda part: pd.DataFrame(
+        [(*key, t, v) for t, v in part], columns=["exchange_1", "exchange_2", "trading_pair", "period", "timestamp", "arbitrage_opportunity"])
+    want = pd.concat(jobs._extend_runs(key, iter([frame(rows)]), FakeState()))
+    state, out, newest = TimedState(), [], 0
+    mixed = sorted(rows, key=lambda r: r[0] + rng.randrange(delay))
+    for at in range(0, 60, 7):
+        state.watermark = newest  # as Spark has it: the newest row of the batches before
+        out += jobs._reorder(key, iter([frame(mixed[at : at + 7])]), state, delay * 1000)
+        newest = max([newest, *[t for t, _ in mixed[at : at + 7]]])
+    assert state.timer is not None
+    state.watermark = newest + delay
+    out += jobs._reorder(key, iter([]), state, delay * 1000)  # a timer
+    got = pd.concat(out)
+    assert not got["late"].any() and got["timestamp"].tolist() == want["timestamp"].tolist()
+    assert got["window_length"].tolist() == want["window_length"].tolist()
+    late = pd.concat(jobs._reorder(key, iter([frame(rows[5:6])]), state, delay * 1000))
+    assert late["late"].tolist() == [True] and late["window_length"].isna().all()
+
+
 def test_parameter_tables():
     assert len(models.param_grid(models.ARB_GRID)) == 6 * 7 * 2
     draws = models.random_params(50, {"maxDepth": range(3, 9)})

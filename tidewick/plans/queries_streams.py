@@ -148,6 +148,29 @@ add(
     lambda s, d: _stream_runs(s, d).where(~F.col("late")).drop("late"),
     sql(f"select {PAIR_PK}, arbitrage_opportunity, window_length from runs"),
 )
+
+
+def _stream_reordered(s, d):
+    """The same rows dealt over files that overlap by a slice, so that each file has rows older than the file before."""
+    out, checkpoint = _folders(s, "stream-reordered")
+    source = scratch_path(s, "states")
+    table = materialise(states(s, d).select(*PAIR, "timestamp", "arbitrage_opportunity"), "states")
+    shift = F.pmod(F.xxhash64(*PAIR, "timestamp"), F.lit(SLICE))
+    place = F.least(F.greatest(F.floor((F.col("timestamp") + shift - SLICE_FROM) / SLICE), F.lit(0)), F.lit(SLICES))
+    for k in range(SLICES + 1):
+        table.where(place == k).coalesce(1).write.mode("append").parquet(source)
+    stream = s.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    return jobs.run_to_files(jobs.reordered_length_stream(stream, SLICE), out, checkpoint)
+
+
+add(
+    "stream_reordered_length",
+    lambda s, d: _stream_reordered(s, d),
+    sql(
+        f"""select {PAIR_PK}, arbitrage_opportunity, window_length, false as late from runs
+        where "timestamp" <= (select max("timestamp") from runs) - {SLICE}"""
+    ),
+)
 add(
     "stream_late_rows",
     lambda s, d: _stream_runs(s, d).where("late").select(*PAIR, "timestamp", "arbitrage_opportunity"),

@@ -159,16 +159,63 @@ def _extend_runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
         rows = rows[rows["timestamp"] > seen]
     if rows.empty:
         return
+    out, value, since = _lengths(rows, key[3], value, since)
+    state.update((value, since, int(rows["timestamp"].iloc[-1])))
+    yield out[RUN_OUTPUT.fieldNames()]
+
+
+def _lengths(rows: pd.DataFrame, period: int, value: int | None, since: int | None) -> tuple[pd.DataFrame, int, int]:
+    """Rows in order of time with the minutes their state has lasted, the last state, and since when."""
     current, at = rows["arbitrage_opportunity"], rows["timestamp"]
-    before = current.shift(1)
-    if value is not None:
-        before.iloc[0] = value
-    starts = at.where(current != before)
+    starts = at.where(current != current.shift(1, fill_value=current.iloc[0] + 1 if value is None else value))
     starts.iloc[0] = starts.iloc[0] if pd.notna(starts.iloc[0]) else since
     starts = starts.ffill().astype("int64")
-    state.update((int(current.iloc[-1]), int(starts.iloc[-1]), int(at.iloc[-1])))
-    minutes = (at - starts + key[3]) // 60
-    yield rows.assign(window_length=minutes.astype("Int64"), late=False)[RUN_OUTPUT.fieldNames()]
+    minutes = ((at - starts + period) // 60).astype("Int64")
+    return rows.assign(window_length=minutes, late=False), int(current.iloc[-1]), int(starts.iloc[-1])
+
+
+REORDER_STATE = T.StructType(
+    [*RUN_STATE.fields, T.StructField("times", T.ArrayType(T.LongType())), T.StructField("states", T.ArrayType(T.IntegerType()))]
+)
+# Spark filters rows behind a stream's watermark; its watermark lies this far behind ours, so that late rows reach the buffer
+SLACK_MS = 365 * 86_400_000
+
+
+def _reorder(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, delay_ms: int) -> Iterator[pd.DataFrame]:
+    """Rows wait until the watermark has passed them and leave in order."""
+    value, since, seen, times, states = state.get if state.exists else (None, None, None, [], [])
+    passed = (state.getCurrentWatermarkMs() + SLACK_MS - delay_ms) // 1000
+    names = dict(zip(PAIR, key, strict=True))
+    waiting = pd.DataFrame({**names, "timestamp": pd.Series(list(times), dtype="int64"), "arbitrage_opportunity": pd.Series(list(states), dtype="int32")})
+    rows = pd.concat([waiting, *batches])[[*PAIR, "timestamp", "arbitrage_opportunity"]]
+    if seen is not None:
+        behind = rows["timestamp"] <= seen
+        if behind.any():
+            old = rows[behind]
+            yield old.assign(window_length=pd.array([None] * len(old), "Int64"), late=True)[RUN_OUTPUT.fieldNames()]
+        rows = rows[~behind]
+    rows = rows.sort_values("timestamp", kind="stable")
+    ready = rows[rows["timestamp"] <= passed]
+    rest = rows[rows["timestamp"] > passed]
+    if len(ready):
+        out, value, since = _lengths(ready, key[3], value, since)
+        seen = int(ready["timestamp"].iloc[-1])
+        yield out[RUN_OUTPUT.fieldNames()]
+    state.update((value, since, seen, rest["timestamp"].tolist(), rest["arbitrage_opportunity"].tolist()))
+    if len(rest):
+        state.setTimeoutTimestamp(int(rest["timestamp"].iloc[0]) * 1000 + delay_ms - SLACK_MS)
+
+
+def reordered_length_stream(states: DataFrame, delay: int) -> DataFrame:
+    """:func:`window_length_stream` for rows that arrive out of order by up to ``delay`` seconds.
+
+    Rows wait in a buffer per pair, bounded by the rows of ``delay`` seconds, until the newest row of the stream is so
+    much newer; timers let them go when no row of their own pair arrives.  Only rows that come behind one that has left are late.
+    """
+    timed = states.withColumn("at", F.timestamp_seconds("timestamp")).withWatermark("at", f"{SLACK_MS // 1000} seconds")
+    return timed.groupBy(*PAIR).applyInPandasWithState(
+        lambda key, batches, state: _reorder(key, batches, state, delay * 1000), RUN_OUTPUT, REORDER_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
 
 
 def window_length_stream(states: DataFrame) -> DataFrame:
