@@ -1,13 +1,11 @@
 """Mixed periods, damaged input, pruned inserts, versions, saved models and many-model scoring."""
 
-import numpy as np
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from tidewick.operators import aggregate, evaluate, gaps, ordered
-from tidewick.plans import models
-from tidewick.schema import PREDICTION, PREDICTION_KEY, PREDICTION_LAYOUT, SERIES
+from tidewick.plans import features
+from tidewick.schema import PREDICTION, PREDICTION_KEY, PREDICTION_LAYOUT
 from tidewick.sinks import tables
 from tidewick.sources import candles, payloads
 from tidewick.streaming import jobs
@@ -148,3 +146,8 @@ def test_models_are_selected_by_thresholds(spark):
     rows = [("s", "m1", 0.1, 30, 0.5), ("s", "m2", 0.4, 90, 0.5), ("s", "m3", 0.1, 40, 0.3), ("t", "m4", 0.1, 20, 0.9)]
     df = spark.createDataFrame(rows, "ex_tp string, model_name string, pct_wrong_0 double, correct_arb long, pct_profit_mean double")
     assert [r.model_name for r in evaluate.select_models(df, ["model_name"]).collect()] == ["m3"]
+
+
+def test_latest_data_begins_n_periods_before_now(monkeypatch):
+    monkeypatch.setattr(features, "get_data", lambda *a, **k: (a, k))
+    assert features.get_latest_data("candles", 300, 900_000, n=100) == (("candles", 300, 870_000), {"families": None})

@@ -1,7 +1,5 @@
 """Scalar column expressions."""
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,8 +82,6 @@ def scaled_to_seconds(value: Column, per_second: int) -> Column:
 
 # --- names ----------------------------------------------------------------------------------
 
-# fixed pattern: exchange (may hold one underscore), base_quote, optional period
-SERIES_NAME = r"^(.+?)_([a-z0-9]+_[a-z0-9]+?)(?:_(\d+))?$"
 # fixed pattern: two exchanges (either may hold one underscore), base_quote
 PAIR_NAME = r"^([a-z0-9]+(?:_pro)?)_([a-z0-9]+(?:_pro)?)_([a-z0-9]+_[a-z0-9]+)$"
 
@@ -106,8 +102,3 @@ def parse_pair_name(name: Column) -> dict[str, Column]:
         part: F.regexp_extract(name, PAIR_NAME, i)
         for i, part in enumerate(["exchange_1", "exchange_2", "trading_pair"], 1)
     }
-
-
-def lookup(table: Mapping[str, str]) -> Column:
-    """A fixed mapping as a map literal."""
-    return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
