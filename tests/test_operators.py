@@ -209,6 +209,23 @@ def test_order_statistics_of_heavy_tails(spark):
         assert middle[k] == pytest.approx(np.median(x))
 
 
+@pytest.mark.parametrize("how", [dict(history=5), dict(history=6, step=4, ahead=3), dict(history=3, single_step=7), dict(history=1, ahead=2)])
+def test_windows_against_slices(make_candles, how):
+    rng = np.random.default_rng(5)
+    series = {(e, "p"): [(300 * int(i), float(v)) for i, v in zip(np.sort(rng.choice(400, n, replace=False)), rng.random(n))] for e, n in (("a", 150), ("b", 4))}
+    c = make_candles(series).withColumn("label", (F.col("close") > 0.5).cast("int")).repartition(5)
+    blocks = ordered.window_blocks(c, ["close", "volume"], "label", 5, 1)
+    assert blocks.count() == 2 and blocks.agg(F.sum(F.octet_length("values"))).first()[0] == (150 + 4) * 3 * 8
+    got = {(r.exchange, r.timestamp): (r.x, r.y) for r in ordered.supervised_windows(c, ["close", "volume"], "label", **how).collect()}
+    want, history, step = {}, how["history"], how.get("step", 1)
+    reach = how.get("single_step", how.get("ahead", 1))
+    for (e, _), points in series.items():
+        for i in range(history, len(points) - reach):
+            ahead = [points[i + reach]] if "single_step" in how else points[i : i + reach]
+            want[e, points[i][0]] = ([[v, 1.0] for _, v in points[i - history : i : step]], [int(v > 0.5) for _, v in ahead])
+    assert got == want
+
+
 def test_scorecard_classes(spark):
     d = spark.createDataFrame(
         [("m", -1, -1, 5), ("m", 0, -1, 5), ("m", 0, 0, 8), ("m", 1, 0, 2), ("z", 0, 0, 9), ("h", 1, 1, 3), ("h", 0, 0, 1)],

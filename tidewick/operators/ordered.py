@@ -1,10 +1,13 @@
 """Ordered analytics over every series: differences, classes, rolling moments, scans, windows."""
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewick.functions.scalar import three_way
 from tidewick.operators import scan
@@ -168,6 +171,67 @@ def denormalize(z: Column, mu: Column, sigma: Column, signed: bool = True) -> Co
     return signed_exp(y) if signed else F.exp(y) - 1
 
 
+WINDOW_CELLS = 1 << 20  # numbers in a batch of expanded windows
+_BLOCK = "times binary, values binary, first int, own int"
+
+
+def window_blocks(
+    df: DataFrame, features: Sequence[str], target: str, history: int, reach: int, gap_free: bool = False
+) -> DataFrame:
+    """The rows of every chunk as one block of bytes, with the ``history`` rows before it and ``reach`` rows after it.
+
+    Windows are places in a block: what is stored or shuffled grows with rows x features, not with the history.
+    ``expand_windows`` makes them where they are used.
+    """
+    columns = [*features, target]
+    d = _halo(df.select(*SERIES, "timestamp", *dict.fromkeys(columns)), history, reach, gap_free)
+    d = d.select(*SERIES, "_chunk", "_pos", "_core", "timestamp", F.array(*[F.col(c).cast("double") for c in columns]).alias("_v"))
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_pos")
+        values = table.column("_v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
+        own = np.flatnonzero(table.column("_core").to_numpy())
+        return pa.table({
+            **{k: table.column(k).slice(0, 1) for k in SERIES}, "times": [table.column("timestamp").to_numpy().astype(np.int64).tobytes()],
+            "values": [values.tobytes()], "first": pa.array([own[0] if len(own) else 0], pa.int32()), "own": pa.array([len(own)], pa.int32()),
+        })
+
+    schema = T.StructType([*[d.schema[k] for k in SERIES], *T.StructType.fromDDL(_BLOCK).fields])
+    return d.groupBy(*SERIES, "_chunk").applyInArrow(pack, schema).where("own > 0")
+
+
+def expand_windows(
+    blocks: DataFrame, n_features: int, history: int, step: int, ahead: int, single_step: int | None, target_type: T.DataType
+) -> DataFrame:
+    """The windows of ``window_blocks`` as rows: series, timestamp, ``x`` and ``y``; a NaN comes out as null."""
+    reach = single_step if single_step is not None else ahead
+    later = np.array([single_step]) if single_step is not None else np.arange(ahead)
+    before = np.arange(-history, 0, step)
+
+    def nested(values: np.ndarray) -> pa.Array:
+        out = pa.array(values.ravel(), from_pandas=True)
+        for size in reversed(values.shape[1:]):
+            out = pa.ListArray.from_arrays(pa.array(np.arange(0, len(out) + 1, size), pa.int32()), out)
+        return out
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                times = np.frombuffer(batch.column("times")[i].as_py(), np.int64)
+                values = np.frombuffer(batch.column("values")[i].as_py(), float).reshape(-1, n_features + 1)
+                first, own = batch.column("first")[i].as_py(), batch.column("own")[i].as_py()
+                rows = np.arange(max(first, history), min(first + own, len(times) - reach))
+                most = max(1, WINDOW_CELLS // (len(before) * n_features))
+                for part in np.split(rows, range(most, len(rows), most)):
+                    x = values[part[:, None] + before, :n_features]
+                    y = values[part[:, None] + later, n_features]
+                    keys = [pa.repeat(batch.column(k)[i], len(part)) for k in SERIES]
+                    yield pa.RecordBatch.from_arrays([*keys, pa.array(times[part]), nested(x), nested(y)], names=[*SERIES, "timestamp", "x", "y"])
+
+    schema = T.StructType([*[blocks.schema[k] for k in SERIES], *T.StructType.fromDDL("timestamp long, x array<array<double>>, y array<double>").fields])
+    return blocks.mapInArrow(expand, schema).withColumn("y", F.col("y").cast(T.ArrayType(target_type)))
+
+
 def supervised_windows(
     df: DataFrame,
     features: Sequence[str],
@@ -182,20 +246,11 @@ def supervised_windows(
 
     ``y`` holds the target of this and the following rows (``ahead`` of them), or with
     ``single_step`` only that of the row so many rows later.  Incomplete windows are dropped.
+    To keep windows, store ``window_blocks`` and expand them where they are read.
     """
     reach = single_step if single_step is not None else ahead
-    d = df.select(*SERIES, "timestamp", *dict.fromkeys([*features, target]))
-    d = _halo(d, history, reach, gap_free)
-    w = halo_window()
-    past = F.collect_list(F.array(*[F.col(c).cast("double") for c in features])).over(w.rowsBetween(-history, -1))
-    d = d.withColumns({"_past": past, "_end": F.lead("timestamp", reach).over(w)})
-    if single_step is not None:
-        d = d.withColumn("y", F.array(F.lead(target, single_step).over(w)))
-    else:
-        d = d.withColumn("y", F.collect_list(target).over(w.rowsBetween(0, ahead - 1)))
-    d = drop_halo(d).where((F.size("_past") == history) & F.col("_end").isNotNull())
-    x = F.filter("_past", lambda _, i: i % step == 0)
-    return d.select(*SERIES, "timestamp", x.alias("x"), "y")
+    blocks = window_blocks(df, features, target, history, reach, gap_free)
+    return expand_windows(blocks, len(features), history, step, ahead, single_step, df.schema[target].dataType)
 
 
 def latest_features(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
