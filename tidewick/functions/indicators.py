@@ -62,6 +62,12 @@ DEFAULT = Windows()
 _LOST = 1e-14
 
 
+def rolling_rows(w: Windows) -> int:
+    """Rows that rolling frames reach back, one frame upon another."""
+    flat = [x for v in astuple(w) for x in (v if isinstance(v, (list, tuple)) else [v])]
+    return max(max(flat) * 2, max(w.rocs) + max(w.kst) + w.kst_signal) + 1
+
+
 def halo_rows(w: Windows) -> int:
     """Rows before a chunk that any of its values depends on, in whole blocks.
 
@@ -72,14 +78,12 @@ def halo_rows(w: Windows) -> int:
     def fade(alpha: float) -> float:
         return math.log(_LOST) / math.log(1 - alpha)
 
-    flat = [x for v in astuple(w) for x in (v if isinstance(v, (list, tuple)) else [v])]
-    rolling = max(max(flat) * 2, max(w.rocs) + max(w.kst) + w.kst_signal) + 1
     chains = [
         fade(scan.wilder(w.atr)), 2 * fade(scan.wilder(w.adx)), fade(scan.wilder(w.rsi)), fade(scan.span(w.force)),
         fade(scan.span(max(w.macd_fast, w.macd_slow))) + fade(scan.span(w.macd_signal)), 3 * fade(scan.span(w.trix)) + 1,
         2 * fade(scan.span(w.mass_fast)) + w.mass_slow, fade(scan.span(w.tsi_slow)) + fade(scan.span(w.tsi_fast)),
     ]
-    return BLOCK_ROWS * math.ceil(max(rolling, *chains) / BLOCK_ROWS)
+    return BLOCK_ROWS * math.ceil(max(rolling_rows(w), *chains) / BLOCK_ROWS)
 
 
 # fixed names
