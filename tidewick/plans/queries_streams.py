@@ -4,17 +4,18 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewick.functions import indicators
 from tidewick.functions.scalar import arbitrage_label, seconds_to_datetime
 from tidewick.plans import features, models
-from tidewick.plans.base import HOUR, K, OHLCV_SQL, PAIR_PK, PK, PRICES, candles, sql, states, tidy
-from tidewick.plans.queries_models import ORACLES as ORACLES_MODELS
+from tidewick.plans.base import HOUR, K, OHLCV_SQL, PAIR_PK, PK, PRICES, W, candles, sql, states, tidy
 from tidewick.plans.queries_models import _subset, _trade_models
 from tidewick.plans.queries_tables import _VENDOR_SQL, STORED, _damaged, _landed
+from tidewick.plans.queries_technical import TA
 from tidewick.schema import OHLCV, PAIR, SERIES, TRADE_PREDICTION_KEY
 from tidewick.schema import PK as PK_COLS
 from tidewick.session import materialise, scratch_path
 from tidewick.sinks.tables import write_predictions
-from tidewick.streaming import jobs, partials
+from tidewick.streaming import jobs, live, partials
 
 QUERIES, ORACLES = {}, {}
 
@@ -210,30 +211,81 @@ add(
 )
 
 
+def _live_stream(s, d, arriving, each):
+    """Hourly candles arriving as twelve files, one a micro-batch; the stream stops half-way and resumes."""
+    rows = materialise(candles(s, d).select(*PK_COLS, *OHLCV), "candles")
+    place = F.least(F.greatest(F.floor((F.col("timestamp") - SLICE_FROM) / SLICE), F.lit(0)), F.lit(SLICES - 1))
+    for half in (range(SLICES // 2), range(SLICES // 2, SLICES)):
+        for k in half:
+            rows.where(place == k).coalesce(1).write.mode("append").parquet(arriving)
+        each(s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(arriving))
+
+
+def _stream_indicators(s, d):
+    """All indicators from the state of each series alone."""
+    out, checkpoint = _folders(s, "stream-indicators")
+    _live_stream(s, d, scratch_path(s, "arriving"), lambda c: jobs.run_to_files(live.live_indicators(c), out, checkpoint))
+    return s.read.schema(live.OUTPUT).parquet(out)
+
+
+add(
+    "stream_indicators",
+    lambda s, d: tidy(_stream_indicators(s, d)),
+    sql(
+        f"""select {PK}, {", ".join(f'g."{x}"' for x in OHLCV)}, g.nan_ohlcv, 'ok' as status, {", ".join(indicators.ALL)},
+        (t."close" - t.pc) / nullif(t.pc, 0) as close_diff from grid g join ta t using ({PK})""",
+        " ".join([*OHLCV, *indicators.ALL, "close_diff"]),
+        ctes=TA,
+    ),
+)
+
+
 def _stream_scoring(s, d):
-    """Candles from a date on arrive as a stream; each batch is stored and the newest rows scored.
+    """The newest row of every series is scored in each of twelve micro-batches, with features from its live state.
 
-    Running indicators need a series' whole history, as in training, so features are made from all stored candles.
+    Models are trained on the whole history.  Beside the keys of the predictions come the features they were made from.
     """
     path = scratch_path(s, "models")
     _, columns, forests = _trade_models(s, d, path)
-    table, checkpoint = _folders(s, "stream-scoring")
-    arriving, out = scratch_path(s, "arriving"), scratch_path(s, "scored")
-    rows = materialise(candles(s, d).select("api", *PK_COLS, *OHLCV), "candles")
-    rows.write.parquet(arriving)
-
-    def score(stored):
-        newest = features.trade_scoring_rows(stored, HOUR)
-        newest = materialise(models.trade_rows(newest.withColumn("target", F.lit(False)), columns))
-        found = models.score_newest(newest, forests, SERIES, columns, _subset(columns))
-        write_predictions(found, out, TRADE_PREDICTION_KEY)
-
-    jobs.score_stream(s.readStream.schema(rows.schema).parquet(arriving), table, score, checkpoint)
+    rows_out, checkpoint = _folders(s, "stream-scoring")
+    out = scratch_path(s, "scored")
+
+    def score(newest, number):
+        newest.write.mode("overwrite").parquet(f"{rows_out}/batch={number}")
+        stored = s.read.schema(newest.schema).parquet(f"{rows_out}/batch={number}")
+        rows = models.trade_rows(stored.withColumn("target", F.lit(False)), columns)
+        write_predictions(models.score_newest(rows, forests, SERIES, columns, _subset(columns)), out, TRADE_PREDICTION_KEY)
+
+    _live_stream(
+        s, d, scratch_path(s, "arriving"),
+        lambda c: live.score_stream(live.live_indicators(c, filled=True), score, checkpoint),
+    )
     found = s.read.schema("p_time timestamp_ntz, c_time timestamp_ntz, exchange string, trading_pair string, prediction string").parquet(out)
-    return found.select("p_time", "exchange", "trading_pair", (F.col("prediction").isNotNull() & F.col("c_time").isNotNull()).alias("complete"))
+    complete = F.col("prediction").isNotNull() & F.col("c_time").isNotNull()
+    made = found.select("p_time", "exchange", "trading_pair", complete.alias("complete"))
+    rows = s.read.parquet(rows_out).withColumn("p_time", seconds_to_datetime(F.col("timestamp") + F.col("period")))
+    return made.join(rows.select("p_time", *PK_COLS, *features.TRADE_FEATURES), ["p_time", "exchange", "trading_pair"], "full")
 
 
-add("stream_scoring", _stream_scoring, ORACLES_MODELS["score_series"])
+_SO_FAR = f"({W} rows between unbounded preceding and current row)"
+_BATCH = f"""least(greatest(("timestamp" - {SLICE_FROM}) // {SLICE}, 0), {SLICES - 1})"""
+add(
+    "stream_scoring",
+    lambda s, d: tidy(_stream_scoring(s, d)),
+    sql(
+        f"""select make_timestamp(("timestamp" + period) * 1000000) as p_time, true as complete, {PK},
+        {", ".join(f'g."{x}"' for x in OHLCV)}, g.nan_ohlcv, cast(year(day) as integer) as year, cast(month(day) as integer) as month,
+        cast(day(day) as integer) as day, {", ".join(features.TRADE_INDICATORS)}, close_diff
+        from (select *, make_timestamp("timestamp" * 1000000) as day from grid) g join so_far using ({PK})
+        join (select {K}, max("timestamp") as "timestamp" from candles group by {K}, {_BATCH}) using ({PK})""",
+        " ".join([*OHLCV, *features.TRADE_INDICATORS, "close_diff"]),
+        ctes=TA + f""",
+so_far as (
+  select {PK}, ("close" - pc) / nullif(pc, 0) as close_diff,
+    {", ".join(f"case when avg(cast({c} is null as double)) over {_SO_FAR} < 0.2 then coalesce({c}, avg({c}) over {_SO_FAR}) end as {c}" for c in features.TRADE_INDICATORS)}
+  from (select {PK}, "close", pc, {", ".join(f"case when isfinite({c}) then {c} end as {c}" for c in features.TRADE_INDICATORS)} from ta))""",
+    ),
+)
 
 
 def _stream_alerts(s, d):

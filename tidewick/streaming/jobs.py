@@ -119,19 +119,6 @@ def rejected_candles(spark: SparkSession, table: str, schema: T.StructType, side
     return spark.read.schema(schema).parquet(f"{side}/rejected")
 
 
-def score_stream(
-    candles: DataFrame, table: str, score: Callable[[DataFrame], None], checkpoint: str
-) -> None:
-    """Each batch of new candles goes to the table, then the newest rows are scored."""
-    spark = candles.sparkSession
-
-    def each(batch: DataFrame, _: int) -> None:
-        insert_if_absent(batch, table)
-        score(spark.read.schema(candles.schema).parquet(table))
-
-    run_batches(candles, each, checkpoint)
-
-
 # --- run length with state -------------------------------------------------------------------
 
 RUN_STATE = T.StructType(
