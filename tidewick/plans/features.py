@@ -13,7 +13,7 @@ from tidewick.operators.chunks import attach, drop_halo, edge_rows, with_halo
 from tidewick.operators.gaps import gap_fill, impute_candles
 from tidewick.operators.joins import arb_info, cross_exchange_join
 from tidewick.schema import OHLCV, PAIR, PK, SERIES
-from tidewick.session import materialise
+from tidewick.session import bucketed, materialise
 
 # fixed names: features of one exchange in an arbitrage model
 ARB_SERIES = [
@@ -47,8 +47,20 @@ def series_features(candles: DataFrame, period: int, families: Sequence[str] | N
     return indicators.add_indicators(grid, families, fill=0.0) if families else indicators.add_indicators(grid, fill=0.0)
 
 
+# what a feature store is bucketed by: all exchanges of a trading pair at one time lie together
+SLOT = ["trading_pair", "period", "timestamp"]
+
+
+def feature_store(features: DataFrame) -> DataFrame:
+    """Features of single exchanges, stored so that pairing exchanges shuffles none of them (see :func:`bucketed`)."""
+    return bucketed(features, SLOT, "features")
+
+
 def arb_features(features: DataFrame, columns: Sequence[str] = ARB_SERIES) -> DataFrame:
-    """Every pair of exchanges listing the same trading pair, with the state between them."""
+    """Every pair of exchanges listing the same trading pair, with the state between them.
+
+    ``features`` may be any table with one row per candle; a :func:`feature_store` is read without a shuffle.
+    """
     return _both_sides(_pair_states(features), features, columns)
 
 
@@ -58,15 +70,17 @@ def _pair_states(features: DataFrame) -> DataFrame:
 
 
 def _both_sides(pairs: DataFrame, features: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``pairs`` with the features of both exchanges, joined last so that no ordered step carries them."""
+    """``pairs`` with the features of both exchanges, joined last so that no ordered step carries them.
+
+    A slot's exchanges are gathered, one row each, and each pair, which comes from the same rows, picks its two: one join instead of two, and no row
+    travels with one exchange's features to meet the other's.
+    """
     wide = [c for c in columns if c != "close"]
-    d = pairs.withColumns(date_parts(F.col("timestamp")))
-    for n in (1, 2):
-        own = [f"exchange_{n}", "trading_pair", "period", "timestamp"]
-        side = features.select(
-            F.col("exchange").alias(own[0]), *own[1:], *[F.col(c).alias(f"{c}_exchange_{n}") for c in wide]
-        )
-        d = d.join(side, own)
+    sides = features.groupBy(*SLOT).agg(F.collect_list(F.struct("exchange", *wide)).alias("_sides"))
+    d = pairs.withColumns(date_parts(F.col("timestamp"))).join(sides, SLOT)
+    d = d.withColumns({f"_side_{n}": F.expr(f"get(filter(_sides, x -> x.exchange = exchange_{n}), 0)") for n in (1, 2)})
+    d = d.withColumns({f"{c}_exchange_{n}": F.col(f"_side_{n}.{c}") for n in (1, 2) for c in wide})
+    d = d.drop("_sides", "_side_1", "_side_2")
     first = [*PAIR, "timestamp"]
     both = [f"{c}_exchange_{n}" for n in (1, 2) for c in columns]
     closes = [f"close_exchange_{n}" for n in (1, 2)]

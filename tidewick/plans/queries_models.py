@@ -267,7 +267,7 @@ add("train_trade_model", lambda s, d: tidy(_train_trade(s, d)))
 
 def _arb_table(s, d):
     """Features, target and profit of all exchange pairs with enough rows, split with an embargo."""
-    table = materialise(features.series_features(candles(s, d), PERIOD))
+    table = features.feature_store(features.series_features(candles(s, d), PERIOD))
     training = features.arb_training_set(table, PERIOD)
     training = arbitrage.with_profit(training, 6 * PERIOD, PERIOD)
     rows = materialise(models.arb_rows(training, features.ARB_FEATURES))
@@ -349,7 +349,7 @@ def _arb_scored(s, d):
     """Forests of all exchange pairs on each pair's newest features."""
     path, out = scratch_path(s, "models"), scratch_path(s, "scored")
     _, forests = _arb_models(s, d, path)
-    newest = features.arb_features(materialise(features.series_features(candles(s, d), PERIOD)))
+    newest = features.arb_features(features.feature_store(features.series_features(candles(s, d), PERIOD)))
     rows = materialise(models.arb_rows(newest.withColumn("target", F.lit(0)), features.ARB_FEATURES))
     records = models.score_newest(rows, forests, PAIR, features.ARB_FEATURES, _subset(features.ARB_FEATURES))
     for _ in range(2):

@@ -225,7 +225,7 @@ feats as (select {PK}, g."close", g.volume, g.nan_ohlcv, {", ".join(f"coalesce(t
 
 
 def _pair_features(s, d):
-    return features.arb_features(materialise(features.series_features(candles(s, d), HOUR)))
+    return features.arb_features(features.feature_store(features.series_features(candles(s, d), HOUR)))
 
 
 add(
@@ -236,7 +236,7 @@ add(
 
 
 def _training(s, d):
-    table = materialise(features.series_features(candles(s, d), HOUR))
+    table = features.feature_store(features.series_features(candles(s, d), HOUR))
     return features.arb_training_set(table, HOUR)
 
 

@@ -51,6 +51,22 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, keys: Sequence[str], name: str = "store") -> DataFrame:
+    """Write ``df`` under the shared folder as a table bucketed and sorted by ``keys``, one file per bucket.
+
+    Grouping by ``keys`` and joins on exactly ``keys`` then read it without a shuffle, whenever they come.  There are as many
+    buckets as shuffle partitions, so that the other side of a join is shuffled to them.  The table stays in the session's
+    catalog under a name of its own; its files go with the shared folder.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = f"tidewick_{name}_{path[-32:]}"
+    writer = df.repartition(n, *keys).write.format("parquet").option("path", path)
+    writer.bucketBy(n, *keys).sortBy(*keys).saveAsTable(table)
+    return spark.table(table)
+
+
 def _bytes(stored: DataFrame) -> int | None:
     """The size of a stored table in memory: 16 bytes per number, texts as they are; None if it has other columns."""
     texts = [f.name for f in stored.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
