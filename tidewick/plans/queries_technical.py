@@ -1,6 +1,8 @@
 """Registered queries: technical indicators and feature pipelines."""
 
 
+from pyspark.sql import functions as F
+
 from tidewick.functions import indicators
 from tidewick.operators.gaps import impute_candles
 from tidewick.operators.joins import arb_info
@@ -318,6 +320,47 @@ add(
         ctes=_IMPUTED,
     ),
 )
+# The whole frame: indicators of the imputed candles beside them, and the step of every column.  Means of means of prices with
+# four digits often lie exactly between two numbers of six digits, so both engines round a hair above the value.
+_HAIR = 1.7e-8
+_FRAME_IN = [*_LIVE_IN, *indicators.ALL]
+_FRAME_STEPS = {c: f"{c}_step" if f"{c}_diff" in indicators.ALL else f"{c}_diff" for c in _FRAME_IN}
+_FRAME = [c for c in [*_FRAME_IN, *_FRAME_STEPS.values(), *_LIVE[len(_LIVE_IN) + len(_LIVE_DIFFS):]] if c != "volume_adi"]
+
+
+def _frame_sql() -> str:
+    joined = f"""(select l.*, {", ".join(f"coalesce({c}, 0) as {c}" for c in indicators.ALL)}
+      from ({_LIVE_SQL}) l join (select {PK}, {", ".join(indicators.ALL)} from ta) using ({PK}))"""
+    steps = ", ".join(f'"{c}" - coalesce(lag("{c}") over ({W}), 0) as "{_FRAME_STEPS[c]}"' for c in indicators.ALL)
+    columns = ", ".join(f'"{c}" + {_HAIR} as "{c}"' if c in _FRAME_DOUBLES else f'"{c}"' for c in _FRAME)
+    return f"""select {PK}, {columns} from (select *, {steps} from {joined})"""
+
+
+_FRAME_DOUBLES = [c for c in _FRAME if not c.startswith(("imputed", "price_increased", "arb_signal_class"))]
+
+
+def _frame(d):
+    return tidy(d.select(*PK_COLS, *[(F.col(c) + _HAIR).alias(c) if c in _FRAME_DOUBLES else c for c in _FRAME]))
+
+
+_FULL_TA = TA.replace("from grid ", "from full_grid ")
+add(
+    "live_frame",
+    lambda s, d: _frame(_live(s, d)),
+    sql(_frame_sql(), " ".join(_FRAME_DOUBLES), ctes=f"{_IMPUTED},{_FULL_TA}"),
+)
+
+_NOW, _NEWEST = 1_706_659_200, 480
+_RECENT = f"""
+recent as (select * from candles where "timestamp" >= {_NOW - _NEWEST * HOUR}),
+recent_slots as (select {K}, unnest(range(min("timestamp"), max("timestamp") + 1, {HOUR})) as "timestamp" from recent group by {K}),
+recent_grid as (select s.*, open, high, low, "close", volume from recent_slots s left join recent c using ({PK})),
+""" + _IMPUTED.replace("raw_grid", "recent_grid").replace("from candles", "from recent")
+add(
+    "latest_data",
+    lambda s, d: _frame(features.get_latest_data(candles(s, d), HOUR, _NOW, _NEWEST)),
+    sql(_frame_sql(), " ".join(_FRAME_DOUBLES), ctes=f"{_RECENT},{_FULL_TA}"),
+)
 add(
     "get_data",
     lambda s, d: tidy(features.normalised(features.get_data(candles(s, d), HOUR, 1_704_067_200)), 4),
