@@ -328,11 +328,11 @@ _FRAME_STEPS = {c: f"{c}_step" if f"{c}_diff" in indicators.ALL else f"{c}_diff"
 _FRAME = [c for c in [*_FRAME_IN, *_FRAME_STEPS.values(), *_LIVE[len(_LIVE_IN) + len(_LIVE_DIFFS):]] if c != "volume_adi"]
 
 
-def _frame_sql() -> str:
+def _frame_sql(hair: float = _HAIR) -> str:
     joined = f"""(select l.*, {", ".join(f"coalesce({c}, 0) as {c}" for c in indicators.ALL)}
       from ({_LIVE_SQL}) l join (select {PK}, {", ".join(indicators.ALL)} from ta) using ({PK}))"""
     steps = ", ".join(f'"{c}" - coalesce(lag("{c}") over ({W}), 0) as "{_FRAME_STEPS[c]}"' for c in indicators.ALL)
-    columns = ", ".join(f'"{c}" + {_HAIR} as "{c}"' if c in _FRAME_DOUBLES else f'"{c}"' for c in _FRAME)
+    columns = ", ".join(f'"{c}" + {hair} as "{c}"' if c in _FRAME_DOUBLES else f'"{c}"' for c in _FRAME)
     return f"""select {PK}, {columns} from (select *, {steps} from {joined})"""
 
 
@@ -361,11 +361,6 @@ add(
     lambda s, d: _frame(features.get_latest_data(candles(s, d), HOUR, _NOW, _NEWEST)),
     sql(_frame_sql(), " ".join(_FRAME_DOUBLES), ctes=f"{_RECENT},{_FULL_TA}"),
 )
-add(
-    "get_data",
-    lambda s, d: tidy(features.normalised(features.get_data(candles(s, d), HOUR, 1_704_067_200)), 4),
-)
-
 _SCALED = [*_LIVE_IN, *_LIVE_DIFFS]
 
 
@@ -379,6 +374,17 @@ def _z(c):
 
 
 _NOT_SCALED = ["diff_percent", "arb_signal", "arb_signal_class", "price_increased"]
+_NORMALISED = [c for c in _FRAME if c not in _NOT_SCALED]
+add(
+    "get_data",
+    lambda s, d: tidy(features.normalised(features.get_data(candles(s, d), HOUR, 1_704_067_200)), 4),
+    sql(
+        f"select {PK}, {', '.join(map(_z, _NORMALISED))}, {', '.join(_NOT_SCALED)} from ({_frame_sql(0)})",
+        " ".join([*_NORMALISED, "diff_percent", "arb_signal"]),
+        4,
+        ctes=f"{_IMPUTED},{_FULL_TA}",
+    ),
+)
 add(
     "get_data_prices",
     lambda s, d: tidy(
