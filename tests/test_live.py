@@ -13,7 +13,7 @@ from tidewick.operators.gaps import gap_fill
 from tidewick.operators.ordered import close_diff
 from tidewick.plans.queries_technical import OTHER_WINDOWS
 from tidewick.schema import OHLCV, PK
-from tidewick.streaming import live
+from tidewick.streaming import jobs, live
 
 PERIOD, START = 300, 1_700_000_100
 KEY = ("a", "p", PERIOD)
@@ -107,6 +107,18 @@ def test_late_repeated_and_invalid_rows():
     assert (fed(rows[:5], [], store=store)["status"] == "late").all() and store.get is before
 
 
+def test_no_period(spark, tmp_path):
+    """Rows without a period, or without any key, come out invalid and keep no state; an empty table gives no rows."""
+    rows = spark.createDataFrame(market(3).astype({"period": "int32"}))
+    odd = rows.withColumn("period", F.lit(None).cast("int")).unionByName(rows.withColumn("period", F.lit(0)))
+    odd = odd.unionByName(rows.withColumn("period", F.lit(-5)).withColumns({c: F.lit(None).cast("string") for c in ("exchange", "trading_pair")}))
+    for name, table, want in (("odd", odd.unionByName(rows), {"invalid": 9, "ok": 3}), ("empty", rows.limit(0), {})):
+        source, out, checkpoint = (str(tmp_path / name / x) for x in ("source", "out", "checkpoint"))
+        table.write.parquet(source)
+        got = jobs.run_to_files(live.live_indicators(spark.readStream.schema(table.schema).parquet(source)), out, checkpoint)
+        assert dict(got.groupBy("status").count().collect()).items() >= want.items()
+
+
 def test_filled_takes_the_mean_so_far():
     rows = market(200)
     raw = fed(rows, [50, 120])

@@ -13,7 +13,7 @@ Every row that comes in goes out once, with a ``status``:
 
 * ``ok``: the next candle of its series; slots left out before it are filled as by ``gap_fill`` (``nan_ohlcv`` 1);
 * ``late``: no newer than one that has left, or a repetition; without indicators, for batch repair;
-* ``invalid``: no time, or a price or volume that is null or not finite; without indicators, and the state ignores it.
+* ``invalid``: no time, no period above zero, or a price or volume that is null or not finite; without indicators, and the state ignores it.
 
 Of several rows with one time in one batch the first valid one by (open, high, low, close, volume) is taken.
 """
@@ -346,7 +346,8 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, win
     rows = pd.concat(list(batches))
     aside = lambda d, status: _frame(
         key, d["timestamp"].astype("Int64").array, {x: d[x].array for x in OHLCV}, np.zeros(len(d)), status)
-    valid = rows["timestamp"].notna() & np.isfinite(rows[OHLCV].astype("float64")).all(axis=1)
+    dated = rows["timestamp"].notna() & bool(pd.notna(key[2]) and key[2] > 0)
+    valid = dated & np.isfinite(rows[OHLCV].astype("float64")).all(axis=1)
     if not valid.all():
         yield aside(rows[~valid], "invalid")
     rows = rows[valid].sort_values(["timestamp", *OHLCV], kind="stable")
