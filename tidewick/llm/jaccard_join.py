@@ -100,18 +100,33 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     return out
 
 
+def repeated(parts: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that occur ``least`` times at least in all ``parts``, ascending, and how often; empties ``parts``.
+
+    They are sorted in place, so that there is one copy beside the parts, and none of the distinct numbers.
+    """
+    whole = np.concatenate([np.zeros(0, np.uint64), *parts])
+    parts.clear()
+    whole.sort()
+    # the first of a run of equal numbers: its neighbour before differs, the one ``least - 1`` on does not
+    n = max(len(whole) - least + 1, 0)
+    long = whole[:n] == whole[len(whole) - n :]
+    long[1:] &= whole[1:n] != whole[: max(n - 1, 0)]
+    tokens = whole[:n][long]
+    return tokens, np.searchsorted(whole, tokens, "right") - np.flatnonzero(long)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """From ``(_key, _text)``: a row per document (_key, n, fp, sig), and rows (seen, times) of repeated shingles."""
     names = ["_key", "n", "fp", "sig", "seen", "times"]
     held, known, total = [], set(), 0
 
     def counted(kind):
-        tokens, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
-        often = times >= SEEN
-        m = int(often.sum())
+        tokens, times = repeated(held, SEEN)
+        m = len(tokens)
         return pa.RecordBatch.from_arrays(
             [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
-             pa.array(tokens[often].view(np.int64)), pa.array(times[often].astype(np.int64))], names=names,
+             pa.array(tokens.view(np.int64)), pa.array(times)], names=names,
         )
 
     kind = None

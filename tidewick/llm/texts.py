@@ -1,6 +1,6 @@
 """Whole texts as byte arrays inside tasks: words, their 64-bit hashes, and ragged gathers, all in numpy.
 
-Texts are handled in slices of some megabytes, so a task's memory does not depend on the rows of an Arrow batch.
+Texts are handled in slices of half a megabyte, so a task's memory does not depend on the rows of an Arrow batch.
 A word's hash is a polynomial modulo 2**64 over its bytes (differences of one running sum), mixed afterwards.
 """
 
@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19  # numpy holds some tens of bytes for each
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}

@@ -4,7 +4,7 @@ A unit is a run of white space and the run of other characters after it, also cu
 punctuation.  Pre-tokenisers that split by the word patterns of byte-level vocabularies always cut there, so a text's ids
 are its units' ids one after another.  Texts for which this may not hold (white space beyond ASCII, and ``<|``, which
 may begin a special token) are encoded whole.  A unit is known by a 64-bit hash of its bytes; a worker keeps the ids of
-at most ``KEPT`` units and starts anew beyond.
+about ``KEPT`` units (some 30 MB): beyond, only those met again since the last time stay, as most units come once.
 """
 
 import os
@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from tidewick.llm import texts
 
-KEPT = 3_000_000
+KEPT = 1_000_000
 # white space beyond the six ASCII characters, in UTF-8, and what may begin a special token
 _ODD_BYTES = re.compile(
     rb"<\||[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf"
@@ -48,27 +48,41 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.fold = fold
+        self.narrow = np.min_scalar_type(max(self.tokenizer.get_vocab().values(), default=0))
         self.clear()
 
     def clear(self) -> None:
         self.hashes = np.zeros(0, np.uint64)  # sorted
-        self.at = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int32)
-        self.ids = np.zeros(1 << 16, np.uint32)
+        self.at = np.zeros(0, np.uint32)
+        self.count = np.zeros(0, np.uint32)
+        self.again = np.zeros(0, bool)  # met since it was learned or last kept
+        self.ids = np.zeros(1 << 16, self.narrow)
         self.used = 0
 
+    def forget(self) -> None:
+        """Units that were met once go; all go if these would still be too many."""
+        stay = self.again
+        if stay.sum() > KEPT // 2:
+            return self.clear()
+        count = self.count[stay].astype(np.int64)
+        ids = self.ids[texts.ragged(self.at[stay].astype(np.int64), count)]
+        self.at = (np.cumsum(count) - count).astype(np.uint32)
+        self.hashes, self.count, self.again = self.hashes[stay], count.astype(np.uint32), np.zeros(len(count), bool)
+        self.ids, self.used = np.append(ids, np.zeros(1 << 16, self.narrow)), len(ids)
+
     def _learn(self, hashes: np.ndarray, units: list[str]) -> None:
         encoded = [e.ids for e in self.tokenizer.encode_batch(units, add_special_tokens=False)]
-        count = np.fromiter(map(len, encoded), np.int32, len(encoded))
+        count = np.fromiter(map(len, encoded), np.int64, len(encoded))
         total = int(count.sum())
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
-        self.ids[self.used : self.used + total] = np.fromiter((i for e in encoded for i in e), np.uint32, total)
+        if self.used + total > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros(max(total, len(self.ids) // 4), self.narrow))
+        self.ids[self.used : self.used + total] = np.fromiter((i for e in encoded for i in e), self.narrow, total)
         at = self.used + np.cumsum(count) - count
         self.used += total
         where = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, where, hashes)
         self.at, self.count = np.insert(self.at, where, at), np.insert(self.count, where, count)
+        self.again = np.insert(self.again, where, False)
 
     def _units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if self.fold:
@@ -107,15 +121,16 @@ class UnitEncoder:
             starts, ends, rows = starts[keep], ends[keep], rows[keep]
         hashes, first, inverse = np.unique(texts.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.hashes) > KEPT:
-            self.clear()
+            self.forget()
         place = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
         new = self.hashes[place] != hashes if len(self.hashes) else np.ones(len(hashes), bool)
+        self.again[place[~new]] = True
         if new.any():
             spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
             self._learn(hashes[new], [folded[a:b].decode() for a, b in spans])
             place = np.searchsorted(self.hashes, hashes)
         count = self.count[place][inverse].astype(np.int64)
-        ids = self.ids[texts.ragged(self.at[place][inverse], count)]
+        ids = self.ids[texts.ragged(self.at[place][inverse].astype(np.int64), count)].astype(np.uint32)
         per_row = np.bincount(rows, weights=count, minlength=n).astype(np.int64)
         bounds = np.concatenate([[0], np.cumsum(per_row)])
         if not odd.any():
