@@ -235,3 +235,64 @@ def test_library_decodes_the_samples_too(spark):
     texts_of = {r.doc_id: r.text for r in docs.collect()}
     for r in segmentations.encode(docs, PIECES).collect():
         assert sp.decode(r.ids) == texts_of[r.doc_id]
+
+
+@pytest.mark.parametrize("text", ["hatshats", "in on at"])
+def test_unlikely_segmentations_are_drawn_too(text):
+    """More samples than segmentations: all come, those of a log probability far below any threshold as well."""
+    n = 20
+    want = all_segmentations(segmentations.model(PIECES), text)
+    k = len(want) + 1
+    assert k < 200
+    _, rows, samples, after = draw(text, n, k)
+    for row in zip(*rows, strict=True):
+        assert set(row[:-1]) == set(want) and row[-1] is None
+    assert (after == -np.inf).all()
+    for s in samples[:-1]:
+        assert (s.value > -np.inf).all()
+
+
+def test_masses_of_siblings_are_exact_however_small():
+    model = segmentations.model(PIECES)
+    data = np.frombuffer(" international  statement".encode(), np.uint8)
+    lat = segmentations.lattice(model, data, np.array([0, len(data)]))
+    for node in np.flatnonzero(lat.count):
+        mine = np.arange(lat.first[node], lat.first[node] + lat.count[node])
+        for e in mine:
+            others = lat.logp[mine[mine != e]]
+            assert lat.rest[e] == -np.inf if len(mine) == 1 else abs(lat.rest[e] - np.logaddexp.reduce(others)) < 1e-9
+
+
+def test_query_digests_are_of_real_ids_and_decoded_texts(spark, make_docs, edge_rows, monkeypatch):
+    """The query goes through ``encode`` and ``decode``: rows of ids in small slices, nulls kept."""
+    monkeypatch.setattr(segmentations, "DECODED", 7)
+    called = []
+    real = segmentations.decode
+    monkeypatch.setattr(segmentations, "decode", lambda *a, **b: called.append(1) or real(*a, **b))
+    docs = make_docs(edge_rows)
+    digests = segmentations.encode(docs, PIECES, digests=True).collect()
+    assert called and {r.text_crc32 for r in digests} == {zlib.crc32((t or "").encode()) for _, t in edge_rows}
+    ids = [900, 901, 902]
+    lists = spark.createDataFrame([(1, None), (2, []), (3, ids)], "n int, ids array<int>")
+    packed = spark.createDataFrame([(1, None), (2, b""), (3, np.array(ids, "<u4").tobytes())], "n int, ids binary")
+    said = [{r.n: r.said for r in segmentations.decode(df, PIECES, out="said").collect()} for df in (lists, packed)]
+    assert said[0] == said[1] and said[0][1] is None and said[0][2] == "" and said[0][3]
+
+
+def test_rows_far_from_any_likely_segmentation(monkeypatch):
+    """The same samples wherever a path's near part ends: rows without enough groups there look behind it."""
+    texts_of = ["the cat sat on the mat and " * 9, "hatshats", "", "x"]
+    rows = pa.array(texts_of * 25)
+    model = segmentations.model(PIECES)
+    seen = []
+    for near in (-64.0, -0.5, -1e9):
+        monkeypatch.setattr(segmentations, "NEAR", near)
+        for sampled in (1 << 18, 100):
+            monkeypatch.setattr(segmentations, "SAMPLED", sampled)
+            found = []
+            for i, lat, samples, after in segmentations._parts(model, rows, np.arange(100, dtype=np.uint64) * 7919, 4):
+                for r in range(len(after)):
+                    of = [tuple(s.edges[s.bounds[r] : s.bounds[r + 1]].tolist()) for s in samples]
+                    found.append((i + r, of, [round(float(s.value[r]), 6) for s in samples], round(float(after[r]), 6)))
+            seen.append(found)
+    assert len(seen[0]) == 100 and all(x == seen[0] for x in seen[1:])

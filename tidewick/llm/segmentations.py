@@ -8,8 +8,8 @@ sums are built once per distinct word of a slice, and a document's lattice is th
 Gumbel top-k by a perturbed A-star search: the root's value is a Gumbel variable.  Going down, the sampled edge keeps
 its node's value, and its siblings together get a Gumbel of their mass, truncated at it; the best open sibling group is
 the next sample's exact value, so the k first leaves reached are the k largest perturbed paths: distinct, and
-drawn in proportion to their probability without replacement.  ``inclusion`` is a path's probability of exceeding the
-(k+1)-th largest value (1 if there are no further paths).  All noise is a hash of the row key, the sample and the place,
+drawn in proportion to their probability without replacement.  No group is passed over that could matter, however little
+its mass.  ``inclusion`` is a path's probability of exceeding the (k+1)-th largest value (1 if there are no further paths).  All noise is a hash of the row key, the sample and the place,
 so a row's samples do not depend on partitions or repeated tasks.
 
 Spaces become the marker and one is put before each text, as the model's identity normaliser does; decoding gives the text
@@ -20,12 +20,12 @@ with fewer than k segmentations give all they have; repeated rows give repeated
 result.  Only the key and text columns are read.
 """
 
-import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +33,11 @@ from tidewick.llm import texts
 
 SAMPLES = 2
 SEED = 23
-SLICE_BYTES = 2 << 20  # a slice's distinct words share their lattices
-DEEPEST = -64.0  # sibling groups below this log mass are looked at only if no better one is near
+SLICE_BYTES = 1 << 19  # a slice's distinct words share their lattices
+SAMPLED = 1 << 18  # bytes whose paths are sampled at a time
+DECODED = 1 << 16  # ids that are decoded at a time
+NEAR = -64.0  # log mass of a path's beginning; what lies behind is looked at where it can matter
+NOISE = 37.5  # the largest Gumbel variable that ``uniform`` gives: -log(-log(1 - 2**-54)) and rounding
 _TABLE = 1 << 20
 _models: dict[str, "Pieces"] = {}
 
@@ -126,6 +129,7 @@ class Lattice(NamedTuple):
     at: np.ndarray  # byte where an edge begins
     size: np.ndarray
     logp: np.ndarray  # given its node
+    rest: np.ndarray  # log mass of the node's other edges, exact however little it is
     cumulative: np.ndarray
 
 
@@ -175,10 +179,15 @@ def lattice(pieces: Pieces, data: np.ndarray, offsets: np.ndarray) -> Lattice:
         edge = texts.ragged(first[mine], many)
         beta[mine] = np.logaddexp.reduceat(logw[edge] + beta[target[edge]], np.cumsum(many) - many)
     logp = logw + beta[target] - beta[node]
-    running = np.cumsum(np.exp(logp))
+    p = np.exp(logp)
+    main = p > 0.5  # one of a node at most: what is beside it is summed, not subtracted from one
+    others = np.add.reduceat(np.where(main, 0.0, p), first[count > 0]) if len(p) else p
+    with np.errstate(divide="ignore"):
+        rest = np.log(np.where(main, np.repeat(others, count[count > 0]), 1.0 - p))
+    running = np.cumsum(p)
     inside = running - np.repeat(np.concatenate([[0], running])[first[count > 0]], count[count > 0])
     inside[first[count > 0] + count[count > 0] - 1] = 2.0
-    return Lattice(data, offsets[:-1] + np.arange(words), first, count, target, piece, src, size, logp, inside)
+    return Lattice(data, offsets[:-1] + np.arange(words), first, count, target, piece, src, size, logp, rest, inside)
 
 
 def uniform(seed: np.ndarray, *parts: np.ndarray | int) -> np.ndarray:
@@ -271,27 +280,35 @@ def sample(lat: Lattice, words: np.ndarray, rows: np.ndarray, seed: np.ndarray,
         filled = np.flatnonzero(length)
         total[filled] = np.add.reduceat(logp, bounds[filled]) if len(filled) else 0.0
         out.append(Sample(edges, bounds, has, total, np.where(has, value, -np.inf)))
-        # steps of the path's own whose prefix is not below DEEPEST: masses only fall along a path
         fallen = np.concatenate([[0.0], -np.cumsum(logp)])
-        near = np.searchsorted(fallen, fallen[bounds[:-1]] - DEEPEST, "left")
         own = np.minimum(bounds[:-1] + since, bounds[1:])
-        many = np.maximum(np.minimum(near, bounds[1:]) - own, 0)
-        new, r = texts.ragged(own, many), np.repeat(np.arange(n), many)
-        some = lat.count[_node(lat, edges[new])] > 1
-        new, r = new[some], r[some]
-        with np.errstate(divide="ignore"):
-            mass = fallen[bounds[r]] - fallen[new] + np.log(-np.expm1(np.minimum(logp[new], 0.0)))
-        some = mass > DEEPEST
-        new, r, mass = new[some], r[some], mass[some]
-        step = new - bounds[r]
-        u = uniform(seed[r], 1 << 41, s, step)
-        add = {"row": r, "path": np.full(len(r), s), "step": step, "node": _node(lat, edges[new]), "mass": mass,
-               "value": _truncated(mass, value[r], u)}
-        fresh = np.full((len(r), k), -1, np.int64)
-        fresh[:, 0] = edges[new]
-        # what is not among the best groups of its row now is not reached in the samples left
-        keep = _largest(add["row"], add["value"], k - s)
-        add, fresh = {c: x[keep] for c, x in add.items()}, fresh[keep]
+
+        def siblings(begin, end, edges=edges, bounds=bounds, value=value, fallen=fallen, s=s):
+            """The best groups beside these steps; the others of a row are not reached in the samples left."""
+            many = np.maximum(end - begin, 0)
+            new, r = texts.ragged(begin, many), np.repeat(np.arange(n), many)
+            some = lat.count[_node(lat, edges[new])] > 1
+            new, r = new[some], r[some]
+            mass = fallen[bounds[r]] - fallen[new] + lat.rest[edges[new]]
+            step = new - bounds[r]
+            values = _truncated(mass, value[r], uniform(seed[r], 1 << 41, s, step))
+            add = {"row": r, "path": np.full(len(r), s), "step": step, "node": _node(lat, edges[new]), "mass": mass, "value": values}
+            keep = _largest(r, values, k - s)
+            return {c: x[keep] for c, x in add.items()}, edges[new[keep]]
+
+        # masses only fall along a path, and a value is above its group's log mass by NOISE at most: what lies behind
+        # ``near`` is looked at in rows that have no k - s groups above all that it can give
+        near = np.clip(np.searchsorted(fallen, fallen[bounds[:-1]] - NEAR, "left"), own, bounds[1:])
+        add, left_by = siblings(own, near)
+        enough = np.bincount(add["row"][add["value"] > NEAR + NOISE], minlength=n) >= k - s
+        more, more_by = siblings(near, np.where(enough, near, bounds[1:]))
+        if len(more_by):
+            order = np.argsort(np.concatenate([add["row"], more["row"]]), kind="stable")
+            add, left_by = {c: np.concatenate([add[c], more[c]])[order] for c in add}, np.concatenate([left_by, more_by])[order]
+            keep = _largest(add["row"], add["value"], k - s)
+            add, left_by = {c: x[keep] for c, x in add.items()}, left_by[keep]
+        fresh = np.full((len(left_by), k), -1, np.int64)
+        fresh[:, 0] = left_by
         open_rows = {c: np.concatenate([open_rows[c], add[c]]) for c in open_rows}
         gone = np.concatenate([gone, fresh])
         order = np.lexsort((-open_rows["value"], open_rows["row"]))
@@ -309,18 +326,19 @@ def sample(lat: Lattice, words: np.ndarray, rows: np.ndarray, seed: np.ndarray,
         owner = np.repeat(np.arange(len(best)), count)
         p = np.exp(lat.logp[options])
         p[(gone[best][owner] == options[:, None]).any(axis=1)] = 0.0
-        running = np.cumsum(p)
         lead = np.cumsum(count) - count
-        base = np.concatenate([[0.0], running])[lead]
-        total = running[lead + count - 1] - base
-        want = base + uniform(seed[r], 1 << 42, s) * total
-        pick = np.minimum(np.searchsorted(running, want, "left"), lead + count - 1)
-        while (zero := p[pick] <= 0).any():
-            pick[zero] -= 1
+        total = np.add.reduceat(p, lead) if len(p) else np.zeros(0)
+        # shares of the group, so that a group of little mass is drawn from as exactly as any other
+        running = np.cumsum(p / total[owner])
+        want = np.concatenate([[0.0], running])[lead] + uniform(seed[r], 1 << 42, s)
+        pick = np.clip(np.searchsorted(running, want, "left"), lead, lead + count - 1)
+        for x in np.flatnonzero(p[pick] <= 0).tolist():  # rounding beside an edge that is gone
+            pick[x] = lead[x] + np.argmax(p[lead[x] : lead[x] + count[x]])
         chosen = options[pick]
         # what is left of the group
-        left = total - p[pick]
-        still = left > 1e-12 * total
+        p[pick] = 0.0
+        left = np.add.reduceat(p, lead) if len(p) else total
+        still = left > 0
         prefix = open_rows["mass"][best] - np.log(total)
         mass = prefix + np.log(np.where(still, left, 1.0))
         u = uniform(seed[r], 1 << 43, s)
@@ -399,8 +417,8 @@ def prepared(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, bounds
 
 
-def slice_samples(pieces: Pieces, data: np.ndarray, offsets: np.ndarray, seed: np.ndarray, k: int):
-    """``(lattice, samples, next values)`` of the texts of a slice."""
+def slice_words(pieces: Pieces, data: np.ndarray, offsets: np.ndarray) -> tuple[Lattice, np.ndarray, np.ndarray]:
+    """``(lattice, words, rows)`` of the texts of a slice: the lattice's word of each word, and its row."""
     data, offsets = prepared(data, offsets)
     # a border that no piece can span: the same bytes are side by side in no piece
     begins = np.zeros(len(data), bool)
@@ -412,12 +430,25 @@ def slice_samples(pieces: Pieces, data: np.ndarray, offsets: np.ndarray, seed: n
     _, one, words = np.unique(texts.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
     sizes = ends[one] - starts[one]
     flat = data[texts.ragged(starts[one], sizes)]
-    lat = lattice(pieces, flat, np.concatenate([[0], np.cumsum(sizes)]))
+    return lattice(pieces, flat, np.concatenate([[0], np.cumsum(sizes)])), words, rows
+
+
+def slice_samples(pieces: Pieces, data: np.ndarray, offsets: np.ndarray, seed: np.ndarray, k: int):
+    """``(lattice, samples, next values)`` of the texts of a slice."""
+    lat, words, rows = slice_words(pieces, data, offsets)
     return lat, *sample(lat, words, rows, seed, k)
 
 
-def _schema(kind: str, *more: str) -> str:
-    return ", ".join([f"_key {kind}", "sample int", "n_pieces long", "log_prob double", "value double", "inclusion double", *more])
+def _parts(pieces: Pieces, column: pa.Array, seeds: np.ndarray, k: int):
+    """``(first row, lattice, samples, next values)``: a slice shares its lattice, paths are sampled some rows at a time."""
+    for i, n, data, offsets in texts.slices(column, SLICE_BYTES):
+        lat, words, rows = slice_words(pieces, data, offsets)
+        a = 0
+        while a < n:
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + SAMPLED, "right")) - 1)
+            x, y = np.searchsorted(rows, [a, b])
+            yield i + a, lat, *sample(lat, words[x:y], rows[x:y] - a, seeds[i + a : i + b], k)
+            a = b
 
 
 def encode(
@@ -425,7 +456,7 @@ def encode(
 ) -> DataFrame:
     """Up to ``k`` rows per document: key, sample (from 1), n_pieces, log_prob, value, inclusion, ids ``array<int>``.
 
-    ``digests``: in place of ids their CRC-32 (little-endian unsigned 32-bit) and that of the text decoded from them.
+    ``digests``: in place of ids their CRC-32 (little-endian unsigned 32-bit) and that of the text that ``decode`` makes of them.
     """
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.xxhash64(F.lit(SEED), F.col(key)).alias("_seed"))
     kind = rows.schema["_key"].dataType.simpleString()
@@ -434,48 +465,65 @@ def encode(
         pieces = model(path)
         for batch in batches:
             seeds = batch.column(2).to_numpy().astype(np.uint64)
-            for i, n, data, offsets in texts.slices(batch.column(1), SLICE_BYTES):
-                lat, samples, after = slice_samples(pieces, data, offsets, seeds[i : i + n], k)
+            for i, lat, samples, after in _parts(pieces, batch.column(1), seeds, k):
                 for s, found in enumerate(samples):
                     mine = np.flatnonzero(found.has)
                     ids, bounds = ids_of(pieces, lat, found.edges, found.bounds)
                     with np.errstate(over="ignore"):
                         inclusion = -np.expm1(-np.exp(found.log_prob[mine] - after[mine]))
-                    if digests:
-                        raw = ids.astype("<u4").tobytes()
-                        crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(bounds[mine].tolist(), bounds[mine + 1].tolist(), strict=True)]
-                        decoded = pieces.decode(ids, bounds)
-                        more = [pa.array(crc, pa.int64()), pa.array([zlib.crc32(decoded[r]) for r in mine.tolist()], pa.int64())]
+                    sizes = np.diff(bounds)[mine]
+                    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                    if digests:  # as bytes, which Spark copies and sums as they are
+                        listed = pa.Array.from_buffers(
+                            pa.binary(), len(mine), [None, pa.py_buffer(4 * ends), pa.py_buffer(ids.astype("<u4").tobytes())]
+                        )
                     else:
-                        ends = np.concatenate([[0], np.cumsum(np.diff(bounds)[mine])]).astype(np.int32)
-                        more = [pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32)))]
+                        listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32)))
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(mine + i)), pa.array(np.full(len(mine), s + 1, np.int32)),
-                            pa.array(np.diff(bounds)[mine]), pa.array(found.log_prob[mine]), pa.array(found.value[mine]),
-                            pa.array(inclusion), *more,
+                            pa.array(sizes), pa.array(found.log_prob[mine]), pa.array(found.value[mine]), pa.array(inclusion), listed,
                         ],
                         names=names,
                     )
 
-    extra = ["ids_crc32 long", "text_crc32 long"] if digests else ["ids array<int>"]
-    schema = _schema(kind, *extra)
+    ids = "binary" if digests else "array<int>"
+    schema = f"_key {kind}, sample int, n_pieces long, log_prob double, value double, inclusion double, ids {ids}"
     names = [c.split()[0] for c in schema.split(", ")]
-    return rows.mapInArrow(run, schema).withColumnRenamed("_key", key)
+    encoded = rows.mapInArrow(run, schema)
+    if digests:
+        sums = [F.crc32(c).alias(f"{n}_crc32") for n, c in (("ids", F.col("ids")), ("text", F.col("_text").cast("binary")))]
+        encoded = decode(encoded, path, out="_text").select(*names[:-1], *sums)
+    return encoded.withColumnRenamed("_key", key)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
-    """``encoded`` with the text of ``ids`` in the column ``out`` (null ids: null)."""
+    """``encoded`` with the text of ``ids`` in the column ``out`` (null ids: null).
+
+    ``ids``: ``array<int>``, or binary of little-endian unsigned 32-bit integers.
+    """
     at = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(path)
         for batch in batches:
-            column = batch.column(at)
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            sizes = np.array([0 if x is None else len(x) for x in column.to_pylist()], np.int64)
-            texts_of = pieces.decode(flat, np.concatenate([[0], np.cumsum(sizes)]))
-            values = [x.decode("utf-8", "replace") if ok else None for x, ok in zip(texts_of, column.is_valid().to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.string())], names=[*batch.schema.names, out])
-
-    return encoded.mapInArrow(run, encoded.withColumn(out, F.lit("")).schema)
+            packed = not pa.types.is_list(batch.column(at).type)
+            length = pc.binary_length if packed else pc.list_value_length
+            sizes = pc.fill_null(length(batch.column(at)), 0).to_numpy().astype(np.int64) // (4 if packed else 1)
+            ends = np.cumsum(sizes)
+            a = 0
+            while a < batch.num_rows:
+                # rows of at most DECODED ids, or one row
+                b = max(a + 1, int(np.searchsorted(ends, ends[a] - sizes[a] + DECODED, "right")))
+                part = batch.slice(a, b - a)
+                column = part.column(at)
+                if packed:
+                    flat = np.frombuffer(b"".join(x.as_buffer() for x in column if x.is_valid), "<u4")
+                else:
+                    flat = column.flatten().to_numpy(zero_copy_only=False)
+                found = pieces.decode(flat.astype(np.int64), np.concatenate([[0], np.cumsum(sizes[a:b])]))
+                values = [x.decode("utf-8", "replace") if ok else None for x, ok in zip(found, column.is_valid().to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.string())], names=[*batch.schema.names, out])
+                a = b
+
+    return encoded.mapInArrow(run, encoded.withColumn(out, F.lit(None).cast("string")).schema)
