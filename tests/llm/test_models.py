@@ -160,6 +160,25 @@ def test_url_model_counts_every_context(spark):
         assert abs(r.difference - total / len(r.url)) < 1e-9
 
 
+def test_url_counts_meet_without_broadcast(spark):
+    rng = np.random.default_rng(8)
+    rows = [("".join(map(chr, rng.integers(97, 123, 40))), bool(i % 2)) for i in range(300)]
+    df = spark.createDataFrame(rows, "url string, blocked boolean").repartition(3)
+    model = url_filter.train(df)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")  # so that only the query itself can rule a broadcast out
+    try:
+        scored = url_filter.with_difference(df, "url", "difference", model)
+        got = scored.collect()
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted((r.url, r.blocked) for r in got) == sorted(rows)
+    for r in got[::100]:
+        assert abs(r.difference - brute_difference(model, r.url)) < 1e-9
+
+
 # --- quality
 
 

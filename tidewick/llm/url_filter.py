@@ -156,7 +156,9 @@ def with_difference(rows: DataFrame, url: str, out: str, model: Model) -> DataFr
     names = rows.columns
     stored = materialise(rows.withColumn("_chunk", F.floor(F.monotonically_increasing_id() / CHUNK)), "chunks")
     schema = rows.select("*", F.lit(0.0).alias(out)).schema
-    wanted = stored.select("_chunk", url).mapInArrow(_wanted, "_chunk long, key long").join(model.counts, "key")
+    wanted = stored.select("_chunk", url).mapInArrow(_wanted, "_chunk long, key long")
+    # Spark takes the keys for as small as the URLs they are made of, and would gather them in the driver to broadcast them
+    wanted = wanted.join(model.counts.hint("merge"), "key")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         known, one = np.unique(right.column("key").to_numpy(), return_index=True)
